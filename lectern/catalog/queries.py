@@ -18,12 +18,13 @@ from lectern.functions.text import first_text
 from lectern.operators import benchmark, cleaning, gates, selecting
 from lectern.operators.advice import add_measure_advice
 from lectern.operators.aggregate import filter_share, sum_columns
+from lectern.operators.joining import first_per_key
 from lectern.operators.risk import add_risk_flags, is_level
 from lectern.plans import layers, marts, overview, profiles, sync, warnings
 from lectern.plans import cleaning as cleaning_plan
 from lectern.sinks import files as sinks
 from lectern.sources import files as scans
-from lectern.sources.views import learning, ods_learning, raw_learning
+from lectern.sources.views import learning, ods_learning, raw_learning, scan_table
 from lectern.staging import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,8 +65,9 @@ def _raw(build: Callable[[DataFrame], DataFrame]) -> Query:
 def _profiles(build: Callable[[DataFrame], DataFrame]) -> Query:
     def run(facts: DataFrame) -> DataFrame:
         scored = warnings.scored_enrolments(facts)
-        course_risk = warnings.course_risk_summary(scored)
-        return build(profiles.benchmarked(scored, facts, course_risk))
+        students = profiles.student_table(facts)
+        course_risk = warnings.stored_course_risk(scored)
+        return build(profiles.benchmarked(scored, students, course_risk))
 
     return _facts(run)
 
@@ -238,8 +240,6 @@ def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unique_students(facts: DataFrame) -> DataFrame:
-    from lectern.operators.joining import first_per_key
-
     return first_per_key(layers.student_info(facts), ["student_id"])
 
 
@@ -393,7 +393,7 @@ MARTS: dict[str, Query] = {
 # --------------------------------------------------------------------------
 def _profile_leaves(facts: DataFrame) -> DataFrame:
     scored = warnings.scored_enrolments(facts)
-    nested = profiles.student_profile(scored, facts)
+    nested = profiles.student_profile(scored, profiles.student_table(facts))
     return nested.select(
         "student_id",
         F.col("basic.education_level").alias("education_level"),
@@ -494,7 +494,7 @@ RISK: dict[str, Query] = {
 def _filter_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrolments of the chosen students: those whose account is overdrawn."""
     chosen = (
-        spark.read.parquet(f"{sf_dir}/customer.parquet")
+        scan_table(spark, sf_dir, "customer")
         .filter("c_acctbal < 0")
         .select(F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("student_id"))
     )

@@ -7,20 +7,20 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lectern.functions.text import squeeze
-
-# Fixed value: the spellings that count as a number.
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Fixed value: the spellings that count as a number, with ASCII space around.
+NUMBER_PATTERN = (
+    r"^[\s\x1C-\x1F]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[\s\x1C-\x1F]*$"
+)
 
 
 def to_number(text: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL."""
-    trimmed = squeeze(text)
-    return F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double"))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def to_int(text: Column) -> Column:
-    """Text to int, dropping a fraction; bad or overflowing text becomes NULL."""
+    """Text to int, dropping a fraction; bad or overflowing text becomes NULL. The
+    pattern comes first, because a failing cast of text raises inside and is slow."""
     return to_number(text).try_cast("int")
 
 

@@ -7,20 +7,28 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four separators the JVM class leaves out.
-_SPACE = r"[\s\x1C-\x1F]"
-_EDGES = rf"(?U)^{_SPACE}+|{_SPACE}+$"
-_RUNS = rf"(?U){_SPACE}+"
+# Fixed value: the characters that count as white space. Spelled out, because the
+# JVM class covers ASCII only and its Unicode mode is slow.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_OTHER_SPACE = WHITE_SPACE.replace(" ", "")
+_UNTIDY = f"  |[{_OTHER_SPACE}]"
+_RUNS = f"[{WHITE_SPACE}]+"
 
 
 def squeeze(text: Column) -> Column:
     """Strip both ends."""
-    return F.regexp_replace(text, _EDGES, "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def tidy(text: Column) -> Column:
-    """Strip both ends and collapse inner white space to one space."""
-    return F.regexp_replace(squeeze(text), _RUNS, " ")
+    """Strip both ends and collapse inner white space to one space. Most values
+    are tidy already, so runs are replaced only where there are any."""
+    single = F.when(text.rlike(_UNTIDY), F.regexp_replace(text, _RUNS, " "))
+    return F.trim(F.coalesce(single, text))
 
 
 def null_tokens(text: Column, tokens: Iterable[str]) -> Column:

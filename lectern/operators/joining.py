@@ -1,14 +1,23 @@
-"""Lookups. No side is broadcast by hint: a summary grows with the number of
-courses or students, so the choice is left to measured sizes, and the adaptive
-skew join splits a course or student that holds very many rows."""
+"""Lookups of summaries.
+
+No side is broadcast because it looks small: a summary grows with the number of
+courses or students, so that choice is left to sizes measured at run time. What is
+broadcast here is a list of heavy keys, which cannot be long (see ``heavy_keys``).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A key is heavy when it holds more than 1/HEAVY_PARTS of all rows and so many
+# rows that one task should not join them alone.
+HEAVY_PARTS = 1_000
+HEAVY_ROWS = 1_000_000
+SALTS = 64
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, whole rows compared: the greatest one is kept."""
@@ -22,20 +31,72 @@ def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def merge_left(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on a key that is unique on the right; on a clash of names the
-    left side wins."""
+    """Left join of two summaries, the key unique on both sides; on a clash of
+    names the left side wins."""
     added = [c for c in right.columns if c not in left.columns]
     return left.join(right.select(key, *added), key, "left")
 
 
-def lookup_or_zero(
-    left: DataFrame, right: DataFrame, key: str, columns: dict[str, str]
+def heavy_keys(
+    summary: DataFrame, key: str, rows: str, least_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """Keys with more than 1/HEAVY_PARTS of all rows. There are fewer than
+    HEAVY_PARTS of them, whatever the data."""
+    everything = summary.agg(F.sum(rows)).scalar()
+    heavy = (F.col(rows) * HEAVY_PARTS > everything) & (F.col(rows) > least_rows)
+    return summary.filter(heavy).select(key)
+
+
+def lookup(
+    left: DataFrame,
+    summary: DataFrame,
+    key: str,
+    columns: Sequence[str | Column],
+    rows: str,
+    least_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Attach right-side measures under new names; 0 where there is no match."""
-    measures = right.select(
-        key, *[F.col(source).alias(name) for name, source in columns.items()]
+    """Left join of detail rows with a stored summary that is unique on ``key``.
+
+    ``rows`` names the summary's column with the number of detail rows per key.
+    The rows of a heavy key are dealt out over SALTS join keys and its summary row
+    is repeated for each of them; all other keys join once. A summary that is an
+    aggregate on the join key needs no shuffle of its own, and without one the
+    adaptive skew join does not apply, hence the explicit split.
+
+    The salt comes from the task number: a repeated task reads the same rows, so a
+    lost executor cannot deal a row out differently.
+    """
+    heavy = F.broadcast(
+        heavy_keys(summary, key, rows, least_rows).withColumn("_heavy", F.lit(True))
     )
-    joined = left.join(measures, key, "left")
+    none = F.lit(0)
+    # A row without a key matches nothing, so it may go anywhere.
+    spread = F.col("_heavy") | F.col(key).isNull()
+    dealt = left.join(heavy, key, "left").withColumn(
+        "_salt",
+        F.when(spread, F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(none),
+    )
+    every = F.when(F.col("_heavy"), F.sequence(none, F.lit(SALTS - 1))).otherwise(
+        F.array(none)
+    )
+    repeated = (
+        summary.join(heavy, key, "left")
+        .withColumn("_salt", F.explode(every))
+        .select(key, "_salt", *columns)
+    )
+    return dealt.drop("_heavy").join(repeated, [key, "_salt"], "left").drop("_salt")
+
+
+def lookup_or_zero(
+    left: DataFrame,
+    summary: DataFrame,
+    key: str,
+    columns: dict[str, str],
+    rows: str,
+) -> DataFrame:
+    """``lookup`` under new names; 0 where there is no match."""
+    measures = [F.col(source).alias(name) for name, source in columns.items()]
+    joined = lookup(left, summary, key, measures, rows)
     return joined.withColumns(
         {name: F.coalesce(F.col(name), F.lit(0)) for name in columns}
     )

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from lectern import schema
 from lectern.functions.numeric import half_up, rate_to_percent, zero_if_null
 from lectern.operators import benchmark
-from lectern.operators.joining import first_per_key, lookup_or_zero
+from lectern.operators.joining import first_per_key, lookup, lookup_or_zero
+from lectern.operators.selecting import filter_equals
 from lectern.plans.layers import course_stat, student_dimension, student_feature
+from lectern.staging import stage
 
 BENCHMARKS = {
     "bench_time": "avg_study_time_hours",
@@ -27,10 +29,18 @@ _FEATURES = (
 )
 
 
-def served_features(facts: DataFrame) -> DataFrame:
-    """Student-level measures a profile shows, rounded as they are served."""
-    return student_feature(facts).select(
-        "student_id", *[half_up(F.col(c)).alias(c) for c in _FEATURES]
+def student_table(facts: DataFrame) -> DataFrame:
+    """Stored summary per student: measures, and attributes as one struct."""
+    basic = first_per_key(student_dimension(facts), ["student_id"])
+    return stage(
+        student_feature(facts).join(
+            basic.select(
+                "student_id",
+                F.struct("student_id", *schema.STUDENT_ATTRIBUTES).alias("basic"),
+            ),
+            "student_id",
+            "left",
+        )
     )
 
 
@@ -41,41 +51,45 @@ def _feature_or(feature: str, fallback: str) -> Column:
     return zero_if_null(F.when(stored, F.col(feature)).otherwise(F.col(fallback)))
 
 
-def attach_features(scored: DataFrame, features: DataFrame) -> DataFrame:
+def attach_features(scored: DataFrame, students: DataFrame) -> DataFrame:
     """Enrolments with ``value_<measure>``. Study time is the enrolment's own, the
-    other measures describe the student."""
-    features = features.select(
+    other measures describe the student, rounded as they are served."""
+    measures = [half_up(F.col(c)).alias(f"feature_{c}") for c in _FEATURES]
+    joined = lookup(
+        scored,
+        students,
         "student_id",
-        *[F.col(c).alias(f"feature_{c}") for c in _FEATURES],
-        F.lit(True).alias("has_features"),
+        [*measures, F.lit(True).alias("has_features")],
+        rows="course_count",
     )
-    return (
-        scored.join(features, "student_id", "left")
-        .withColumns(
-            {
-                "value_time": zero_if_null(F.col("time_spent_hours")),
-                "value_completion": _feature_or(
-                    "feature_completion_rate", "progress_percentage"
-                ),
-                "value_video": _feature_or(
-                    "feature_avg_video_completion_rate", "video_completion_rate"
-                ),
-                "value_grade": _feature_or(
-                    "feature_avg_project_grade", "assignment_submission_rate"
-                ),
-                "value_score": _feature_or("feature_avg_quiz_score", "quiz_score_avg"),
-            }
-        )
-        .drop("has_features", *[f"feature_{c}" for c in _FEATURES])
+    return joined.withColumns(
+        {
+            "value_time": zero_if_null(F.col("time_spent_hours")),
+            "value_completion": _feature_or(
+                "feature_completion_rate", "progress_percentage"
+            ),
+            "value_video": _feature_or(
+                "feature_avg_video_completion_rate", "video_completion_rate"
+            ),
+            "value_grade": _feature_or(
+                "feature_avg_project_grade", "assignment_submission_rate"
+            ),
+            "value_score": _feature_or("feature_avg_quiz_score", "quiz_score_avg"),
+        }
+    ).drop("has_features", *[f"feature_{c}" for c in _FEATURES])
+
+
+def benchmarked(
+    scored: DataFrame, students: DataFrame, course_risk: DataFrame
+) -> DataFrame:
+    """Enrolments with ``value_*`` and ``bench_*`` measures, from the stored
+    student and course summaries."""
+    valued = attach_features(scored, students)
+    return lookup_or_zero(
+        valued, course_risk, "course_id", BENCHMARKS, rows="student_count"
     )
 
 
-def benchmarked(scored: DataFrame, facts: DataFrame, course_risk: DataFrame) -> DataFrame:
-    """Enrolments with ``value_*`` and ``bench_*`` measures."""
-    valued = attach_features(scored, served_features(facts))
-    return lookup_or_zero(valued, course_risk, "course_id", BENCHMARKS)
-
-
 def student_benchmark(profiles: DataFrame) -> DataFrame:
     names = [f"{kind}_{m}" for kind in ("value", "bench", "above") for m in benchmark.MEASURES]
     return benchmark.add_comparison(profiles).select("student_id", "course_id", *names)
@@ -111,7 +125,7 @@ def student_report(profiles: DataFrame) -> DataFrame:
 
 
 def student_profile(
-    scored: DataFrame, facts: DataFrame, student_id: str | None = None
+    scored: DataFrame, students: DataFrame, student_id: str | None = None
 ) -> DataFrame:
     """Nested profile: who the student is, the student's measures, and one row per
     course taken with its warning.
@@ -119,17 +133,8 @@ def student_profile(
     The courses stay rows. Gathered into one array per student they would make a
     single value of a student with very many enrolments.
     """
-    if student_id:
-        scored = scored.filter(F.col("student_id") == student_id)
-        facts = facts.filter(F.col("student_id") == student_id)
-    basic = first_per_key(student_dimension(facts), ["student_id"])
-    features = student_feature(facts)
-    measures = [c for c in features.columns if c != "student_id"]
-    students = features.join(basic, "student_id", "left").select(
-        "student_id",
-        F.struct("student_id", *schema.STUDENT_ATTRIBUTES).alias("basic"),
-        F.struct(*measures).alias("feature"),
-    )
+    scored = filter_equals(scored, student_id=student_id)
+    measures = [c for c in students.columns if c not in ("student_id", "basic")]
     courses = scored.select(
         "student_id",
         F.struct(
@@ -145,7 +150,13 @@ def student_profile(
             "warning_level", "risk_sum", *[f"{r}_risk" for r in schema.RULE_LABELS]
         ).alias("warning"),
     )
-    return courses.join(students, "student_id", "left")
+    return lookup(
+        courses,
+        students,
+        "student_id",
+        ["basic", F.struct(*measures).alias("feature")],
+        rows="course_count",
+    )
 
 
 # detail name -> (fallback in the risk summary)

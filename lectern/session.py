@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes shuffle partitions, splits skewed join partitions and
-# picks broadcast joins from measured sizes. Nothing here forces a broadcast.
+# picks broadcast joins from measured sizes. The JVM does not compile methods above
+# 8000 bytes: a generated method beyond that runs interpreted, so wide projections
+# (40 parsed columns) are better off with many small generated functions.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.orc.impl": "native",
     "spark.sql.orc.filterPushdown": "true",
     "spark.sql.parquet.filterPushdown": "true",
