@@ -56,7 +56,8 @@ def map_category(
 def fill_text(
     df: DataFrame, columns: Sequence[str], default: str = schema.UNKNOWN
 ) -> DataFrame:
-    return df.na.fill(default, present(df, columns))
+    columns = present(df, columns)
+    return df.na.fill(default, columns) if columns else df
 
 
 def parse_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -132,6 +133,8 @@ def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ``df`` is read twice, so pass a stored table.
     """
     columns = present(df, columns)
+    if not columns:
+        return df
     medians = {
         row["measure"]: row["median"] for row in exact_medians(df, columns).collect()
     }
