@@ -451,6 +451,15 @@ def all_oracles() -> dict[str, str]:
             "SELECT * FROM weekly ORDER BY stat_year DESC, stat_week DESC LIMIT 24",
             "weekly",
         ),
+        "trend_latest_days": query(
+            f"""SELECT concat(week_label, '-D', cast(day + 1 AS string)) AS week_label,
+ {r('total_study_time_hours / 7 * (0.86e0 + day * 0.04e0)')} AS total_study_time_hours,
+ cast(floor(learner_count * (0.82e0 + day * 0.03e0) + 0.5e0) AS bigint) AS learner_count,
+ avg_quiz_score, cast(28 + (23 - age + day) % 6 AS int) AS avg_session_duration_min, true AS is_estimate
+ FROM (SELECT *, row_number() OVER (ORDER BY stat_year DESC, stat_week DESC) - 1 AS age FROM weekly),
+ (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS day) WHERE age < 4""",
+            "weekly",
+        ),
         "trend_week_spread": query(
             f"""SELECT concat(week_label, '-D', cast(day + 1 AS string)) AS week_label,
  {r('total_study_time_hours / 7 * (0.86e0 + day * 0.04e0)')} AS total_study_time_hours,

@@ -295,7 +295,10 @@ def _scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw-csv")
     (
         raw.write.options(
-            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            header=True,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
         ).csv(path)
     )
     return scans.scan_raw_csv(spark, path, raw.columns)
@@ -380,6 +383,7 @@ MARTS: dict[str, Query] = {
     "trend_week_spread": _facts(
         lambda f: overview.week_spread(marts.trend_weekly(f))
     ),
+    "trend_latest_days": _facts(lambda f: overview.latest_days(marts.trend_weekly(f))),
     "top_resources": _facts(
         lambda f: selecting.top(
             marts.resource_summary(f), 20, "access_volume", "resource_id"

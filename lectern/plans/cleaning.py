@@ -84,7 +84,7 @@ def finish(valid: DataFrame, rules: CleaningRules) -> DataFrame:
     measures = [c for c in rules.numeric if c != rules.target]
     return (
         valid.transform(C.fill_medians, measures)
-        .transform(C.fill_text, rules.text)
+        .transform(C.fill_text, [c for c, kind in valid.dtypes if kind == "string"])
         .transform(C.add_submission_rate, rules.submitted, rules.missed, rules.rate)
         .drop(*rules.personal)
         .transform(C.round_whole, [*rules.integer, *rules.flag])

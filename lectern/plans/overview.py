@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.numeric import half_up, zero_if_null
 from lectern.operators.aggregate import total
+from lectern.operators.selecting import latest
 from lectern.plans import marts, warnings
 
 
@@ -52,6 +53,12 @@ def week_spread(weekly: DataFrame) -> DataFrame:
     )
 
 
+def latest_days(weekly: DataFrame, weeks: int = 24, days: int = 28) -> DataFrame:
+    """The last day rows of the estimate over the last weeks."""
+    recent = latest(weekly, weeks, "stat_year", "stat_week")
+    return latest(week_spread(recent), days, "week_label")
+
+
 def report_datasets(facts: DataFrame) -> dict[str, DataFrame]:
     """The seven datasets of the report export."""
     scored = warnings.scored_enrolments(facts)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def write_clean_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
-        .options(header=True, encoding="UTF-8", dateFormat="yyyy-MM-dd")
+        .options(header=True, encoding="UTF-8", escape='"', dateFormat="yyyy-MM-dd")
         .csv(path)
     )
 

@@ -12,19 +12,27 @@ from pyspark.sql import types as T
 from lectern import schema
 from lectern.functions.text import null_tokens
 
+# A quote inside a quoted field is doubled, as data-frame libraries write it.
+_CSV = {"header": True, "encoding": "UTF-8", "escape": '"'}
+
 
 def scan_raw_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str],
     na_tokens: Sequence[str] = schema.CSV_NA_TOKENS,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Delimited text with a header, every column text, in file order; fields
-    that spell a missing value become NULL."""
+    that spell a missing value become NULL.
+
+    Files are split and read by many tasks. Quoted fields with line breaks in them
+    need ``line_breaks``, which reads each file in one task.
+    """
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = (
         spark.read.schema(text)
-        .options(header=True, encoding="UTF-8", multiLine=False)
+        .options(**_CSV, multiLine=line_breaks)
         .csv(path)
     )
     return df.select(*[null_tokens(F.col(c), na_tokens).alias(c) for c in columns])
@@ -36,7 +44,7 @@ def scan_clean_csv(
     """Cleaned text with a header and declared types."""
     return (
         spark.read.schema(table)
-        .options(header=True, encoding="UTF-8", dateFormat="yyyy-MM-dd")
+        .options(**_CSV, dateFormat="yyyy-MM-dd")
         .csv(path)
     )
 

@@ -22,6 +22,12 @@ def test_raw_scan_reads_missing_tokens_as_null(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [(" S1 ", "a, b"), (None, None), (None, "-"), (None, None)]
 
 
+def test_doubled_quotes_and_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "quoted.csv", 'a,b\n"say ""hi"", ok","x\ny"\n')
+    df = scans.scan_raw_csv(spark, path, ["a", "b"], line_breaks=True)
+    assert [tuple(r) for r in df.collect()] == [('say "hi", ok', "x\ny")]
+
+
 def test_byte_order_mark_is_not_part_of_the_first_value(spark, tmp_path):
     path = write(tmp_path / "bom.csv", "\ufeffstudent_id,age\nS1,20\n")
     df = scans.scan_raw_csv(spark, path, ["student_id", "age"])
