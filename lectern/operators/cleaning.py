@@ -92,22 +92,28 @@ def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def keep_last(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    among: Column | None = None,
 ) -> DataFrame:
     """One row per key, the greatest by ``order``, which must be total per key.
 
+    With ``among``, the last of the rows for which it holds. The condition takes part
+    in the ordering instead of filtering first: Spark would evaluate the parsing
+    behind such a filter once more for it.
+
     The rank-1 filter lets Spark drop all but one row per key inside each task
     before the shuffle, so a key with a very large share of the rows sends at
     most one row per task.
     """
-    latest = Window.partitionBy(*keys).orderBy(
-        *[(F.col(o) if isinstance(o, str) else o).desc() for o in order]
-    )
-    return (
-        df.withColumn("_nth", F.row_number().over(latest))
-        .filter(F.col("_nth") == 1)
-        .drop("_nth")
-    )
+    newest = [(F.col(o) if isinstance(o, str) else o).desc() for o in order]
+    if among is not None:
+        df = df.withColumn("_among", F.coalesce(among, F.lit(False)))
+        newest.insert(0, F.col("_among").desc())
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
+    kept = df.withColumn("_nth", first).filter(F.col("_nth") == 1).drop("_nth")
+    return kept if among is None else kept.filter("_among").drop("_among")
 
 
 def out_of_range(

@@ -53,6 +53,7 @@ def lookup(
     key: str,
     columns: Sequence[str | Column],
     rows: str,
+    spread: Sequence[str] = (),
     least_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Left join of detail rows with a stored summary that is unique on ``key``.
@@ -63,18 +64,19 @@ def lookup(
     aggregate on the join key needs no shuffle of its own, and without one the
     adaptive skew join does not apply, hence the explicit split.
 
-    The salt comes from the task number: a repeated task reads the same rows, so a
-    lost executor cannot deal a row out differently.
+    The salt comes from the ``spread`` columns, which should vary within a key, and
+    from the task number, which parts identical copies. A repeated task reads the
+    same rows, so a lost executor cannot deal a row out differently.
     """
     heavy = F.broadcast(
         heavy_keys(summary, key, rows, least_rows).withColumn("_heavy", F.lit(True))
     )
     none = F.lit(0)
     # A row without a key matches nothing, so it may go anywhere.
-    spread = F.col("_heavy") | F.col(key).isNull()
+    deal = F.col("_heavy") | F.col(key).isNull()
+    salt = F.pmod(F.hash(F.spark_partition_id(), *spread), F.lit(SALTS))
     dealt = left.join(heavy, key, "left").withColumn(
-        "_salt",
-        F.when(spread, F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(none),
+        "_salt", F.when(deal, salt).otherwise(none)
     )
     every = F.when(F.col("_heavy"), F.sequence(none, F.lit(SALTS - 1))).otherwise(
         F.array(none)
@@ -93,10 +95,11 @@ def lookup_or_zero(
     key: str,
     columns: dict[str, str],
     rows: str,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """``lookup`` under new names; 0 where there is no match."""
     measures = [F.col(source).alias(name) for name, source in columns.items()]
-    joined = lookup(left, summary, key, measures, rows)
+    joined = lookup(left, summary, key, measures, rows, spread)
     return joined.withColumns(
         {name: F.coalesce(F.col(name), F.lit(0)) for name in columns}
     )

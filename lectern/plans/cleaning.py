@@ -72,11 +72,9 @@ def select_valid(
     normalised: DataFrame, rules: CleaningRules, order: Sequence[str | Column]
 ) -> DataFrame:
     """Rows with all critical values, the last one per key, inside all ranges."""
-    return (
-        normalised.transform(C.drop_missing, rules.critical)
-        .transform(C.keep_last, rules.keys, order)
-        .transform(C.drop_out_of_range, rules.ranges)
-    )
+    complete = ~C.is_missing(rules.critical)
+    last = C.keep_last(normalised, rules.keys, order, among=complete)
+    return C.drop_out_of_range(last, rules.ranges)
 
 
 def finish(valid: DataFrame, rules: CleaningRules) -> DataFrame:

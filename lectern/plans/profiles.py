@@ -61,6 +61,7 @@ def attach_features(scored: DataFrame, students: DataFrame) -> DataFrame:
         "student_id",
         [*measures, F.lit(True).alias("has_features")],
         rows="course_count",
+        spread=["course_id", "enrollment_date"],
     )
     return joined.withColumns(
         {
@@ -86,7 +87,12 @@ def benchmarked(
     student and course summaries."""
     valued = attach_features(scored, students)
     return lookup_or_zero(
-        valued, course_risk, "course_id", BENCHMARKS, rows="student_count"
+        valued,
+        course_risk,
+        "course_id",
+        BENCHMARKS,
+        rows="student_count",
+        spread=["student_id", "time_spent_hours"],
     )
 
 
@@ -156,6 +162,7 @@ def student_profile(
         "student_id",
         ["basic", F.struct(*measures).alias("feature")],
         rows="course_count",
+        spread=["course"],
     )
 
 

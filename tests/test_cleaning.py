@@ -30,6 +30,13 @@ def test_keep_last_takes_the_greatest_order_value(spark):
     assert sorted(rows(kept), key=str) == [("a", "new"), (None, "n")]
 
 
+def test_keep_last_among_rows_that_qualify(spark):
+    data = [("a", 1, True), ("a", 2, False), ("b", 1, False), ("c", 1, None), (None, 1, True)]
+    df = spark.createDataFrame(data, "k string, o int, ok boolean")
+    kept = C.keep_last(df, ["k"], ["o"], among=F.col("ok"))
+    assert sorted(rows(kept), key=str) == [("a", 1, True), (None, 1, True)]
+
+
 def test_keep_last_reduces_a_hot_key_before_the_shuffle(spark):
     df = spark.createDataFrame([("k", i) for i in range(100)], "k string, id int")
     plan_text = C.keep_last(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()

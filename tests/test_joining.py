@@ -8,7 +8,7 @@ def _lookup(spark, rows, least_rows):
     summary = detail.filter("k <> 'none'").groupBy("k").agg(
         F.count("*").alias("rows"), F.sum("n").alias("total")
     )
-    return joining.lookup(detail, summary, "k", ["total"], "rows", least_rows)
+    return joining.lookup(detail, summary, "k", ["total"], "rows", ["n"], least_rows)
 
 
 ROWS = [("hot", i) for i in range(400)] + [(f"k{i}", i) for i in range(300)]

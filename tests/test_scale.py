@@ -86,7 +86,7 @@ def test_hot_course_lookup_survives_a_third_of_all_rows(spark, monkeypatch):
     students, course_risk = profiles.student_table(facts), warnings.stored_course_risk(scored)
 
     def run(least_rows):
-        monkeypatch.setattr(joining.lookup, "__defaults__", (least_rows,))
+        monkeypatch.setattr(joining.lookup, "__defaults__", ((), least_rows))
         out = profiles.student_benchmark(profiles.benchmarked(scored, students, course_risk))
         return sorted(map(str, out.collect()))
 
