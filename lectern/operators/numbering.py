@@ -73,7 +73,8 @@ def dense_rank_counts(df: DataFrame, measure: str, name: str) -> DataFrame:
 
     d different positive counts sum to at least d(d+1)/2, so at most sqrt(2N)
     values are ranked: about a million for 5e11 rows. That list, not the rows,
-    goes through the one-task window.
+    goes through the one-task window. Both uses of ``df`` need the same columns, so
+    they share one exchange and the input is read once.
     """
     values = df.select(F.col(measure).alias("_value")).distinct()
     ranks = values.withColumn(

@@ -103,3 +103,10 @@ def test_duplicates_of_one_key_collapse_to_one_row(spark):
     df = spark.range(5000).select(F.lit("S1").alias("s"), (F.col("id") % 2).cast("string").alias("c"), "id")
     out = cleaning.keep_last(df, ["s", "c"], ["id"]).collect()
     assert sorted(r["id"] for r in out) == [4998, 4999]
+
+
+def test_ranking_reads_the_facts_once(stored):
+    ranked = marts.rank_enrollment(stored)
+    ranked.collect()
+    final = plan(ranked).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
