@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import lines, mixing, packing, simhash, toxicity
+from lectern.llm import chat, hnsw, licences, lines, mixing, packing, shards, simhash, toxicity, urls
 from lectern.llm.common import pick
 from lectern.operators.numbering import number_rows
 
@@ -28,6 +28,38 @@ def _learnable(labels: DataFrame) -> DataFrame:
     return labels.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
 
 
+#: A conversation whose texts look like the template.
+TRICKY = -7
+TRICKY_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pick(_table(spark, sf_dir, "conversations"), conv_id="conv_id", turn="turn", role="role", text="text")
+    tricky = spark.range(2).select(
+        F.lit(TRICKY).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY_TEXT).alias("text"),
+    )
+    shown = chat.formatted(chat.replies_by_turn(rows.unionByName(tricky)))
+    turns = F.transform(chat.read_turns(F.col("formatted")), chat.read_turn)
+    listed = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(chat.read_loss(F.col("formatted"), F.col("loss_mask")), "")
+    return shown.select(
+        F.col("tree").alias("conv_id"),
+        "n_turns",
+        F.sha2(F.array_join(listed, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hnsw.usable(_table(spark, sf_dir, "embeddings"))
+    return hnsw.nearest(rows, rows.filter("vec_id % 50 = 0"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +83,19 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "verdict.*")
 
 
+URL_RULES = [
+    urls.Rule(urls.ALLOW, "org/"),
+    urls.Rule(urls.BLOCK, "example.org/es/"),
+    urls.Rule(urls.BLOCK, "example.org/en/1"),
+    urls.Rule(urls.ALLOW, "com/fr/"),
+    urls.Rule(urls.BLOCK, "com/de/"),
+]
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(_table(spark, sf_dir, "documents"), doc_id="doc_id", source="source")
     copies = mixing.replicated(docs, MIX_WEIGHTS, OTHER_WEIGHT, seed=MIX_SEED)
@@ -58,12 +103,59 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "source", "copy", (F.col("position") - 1).alias("position"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    sized = docs.select(
+        "doc_id",
+        shards.byte_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64("text").alias("copies"),
+    )
+    placed = shards.assigned(sized, size="size", group="copies")
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as files: a folder for each source, language and thousand of ids. A text that
+    closes with a licence notice counts as its folder's licence file."""
+    docs = pick(_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang", source="source")
+    path = F.concat_ws("/", "source", "lang", F.expr("doc_id div 1000"), "doc_id")
+    files = docs.select(
+        "doc_id", "text", path.alias("path"), licences.closing_notice(F.col("text")).alias("is_licence_file")
+    )
+    return licences.scan(files).withColumnRenamed("file_id", "doc_id")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(
         _table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
     )
 
 
+OP1_SQL = rf"""
+WITH rows AS (
+ SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT {TRICKY}, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '{TRICKY_TEXT}' FROM range(2) t(i)),
+shown AS (SELECT *,
+  replace(replace(replace(text, '\', '\\'), '### ', '\h'), '</turn>', '\c') AS body,
+  replace(replace(replace(replace(role, '\', '\\'), '### ', '\h'), '</turn>', '\c'), ':', '\r') AS name
+ FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+ sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+ coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ sum(length(body) + length(name) + 14 + CASE WHEN regexp_matches(role, '^[a-z]') THEN 0 ELSE 1 END)::BIGINT AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
 _SHARES = ", ".join(f"('{s}', {w}::DOUBLE)" for s, w in MIX_WEIGHTS.items())
 _UNIFORM = "('0x' || md5('{seed}/copies:' || coalesce(doc_id::VARCHAR, ''))[1:13])::BIGINT / 4503599627370496.0::DOUBLE"
 
@@ -87,19 +179,87 @@ SELECT doc_id, source, copy,
 FROM copies
 """
 
+_HOST = r"^.*?://([^/?#]*)"
+_PATH = r"^.*?://[^/?#]*([^?#]*)"
+
+
+def _sql_host(url: str) -> str:
+    return f"translate(regexp_extract({url}, '{_HOST}', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _sql_path(url: str) -> str:
+    return f"regexp_extract({url}, '{_PATH}', 1, 's')"
+
+
+def _sql_key(url: str) -> str:
+    path = rf"regexp_replace({_sql_path(url)}, '(/|/index\.html?|\.html?)$', '')"
+    return f"CASE WHEN {_sql_host(url)} <> '' THEN {_sql_host(url)} || {path} END"
+
+
+def _sql_link(outer: str, inner: str) -> str:
+    quote = "[\"'']?"
+    value = "([^\"''\\s>]+)"
+    return f"regexp_extract(regexp_extract(html, '{outer.format(q=quote)}', 0, 'is'), '{inner.format(q=quote, v=value)}', 1, 'is')"
+
+
+_CANONICAL = _sql_link(r"<link\b[^>]*\brel\s*=\s*{q}canonical\b[^>]*>", r"\bhref\s*=\s*{q}{v}")
+_REFRESH = _sql_link(r"<meta\b[^>]*\bhttp-equiv\s*=\s*{q}refresh\b[^>]*>", r"\burl\s*=\s*{q}{v}")
+_VERDICTS = ", ".join(f"('{r.rule}', '{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
+_SCHEME = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)"
+
+
+def _sql_rule(host: str, path: str) -> str:
+    return f"""(SELECT arg_max(r, length(r.rule)) FROM rules r
+ WHERE ({host} = r.host OR ends_with({host}, '.' || r.host)) AND starts_with({path}, r.path))"""
+
+
+OP6_SQL = f"""
+WITH RECURSIVE rules(rule, host, path, verdict) AS (VALUES {_VERDICTS}),
+found AS (SELECT coalesce(url, '') AS url, unnest([{_CANONICAL}, {_REFRESH}]) AS link FROM pages),
+links AS (SELECT url, CASE WHEN contains(link, '://') THEN link
+  WHEN starts_with(link, '//') THEN {_SCHEME} || ':' || link
+  WHEN starts_with(link, '/') THEN {_SCHEME} || '://' || {_sql_host("url")} || link
+  ELSE {_SCHEME} || '://' || {_sql_host("url")} || coalesce(nullif(regexp_extract({_sql_path("url")}, '^(.*/)', 1, 's'), ''), '/') || link END AS target
+ FROM found WHERE link <> ''),
+edges AS (SELECT DISTINCT {_sql_key("url")} AS a, {_sql_key("target")} AS b, target FROM links),
+named AS (SELECT * FROM edges WHERE a IS NOT NULL AND b IS NOT NULL),
+edges_both AS (SELECT a, b FROM named UNION SELECT b, a FROM named),
+reach(node, other) AS (SELECT a, a FROM edges_both UNION SELECT a, b FROM edges_both
+ UNION SELECT r.node, e.b FROM reach r JOIN edges_both e ON r.other = e.a),
+classes AS (SELECT node, min(other) AS class FROM reach GROUP BY node),
+judged AS (SELECT page_id, {_sql_host("coalesce(url, '')")} AS host, {_sql_path("coalesce(url, '')")} AS path,
+  {_sql_key("coalesce(url, '')")} AS key FROM pages),
+ruled AS (SELECT j.*, {_sql_rule("j.host", "j.path")} AS r, coalesce(c.class, j.key) AS class
+ FROM judged j LEFT JOIN classes c ON j.key = c.node),
+marks AS (SELECT class, r.verdict AS verdict FROM ruled WHERE class IS NOT NULL
+ UNION ALL SELECT coalesce(c.class, n.b), {_sql_rule(_sql_host("n.target"), _sql_path("n.target"))}.verdict
+ FROM named n LEFT JOIN classes c ON n.b = c.node),
+blocked AS (SELECT class FROM marks GROUP BY class
+ HAVING coalesce(bool_or(verdict = 'block'), false) AND NOT coalesce(bool_or(verdict = 'allow'), false))
+SELECT page_id, host, path, ruled.r.rule AS rule,
+ coalesce(ruled.r.verdict, CASE WHEN b.class IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+ ruled.class AS alias_class
+FROM ruled LEFT JOIN blocked b ON ruled.class = b.class
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_chat_format": op1_chat_format,
+        "op2_hnsw": op2_hnsw,
         "op3_simhash": op3_simhash,
         "op4_toxicity": op4_toxicity,
         "op5_quality_rules": op5_quality_rules,
+        "op6_url_filters": op6_url_filters,
         "op7_mixing": op7_mixing,
+        "op8_sharding": op8_sharding,
+        "op9_licences": op9_licences,
         "op10_packing": op10_packing,
     }
 
 
 def llm_oracles() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op7_mixing": OP7_SQL}
+    return {"op1_chat_format": OP1_SQL, "op6_url_filters": OP6_SQL, "op7_mixing": OP7_SQL}

@@ -1,0 +1,42 @@
+import random
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[2]
+sys.path[:0] = [p for p in (str(ROOT), str(ROOT / "tests")) if p not in sys.path]
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def docs(spark):
+    """Documents from (doc_id, text) or whole rows, with columns that clash in name."""
+
+    def build(rows, clash=False):
+        full = [tuple(r) + (None,) * (5 - len(r)) for r in rows]
+        df = spark.createDataFrame(full, DOCS)
+        if clash:
+            names = "fp row component_id verdict score kept part bucket copy order_key shard slot piece length _n TEXT Doc_ID".split()
+            from pyspark.sql import functions as F
+
+            df = df.select("*", *[F.lit("x").alias(n) for n in names])
+        return df
+
+    return build
+
+
+@pytest.fixture
+def words():
+    """A text of n words by a seed."""
+
+    def make(n, seed, vocabulary=400):
+        rng = random.Random(seed)
+        return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+    return make
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)
