@@ -9,7 +9,9 @@ length and number, the line that uses them.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
@@ -46,11 +48,7 @@ class WordEncoder:
     tokenizer makes of them; any other word goes through the whole tokenizer.
     """
 
-    _LETTERS = frozenset(
-        "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßABCDEFGHIJKLMNOPQRSTUVWXYZ"
-        "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
-    )
-    _MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+    _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)").fullmatch
 
     def __init__(self, definition: str):
         self._whole = Tokenizer.from_str(definition)
@@ -63,35 +61,37 @@ class WordEncoder:
         known = self._words.get(unit) or self._older.get(unit)
         if known is None:
             shown = unit if unit.isascii() else unit.encode().decode("latin1").translate(self._letters)
-            ids = [token.id for token in self._model.tokenize(shown)]
-            known = self._words[unit] = np.array(ids, "<u4").tobytes()
+            known = array("I", [token.id for token in self._model.tokenize(shown)]).tobytes()
+            self._words[unit] = known
         return known
 
     def _word(self, word: str) -> bytes:
-        letters = word.rstrip(self._MARKS)
-        marks = word[len(letters) :]
         if len(self._words) >= WORDS_KEPT:
             self._older, self._words = self._words, {}
         if known := self._older.get(word):
-            ids = known
-        elif self._LETTERS.issuperset(letters):
+            self._words[word] = known
+            return known
+        if plain := self._PLAIN(word):
+            letters, marks = plain.groups()
             ids = self._unit(letters.lower()) if letters else b""
             ids += self._unit(marks) if marks else b""
         else:
-            encoded = self._whole.encode(word, add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4").tobytes()
+            ids = array("I", self._whole.encode(word, add_special_tokens=False).ids).tobytes()
         self._words[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        get, missing = self._words.get, self._word
-        # Split at ASCII white space alone; other white space stays inside a word.
-        parts = text.translate(_BLANKS).split(" ")
-        return b"".join([get(w) or missing(w) for w in parts if w])
+        # str.split() also cuts at the four separators, which are no white space here.
+        words = _ASCII_WORDS(text) if _SEPARATORS(text) else text.split()
+        missing = self._word
+        # A generation may end on the way, so the table is looked up for each text.
+        get = self._words.get
+        return b"".join([get(w) or missing(w) for w in words])
 
 
-_BLANKS = {c: " " for c in b"\t\n\v\f\r"}
+_SEPARATORS = re.compile("[\x1c-\x1f]").search
+_ASCII_WORDS = re.compile("[^ \t\n\v\f\r]+").findall
 
 
 @lru_cache(maxsize=2)

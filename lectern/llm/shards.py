@@ -32,12 +32,14 @@ ROUNDS = 12
 def _splitters(rows: DataFrame, cuts: int, round_: int) -> DataFrame:
     """``range``, ``bounds``: for each range of ``rows`` that is to be cut, at most ``cuts``
     keys at the quantiles of a sample weighted by size."""
-    totals = rows.groupBy("range").agg(F.sum("size").alias("_bytes"))
-    totals = totals.select(F.struct("range").alias("_r"), "_bytes")
+    totals = rows.groupBy("range").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
+    totals = totals.select(F.struct("range").alias("_r"), "_bytes", "_rows", F.lit(1).alias("_one"))
     # In the first round all rows are one range, so this is one row.
     totals = totals if round_ else F.broadcast(totals)
     u = F.pmod(F.xxhash64("key", F.lit(round_)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    chance = F.col("size") * F.lit(float(cuts * SAMPLES)) / F.col("_bytes")
+    # A range without any bytes is sampled by rows.
+    weight, total = (F.when(F.col("_bytes") > 0, F.col(c)).otherwise(F.col(d)) for c, d in (("size", "_one"), ("_bytes", "_rows")))
+    chance = weight * F.lit(float(cuts * SAMPLES)) / total
     sampled = (
         rows.withColumn("_r", F.struct("range")).join(totals, "_r").filter(u < chance).select("range", "key")
     )

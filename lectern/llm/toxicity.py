@@ -37,6 +37,8 @@ SAMPLE_CHARS = 20_000
 THRESHOLD = 0.7
 #: Lengths of the beginnings of words that may be learned.
 STEMS = range(3, 9)
+#: Behind a feature that is a whole word.
+WHOLE = "$"
 
 # Closed classes of words in the four languages of the corpus.
 TARGETS = "you your yours yourself u they them du dich dir dein ihr euch tu toi vous vos ton tú ti usted ustedes vosotros".split()
@@ -48,6 +50,10 @@ INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "I", "H", "T", "N", "R", "."
 SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)
 #: What the grammar can find: an insult or a threat; aimed, plain, negated or reported.
 KINDS = tuple(a + b for a in (INSULT, THREAT) for b in ("+", "", "-", "'"))
+#: A kind's evidence counts up to here; what is beyond adds nothing to a clear case.
+MOST_EVIDENCE = 25.0
+#: A match says less in a longer text: what the size takes off is fixed.
+SIZE_WEIGHT = -0.5
 #: What a kind is worth before the labels are seen, times the weight of its word.
 PRIOR = {
     "I+": 1.3, "I": 1.0, "I-": 0.4, "I'": 0.6,
@@ -161,40 +167,45 @@ class Grammar:
                     yield out, s[1]
 
     def evidence(self, text: str) -> np.ndarray:
-        """The summed weights of each kind."""
+        """The summed weights of each kind, and the size of a text that has any match: chance
+        has more room in a long one."""
         sums = dict.fromkeys(KINDS, 0.0)
         for kind, weight in self.matches(text):
-            sums[kind] += weight
-        return np.array([sums[k] for k in KINDS])
+            sums[kind] = min(MOST_EVIDENCE, sums[kind] + weight)
+        size = math.log1p(len(text) / 1000) if any(sums.values()) else 0.0
+        return np.array([*[sums[k] for k in KINDS], size])
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     lexicon: Lexicon
-    weights: tuple[float, ...]  # one for each kind
+    weights: tuple[float, ...]  # one for each kind, at least 0, and for size
     bias: float
 
     def score(self, evidence: np.ndarray) -> float:
-        # Sums count by their root: many matches say little more than some.
-        z = self.bias + float(np.sqrt(evidence) @ np.array(self.weights))
+        z = self.bias + float(evidence @ np.array(self.weights))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _fit(evidence: np.ndarray, toxic: np.ndarray, steps: int = 400) -> tuple[tuple[float, ...], float]:
-    """Logistic regression drawn toward the priors, classes weighed alike."""
-    x = np.sqrt(evidence)
-    prior = 2.0 * np.array([PRIOR[k] for k in KINDS])
-    w, b = prior.copy(), -2.0
-    n = len(toxic)
-    if not n or toxic.all() or not toxic.any():
+def _fit(
+    evidence: np.ndarray, toxic: np.ndarray, share: float, steps: int = 500
+) -> tuple[tuple[float, ...], float]:
+    """Logistic regression drawn toward the priors. ``share`` is that of toxic texts among
+    all labelled ones; the sample is weighed accordingly."""
+    prior = np.array([PRIOR[k] for k in KINDS] + [SIZE_WEIGHT])
+    lower = np.array([0.0] * len(KINDS) + [SIZE_WEIGHT])
+    upper = np.array([np.inf] * len(KINDS) + [SIZE_WEIGHT])
+    w, b = prior.copy(), -2.5
+    if not len(toxic) or toxic.all() or not toxic.any():
         return tuple(w.tolist()), b
-    c = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
+    c = np.where(toxic, share / toxic.sum(), (1 - share) / (~toxic).sum())
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(evidence @ w + b, -30, 30)))
         g = c * (p - toxic)
         # Newton's step for each weight by itself is enough for so few.
         h = c * p * (1 - p)
-        w = np.maximum(0.0, w - 0.3 * (x.T @ g + 1e-2 * (w - prior)) / (h @ (x * x) + 1e-2))
+        step = (evidence.T @ g + 1e-3 * (w - prior)) / (h @ (evidence * evidence) + 1e-2)
+        w = np.clip(w - 0.3 * step, lower, upper)
         b -= 0.3 * g.sum() / (h.sum() + 1e-3)
     return tuple(w.tolist()), float(b)
 
@@ -220,10 +231,28 @@ def _learned(features: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
         )
     )
     tried = max(1, counts.count())
-    least = 2 * math.log(100 * tried)
-    toxic, clean = F.col("toxic") / n_toxic, F.col("clean") / n_clean
-    strong = _strength(F.col("toxic"), F.col("clean"), n_toxic, n_clean) > least
-    return counts.filter(strong & (toxic > 9 * clean))
+    strength = _strength(F.col("toxic"), F.col("clean"), n_toxic, n_clean)
+    pure = F.col("toxic") / n_toxic > 9 * F.col("clean") / n_clean
+    return counts.withColumn("strength", strength).filter(pure & (F.col("strength") > 2 * math.log(100 * tried)))
+
+
+def _chosen(found: list, n_toxic: int, n_clean: int) -> Lexicon:
+    """The strongest features of which none continues another. A whole word goes before its
+    beginnings, and a longer one before a shorter, if about as strong."""
+    weights = {
+        r["feature"]: math.log((r["toxic"] + 0.5) / (n_toxic + 1)) - math.log((r["clean"] + 0.5) / (n_clean + 1))
+        for r in found
+    }
+    words, stems, taken = {}, {}, set()
+    order = sorted(found, key=lambda r: (-r["strength"] * (1 + 0.01 * len(r["feature"])), r["feature"]))
+    for feature in (r["feature"] for r in order):
+        bare = feature.rstrip(WHOLE)
+        begins = {bare[:n] for n in range(1, len(bare) + 1)}
+        if begins & stems.keys() or bare in taken:
+            continue
+        taken |= begins
+        (words if feature.endswith(WHOLE) else stems)[bare] = weights[feature]
+    return Lexicon(words, stems)
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> ToxicityModel:
@@ -248,23 +277,18 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     lexicon = Lexicon({}, {})
     if n_toxic and n_clean:
         words = F.array_distinct(F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)"))
-        listed = rows.select("toxic", words.alias("words"))
-        spread = listed.select("toxic", F.explode("words").alias("feature"))
-        found = _learned(spread, n_toxic, n_clean).collect()
-        lexicon = Lexicon(_weights(found, n_toxic, n_clean), {})
-        # Beginnings, of the words that are not learned as they are.
-        rest = F.filter("words", lambda w: ~w.isin(list(lexicon.words)))
-        stems = F.array_distinct(
-            F.flatten(
-                F.transform(rest, lambda w: F.transform(F.array(*map(F.lit, STEMS)), lambda n: F.when(F.length(w) >= n, F.substring(w, F.lit(1), n))))
-            )
+        lengths = F.array(*map(F.lit, STEMS))
+        begins = F.transform(
+            "words", lambda w: F.transform(lengths, lambda n: F.when(F.length(w) > n, F.substring(w, F.lit(1), n)))
+        )
+        whole = F.transform("words", lambda w: F.concat(w, F.lit(WHOLE)))
+        features = F.array_distinct(F.concat(whole, F.flatten(begins)))
+        spread = (
+            rows.select("toxic", words.alias("words"))
+            .select("toxic", F.explode(features).alias("feature"))
+            .filter("feature is not null")
         )
-        starts = listed.select("toxic", F.explode(stems).alias("feature")).filter("feature is not null")
-        found = _learned(starts, n_toxic, n_clean).collect()
-        weights = _weights(found, n_toxic, n_clean)
-        # The shortest beginning stands for those that continue it.
-        short = {s: w for s, w in weights.items() if not any(s[:n] in weights for n in STEMS if n < len(s))}
-        lexicon = Lexicon(lexicon.words, short)
+        lexicon = _chosen(_learned(spread, n_toxic, n_clean).collect(), n_toxic, n_clean)
 
     @F.arrow_udf("array<double>")
     def measured(column: pa.Array) -> pa.Array:
@@ -272,18 +296,13 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         return pa.array([machine.evidence(t).tolist() for t in texts(column)], pa.list_(pa.float64()))
 
     found = rows.select("toxic", measured("text").alias("e")).collect()
-    evidence = np.array([r["e"] for r in found]).reshape(len(found), len(KINDS))
-    weights, bias = _fit(evidence, np.array([r["toxic"] == 1 for r in found], bool))
+    evidence = np.array([r["e"] for r in found]).reshape(len(found), len(KINDS) + 1)
+    marks = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = marks.get(1, 0) / max(1, marks.get(1, 0) + marks.get(0, 0))
+    weights, bias = _fit(evidence, np.array([r["toxic"] == 1 for r in found], bool), share)
     return ToxicityModel(lexicon, weights, bias)
 
 
-def _weights(found: list, n_toxic: int, n_clean: int) -> dict[str, float]:
-    return {
-        r["feature"]: math.log((r["toxic"] + 0.5) / (n_toxic + 1)) - math.log((r["clean"] + 0.5) / (n_clean + 1))
-        for r in found
-    }
-
-
 def scored(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` and the score of each whole text, 0 to 1. A null text counts as empty. Columns
     are kept, but one that is named like the new one gives way."""
