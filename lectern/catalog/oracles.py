@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from lectern import schema
 from lectern.operators import advice
-from lectern.sources.views import LEARNING, ODS_LEARNING, RAW_LEARNING, TABLES
+from lectern.sources.views import LEARNING, ODS_LEARNING, RAW_COLUMNS, RAW_LEARNING, TABLES
 
 _PLAIN = {name: name for name in (*TABLES, "learning")}
 
@@ -69,7 +69,11 @@ def _flag(text: str) -> str:
     )
 
 
+_SPACE = "chr(12288) || ' '"
+
+
 def _percent(text: str) -> str:
+    text = f"trim({text}, {_SPACE})"
     number = _num(f"replace({text}, '%', '')")
     return (
         f"CASE WHEN NOT contains({text}, '%') AND ({number}) BETWEEN 0 AND 1 "
@@ -77,14 +81,66 @@ def _percent(text: str) -> str:
     )
 
 
+def _date(text: str) -> str:
+    iso = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
+    return (
+        f"CASE WHEN regexp_matches({text}, '{iso}') THEN try_cast(regexp_extract({text}, '^[0-9-]+') AS date)"
+        f" ELSE cast(coalesce(try_strptime({text}, '%Y/%m/%d'), try_strptime({text}, '%Y.%m.%d')) AS date) END"
+    )
+
+
+def _even(value: str) -> str:
+    return f"round_even(({value}) * 100, 0) / 100"
+
+
+def _clean_column(name: str) -> str:
+    """A raw column after the steps that look at one row."""
+    if name == "Gender":
+        return _gender(_token(_tidy(name)))
+    if name in schema.RAW_TEXT:
+        text = _token(_tidy(name))
+        return f"coalesce({text}, 'Unknown')" if name in schema.RAW_CATEGORY else text
+    if name in schema.RAW_PERCENT:
+        return _percent(name)
+    if name in schema.RAW_FLAG:
+        return _flag(name)
+    if name in schema.RAW_DATE:
+        return _date(name)
+    return _num(name)
+
+
+_MEASURES = [
+    c
+    for c in [*schema.RAW_INTEGER, *schema.RAW_FLOAT, *schema.RAW_PERCENT, *schema.RAW_FLAG]
+    if c != schema.RAW_TARGET
+]
+
+
+def _finished(name: str) -> str:
+    """A cleaned column as it leaves: filled, rounded, dates as text."""
+    if name in schema.RAW_DATE:
+        return f"cast({name} AS string)"
+    if name in schema.RAW_TEXT:
+        return f"coalesce({name}, 'Unknown')"
+    filled = f"coalesce({name}, m_{name})" if name in _MEASURES else name
+    if name in schema.RAW_INTEGER or name in schema.RAW_FLAG:
+        return f"cast(round_even({filled}, 0) AS bigint)"
+    return _even(filled)
+
+
+_SUBMITTED, _MISSED = (f"coalesce({c}, m_{c})" for c in ("Assignments_Submitted", "Assignments_Missed"))
+_RATE = _even(
+    f"CASE WHEN {_SUBMITTED} + {_MISSED} > 0 THEN "
+    + _even(f"{_SUBMITTED} / ({_SUBMITTED} + {_MISSED}) * 100")
+    + " ELSE 0.0 END"
+)
+
 LINE = "l_orderkey, l_linenumber, l_suppkey, l_extendedprice"
 LINE_DESC = ", ".join(f"{c} DESC" for c in LINE.split(", "))
 
 _NEWEST = "row_number() OVER (PARTITION BY Student_ID, Course_ID ORDER BY " + LINE_DESC + ")"
-_BAD = (
-    "(Age IS NOT NULL AND NOT Age BETWEEN 10 AND 100)"
-    " OR (Progress_Percentage IS NOT NULL AND NOT Progress_Percentage BETWEEN 0 AND 100)"
-    " OR (Completed IS NOT NULL AND NOT Completed BETWEEN 0 AND 1)"
+_BAD = " OR ".join(
+    f"({c} IS NOT NULL AND NOT {c} BETWEEN {low} AND {high})" for c, (low, high) in schema.RAW_RANGES.items()
 )
 _INCOMPLETE = (
     "Student_ID IS NULL OR Course_ID IS NULL OR Course_Name IS NULL OR Completed IS NULL"
@@ -118,23 +174,13 @@ def _typed_column(name: str, kind: str) -> str:
         number = _num(name)
         return f"cast(trunc({number}) AS int) AS {name}"
     if kind == "date":
-        return f"try_cast({name} AS date) AS {name}"
+        return f"{_date(name)} AS {name}"
     return name
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "learning": ((), LEARNING.format(**_PLAIN)),
-    "raw": (
-        (),
-        "SELECT "
-        + LINE
-        + """, student_id_raw AS Student_ID, course_id_raw AS Course_ID,
- course_id_raw AS Course_Name, gender_raw AS Gender, city_raw AS City, age_raw AS Age,
- progress_raw AS Progress_Percentage, completed_raw AS Completed,
- enrollment_date_raw AS Enrollment_Date FROM ("""
-        + RAW_LEARNING.format(**_PLAIN)
-        + ")",
-    ),
+    "raw": ((), RAW_LEARNING.format(**_PLAIN)),
     "tokens": (
         ("raw",),
         f"""SELECT {LINE}, {_token(_tidy('Student_ID'))} AS Student_ID,
@@ -142,14 +188,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "normal": (
         ("raw",),
-        f"""SELECT {LINE}, {_token(_tidy('Student_ID'))} AS Student_ID,
- {_token(_tidy('Course_ID'))} AS Course_ID,
- coalesce({_token(_tidy('Course_Name'))}, 'Unknown') AS Course_Name,
- {_gender(_token(_tidy('Gender')))} AS Gender,
- coalesce({_token(_tidy('City'))}, 'Unknown') AS City, {_num('Age')} AS Age,
- {_percent('Progress_Percentage')} AS Progress_Percentage,
- {_flag('Completed')} AS Completed,
- try_cast(Enrollment_Date AS date) AS Enrollment_Date FROM raw""",
+        f"SELECT {LINE}, " + ", ".join(f"{_clean_column(c)} AS {c}" for c in RAW_COLUMNS) + " FROM raw",
     ),
     "complete": (("normal",), f"SELECT * FROM normal WHERE NOT ({_INCOMPLETE})"),
     "newest": (
@@ -159,7 +198,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "valid": (("newest",), f"SELECT * FROM newest WHERE NOT ({_BAD})"),
     "medians": (
         ("valid",),
-        "SELECT coalesce(median(Age), 0) AS m_age, coalesce(median(Progress_Percentage), 0) AS m_progress FROM valid",
+        "SELECT " + ", ".join(f"coalesce(median({c}), 0) AS m_{c}" for c in _MEASURES) + " FROM valid",
+    ),
+    "enrolled": (
+        ("learning",),
+        """SELECT * EXCLUDE nth FROM (SELECT *, row_number() OVER (PARTITION BY student_id, course_id
+ ORDER BY enrollment_date DESC, payment_amount DESC, login_frequency DESC) AS nth FROM learning) WHERE nth = 1""",
     ),
     "ods": (("learning",), ODS_LEARNING.format(**_PLAIN)),
     "typed": (
@@ -346,7 +390,42 @@ _PLATFORM = {
 }
 
 
-def _conformed() -> str:
+def _decimal(value: str, kind: str) -> str:
+    exact = f"cast(cast({value} AS string) AS decimal(38,18))"
+    return f"coalesce(cast(try_cast({exact} AS {kind}) AS double), 0.0)"
+
+
+def _served(table: str, source: str) -> str:
+    """A served summary: its averages straight from the facts, as exact decimals."""
+    means = {
+        "avg_study_time_hours": "time_spent_hours",
+        "avg_session_duration_min": "average_session_duration_min",
+        "avg_assignment_submit_rate": "assignment_submission_rate",
+        "avg_quiz_score": "quiz_score_avg",
+    }
+    own = {
+        "learner_count": "count(*)",
+        "course_count": "count(*)",
+        "completion_count": "cast(sum(completed) AS bigint)",
+        "completed_course_count": "cast(sum(completed) AS bigint)",
+        "total_assignments_missed": "cast(sum(assignments_missed) AS bigint)",
+        "completion_rate": r("avg(completed) * 100"),
+        "total_study_time_hours": "sum(time_spent_hours)",
+    }
+    key = schema.TARGET_KEYS[table][0]
+    out = []
+    for name, kind in schema.TARGETS[table]:
+        if name == key:
+            out.append(name)
+        elif kind.startswith("decimal"):
+            value = own.get(name) or f"avg({means.get(name, name.removeprefix('avg_'))})"
+            out.append(f"{_decimal(value, kind)} AS {name}")
+        elif kind in ("string", "int", "bigint"):
+            out.append(f"{own.get(name, f'max({name})')} AS {name}")
+    return f"SELECT {', '.join(out)} FROM {source} GROUP BY {key}"
+
+
+def _conformed(table: str = "typed") -> str:
     source = {
         "total_study_time_hours": "time_spent_hours",
         "avg_session_duration_min": "average_session_duration_min",
@@ -358,8 +437,7 @@ def _conformed() -> str:
     for name, kind in schema.TARGETS["student_stat"]:
         column = source.get(name, name)
         if kind.startswith("decimal"):
-            exact = f"cast(cast({column} AS string) AS decimal(38,18))"
-            value = f"coalesce(cast(try_cast({exact} AS {kind}) AS double), 0.0)"
+            value = _decimal(column, kind)
         elif kind in ("int", "tinyint"):
             value = f"coalesce(try_cast({column} AS {kind}), 0)"
         elif kind == "string":
@@ -367,29 +445,13 @@ def _conformed() -> str:
         else:
             continue
         out.append(f"{value} AS {name}")
-    return "SELECT " + ", ".join(out) + " FROM typed"
+    return "SELECT " + ", ".join(out) + f" FROM {table}"
 
 
 def _overflow(column: str, limit: str) -> str:
     return f"count(*) FILTER (WHERE abs({column}) >= {limit})"
 
 
-def _bundle() -> str:
-    datasets = {
-        "overview_metrics": "SELECT 1",
-        "weekly_learning_statistics": "SELECT 1 FROM weekly",
-        "course_enrollment_ranking": "SELECT 1 FROM enrollment",
-        "warning_level_summary": "SELECT DISTINCT warning_level FROM scored",
-        "course_risk_summary": "SELECT 1 FROM course_risk",
-        "education_risk_summary": "SELECT DISTINCT education_level FROM scored",
-        "student_warning_detail": "SELECT 1 FROM scored",
-    }
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS dataset, count(*) AS rows FROM ({body})"
-        for name, body in datasets.items()
-    )
-
-
 def all_oracles() -> dict[str, str]:
     high = schema.HIGH
     marts = {
@@ -428,6 +490,7 @@ def all_oracles() -> dict[str, str]:
             "resources",
         ),
         "rank_enrollment": query("SELECT * FROM enrollment", "enrollment"),
+        "rank_enrollment_load": query("SELECT * FROM enrollment", "enrollment"),
         "rank_enrollment_scaled": query(
             "SELECT * REPLACE (cast(enrollment_rank AS bigint) AS enrollment_rank) FROM enrollment",
             "enrollment",
@@ -515,14 +578,26 @@ def all_oracles() -> dict[str, str]:
             "SELECT count(*) AS source_rows, count(*) AS target_rows, true AS matched FROM learning",
             "learning",
         ),
-        "sync_tables": query(
-            """SELECT 'student_info' AS table_name, count(DISTINCT student_id) AS rows FROM learning
- UNION ALL SELECT 'course_info', count(DISTINCT course_id) FROM learning
- UNION ALL SELECT 'student_stat', count(*) FROM learning
- UNION ALL SELECT 'course_stat', count(DISTINCT course_id) FROM learning
- UNION ALL SELECT 'student_feature', count(DISTINCT student_id) FROM learning""",
-            "learning",
+        "sync_student_info": query(
+            "SELECT student_id, cast(NULL AS string) AS student_name, "
+            + ", ".join(f"max({c}) AS {c}" for c in schema.STUDENT_ATTRIBUTES)
+            + " FROM enrolled GROUP BY student_id",
+            "enrolled",
         ),
+        "sync_course_info": query(
+            "SELECT course_id, "
+            + ", ".join(
+                f"cast(cast(max({c}) AS decimal(4,2)) AS double) AS {c}" if c == "instructor_rating" else f"max({c}) AS {c}"
+                for c in schema.COURSE_ATTRIBUTES
+            )
+            + " FROM enrolled GROUP BY course_id",
+            "enrolled",
+        ),
+        "sync_student_stat": query(_conformed("enrolled"), "enrolled"),
+        "sync_course_stat": query(_served("course_stat", "enrolled"), "enrolled"),
+        "sync_student_feature": query(_served("student_feature", "enrolled"), "enrolled"),
+        "managed_table": query(f"{_ALL_FACTS} WHERE completed = 1", "learning"),
+        "replace_path": query(f"{_ALL_FACTS} WHERE completed = 1", "learning"),
     }
     clean_columns = f"{LINE}, Student_ID, Gender, City"
     cleaning = {
@@ -548,7 +623,7 @@ def all_oracles() -> dict[str, str]:
             f"SELECT {LINE}, {_flag('Completed')} AS Completed FROM raw", "raw"
         ),
         "clean_date": query(
-            f"SELECT {LINE}, cast(try_cast(Enrollment_Date AS date) AS string) AS Enrollment_Date FROM raw",
+            f"SELECT {LINE}, cast({_date('Enrollment_Date')} AS string) AS Enrollment_Date FROM raw",
             "raw",
         ),
         "clean_drop_critical": query(
@@ -564,8 +639,8 @@ def all_oracles() -> dict[str, str]:
             "normal",
         ),
         "clean_median_fill": query(
-            """SELECT Student_ID, Course_ID, coalesce(Age, m_age) AS Age,
- coalesce(Progress_Percentage, m_progress) AS Progress_Percentage FROM valid, medians""",
+            """SELECT Student_ID, Course_ID, coalesce(Age, m_Age) AS Age,
+ coalesce(Progress_Percentage, m_Progress_Percentage) AS Progress_Percentage FROM valid, medians""",
             "medians",
         ),
         "clean_submission_rate": query(
@@ -592,23 +667,21 @@ def all_oracles() -> dict[str, str]:
                     schema.CLEANING_METRICS,
                     [
                         "SELECT count(*) FROM raw",
-                        "9",
+                        "40",
                         f"SELECT count(*) FROM normal WHERE {_INCOMPLETE}",
                         "(SELECT count(*) FROM complete) - (SELECT count(*) FROM newest)",
                         f"SELECT count(*) FROM newest WHERE {_BAD}",
                         "SELECT count(*) FROM valid",
-                        "9",
+                        "40",
                     ],
                 )
             ),
             "valid",
         ),
         "clean_enrollments": query(
-            """SELECT Student_ID, Course_ID, Course_Name, Gender, City,
- cast(round_even(coalesce(Age, m_age), 0) AS bigint) AS Age,
- round_even(coalesce(Progress_Percentage, m_progress) * 100, 0) / 100 AS Progress_Percentage,
- cast(Completed AS bigint) AS Completed, cast(Enrollment_Date AS string) AS Enrollment_Date
- FROM valid, medians""",
+            "SELECT "
+            + ", ".join(f"{_finished(c)} AS {c}" for c in RAW_COLUMNS if c not in schema.RAW_PERSONAL)
+            + f", {_RATE} AS Assignment_Submission_Rate FROM valid, medians",
             "medians",
         ),
     }
@@ -634,7 +707,14 @@ def all_oracles() -> dict[str, str]:
         f"WHEN '{label}' THEN '{text}'" for label, text in advice.MEASURE_ADVICE.items()
     )
     measures = list(schema.STUDENT_MEASURES)
+    types = " ".join(f"WHEN {k} THEN '{t}'" for k, t in enumerate(schema.COURSE_TYPES))
+    type_advice = " ".join(f"WHEN '{t}' THEN '{a}'" for t, a in advice.COURSE_ADVICE.items())
     risk = {
+        "course_advice": query(
+            f"""SELECT course_id, course_type, CASE course_type {type_advice} ELSE '{advice.COURSE_DEFAULT}' END AS advice
+ FROM (SELECT course_id, CASE student_count % 5 {types} END AS course_type FROM course_risk)""",
+            "course_risk",
+        ),
         "risk_flags": query(
             "SELECT student_id, course_id, payment_amount, login_risk, assignment_risk, progress_risk, score_risk FROM scored",
             "scored",
@@ -805,6 +885,13 @@ def all_oracles() -> dict[str, str]:
  ORDER BY student_id, course_id, scored.enrollment_date, payment_amount LIMIT 20 OFFSET 40""",
             "scored",
         ),
+        "page_rows_deep": query(
+            """SELECT student_id, course_id, cast(enrollment_date AS string) AS enrollment_date, payment_amount
+ FROM (SELECT *, count(*) OVER () AS total, row_number() OVER
+  (ORDER BY student_id, course_id, enrollment_date, payment_amount) - 1 AS before FROM scored)
+ WHERE before >= (total - 1) // 20 * 20""",
+            "scored",
+        ),
         "rate_to_percent": query(
             """SELECT student_id, course_id, CASE WHEN assignment_submission_rate / 50 <= 1
  THEN assignment_submission_rate / 50 * 100 ELSE assignment_submission_rate / 50 END AS percent FROM learning""",
@@ -817,21 +904,28 @@ def all_oracles() -> dict[str, str]:
         ),
     }
     na = _in(schema.CSV_NA_TOKENS)
-    raw_columns = "Student_ID Course_ID Course_Name Gender City Age Progress_Percentage Completed Enrollment_Date".split()
     files = {
         "scan_raw_csv": query(
             "SELECT "
             + ", ".join(
                 [f"cast({c} AS string) AS {c}" for c in LINE.split(", ")]
-                + [f"CASE WHEN {c} IN ({na}) THEN NULL ELSE {c} END AS {c}" for c in raw_columns]
+                + [f"CASE WHEN {c} IN ({na}) THEN NULL ELSE {c} END AS {c}" for c in RAW_COLUMNS]
             )
             + " FROM raw",
             "raw",
         ),
         "scan_clean_csv": query(_ALL_FACTS, "learning"),
-        "ods_load": query(_ALL_FACTS, "learning"),
+        "ods_load": layers["dwd_typed"],
         "scan_orc": query(_ALL_FACTS, "learning"),
-        "export_csv": query("SELECT * FROM details", "details"),
-        "export_bundle": query(_bundle(), "weekly", "enrollment", "scored", "course_risk"),
+        "export_csv": query(
+            """SELECT * REPLACE (concat('  "', course_name, '", x ') AS course_name) FROM details""", "details"
+        ),
+        "export_overview_metrics": risk["overview_metrics"],
+        "export_weekly": marts["trend_weekly"],
+        "export_ranking": marts["rank_enrollment"],
+        "export_warning_levels": risk["warning_distribution"],
+        "export_course_risk": risk["course_risk_summary"],
+        "export_education_risk": risk["education_risk_summary"],
+        "export_warning_detail": risk["risk_detail"],
     }
     return {**marts, **layers, **cleaning, **risk, **selecting, **files}

@@ -6,6 +6,7 @@ decimals as doubles, so that values compare alike across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +17,8 @@ from lectern import schema
 from lectern.functions.numeric import rate_to_percent
 from lectern.functions.text import first_text
 from lectern.operators import benchmark, cleaning, gates, selecting
-from lectern.operators.advice import add_measure_advice
+from lectern.operators.advice import add_measure_advice, course_advice
 from lectern.operators.aggregate import filter_share, sum_columns
-from lectern.operators.joining import first_per_key
 from lectern.operators.risk import add_risk_flags, is_level
 from lectern.plans import layers, marts, overview, profiles, sync, warnings
 from lectern.plans import cleaning as cleaning_plan
@@ -62,6 +62,11 @@ def _raw(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(build(raw_file(spark, sf_dir)))
 
 
+def _stored(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """Consumers that read the facts several times: the view is joined once and stored."""
+    return _facts(lambda facts: build(stage(facts)))
+
+
 def _profiles(build: Callable[[DataFrame], DataFrame]) -> Query:
     def run(facts: DataFrame) -> DataFrame:
         scored = warnings.scored_enrolments(facts)
@@ -69,7 +74,7 @@ def _profiles(build: Callable[[DataFrame], DataFrame]) -> Query:
         course_risk = warnings.stored_course_risk(scored)
         return build(profiles.benchmarked(scored, students, course_risk))
 
-    return _facts(run)
+    return _stored(run)
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -88,19 +93,8 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # Cleaning
 # --------------------------------------------------------------------------
 def raw_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty enrolments under the headers of the raw file."""
-    return raw_learning(spark, sf_dir).select(
-        *LINE_ORDER,
-        F.col("student_id_raw").alias("Student_ID"),
-        F.col("course_id_raw").alias("Course_ID"),
-        F.col("course_id_raw").alias("Course_Name"),
-        F.col("gender_raw").alias("Gender"),
-        F.col("city_raw").alias("City"),
-        F.col("age_raw").alias("Age"),
-        F.col("progress_raw").alias("Progress_Percentage"),
-        F.col("completed_raw").alias("Completed"),
-        F.col("enrollment_date_raw").alias("Enrollment_Date"),
-    )
+    """The dirty enrolments under the 40 headers of the raw file, and its order columns."""
+    return raw_learning(spark, sf_dir)
 
 
 RULES = cleaning_plan.CleaningRules()
@@ -239,31 +233,45 @@ def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.reconcile_counts(facts, scans.scan_orc(spark, path))
 
 
-def _unique_students(facts: DataFrame) -> DataFrame:
-    return first_per_key(layers.student_info(facts), ["student_id"])
+def _synced(table: str) -> Query:
+    """A served table as it arrived: through ORC and all gates into a folder."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        newest = ["enrollment_date", "payment_amount", "login_frequency"]
+        facts = stage(cleaning.keep_last(learning(spark, sf_dir), schema.KEY, newest))
+        source, folder = scratch_path(spark, "served"), scratch_path(spark, "target")
+        sinks.write_orc(layers.served_tables(facts)[table], f"{source}/{table}")
+        task = sync.SyncTask(f"{source}/{table}", table)
+        sync.sync_tables(spark, [task], sync.folder_target(spark, folder))
+        landed = spark.read.parquet(f"{folder}/{table}")
+        return comparable(landed.drop(*AUDIT))
+
+    return run
 
 
-def _synced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five served tables through ORC into a folder, with their counts."""
+def _managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A namespace, a table created from a query twice, and its scan. Names are unique, and
+    the table is dropped once its rows are stored."""
+    before = spark.catalog.currentDatabase()
+    name = f"lectern_{uuid.uuid4().hex}"
     facts = learning(spark, sf_dir)
-    source, folder = scratch_path(spark, "served"), scratch_path(spark, "target")
-    tables = layers.served_tables(facts)
-    tables["student_info"] = _unique_students(facts)
-    tasks = []
-    for name, df in tables.items():
-        sinks.write_orc(df, f"{source}/{name}")
-        tasks.append(sync.SyncTask(f"{source}/{name}", name))
-    sync.sync_tables(spark, tasks, sync.folder_target(spark, folder))
-    counts = [
-        spark.read.parquet(f"{folder}/{t.table}").agg(
-            F.lit(t.table).alias("table_name"), F.count("*").alias("rows")
-        )
-        for t in tasks
-    ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    scans.use_database(spark, name)
+    try:
+        sinks.create_table(facts.filter("completed = 0"), "facts")
+        sinks.create_table(facts.filter("completed = 1"), "facts")
+        return stage(comparable(spark.table(f"{name}.facts")))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _replace_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two loads into one path the second stays."""
+    facts = learning(spark, sf_dir)
+    path = scratch_path(spark, "replaced")
+    sinks.write_clean_csv(facts.filter("completed = 0"), path)
+    sinks.write_clean_csv(facts.filter("completed = 1"), path)
+    return comparable(scans.scan_clean_csv(spark, path))
 
 
 LAYERS: dict[str, Query] = {
@@ -283,7 +291,9 @@ LAYERS: dict[str, Query] = {
         lambda typed: gates.quality_counts(typed, marts.trend_valid())
     ),
     "reconcile_counts": _reconciled,
-    "sync_tables": _synced,
+    **{f"sync_{table}": _synced(table) for table in schema.TARGETS},
+    "managed_table": _managed_table,
+    "replace_path": _replace_path,
 }
 
 
@@ -293,14 +303,7 @@ LAYERS: dict[str, Query] = {
 def _scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_file(spark, sf_dir)
     path = scratch_path(spark, "raw-csv")
-    (
-        raw.write.options(
-            header=True,
-            escape='"',
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        ).csv(path)
-    )
+    sinks.write_clean_csv(raw, path)
     return scans.scan_raw_csv(spark, path, raw.columns)
 
 
@@ -311,10 +314,11 @@ def _scan_clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ods_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text bound by position, then typed: the load of the first two layers."""
-    facts = learning(spark, sf_dir)
+    """Text bound by position, with bad values, quotes, commas and outer blanks in it, then
+    typed: the load of the first two layers."""
+    text = ods_learning(spark, sf_dir)
     path = scratch_path(spark, "ods")
-    sinks.write_clean_csv(facts.toDF(*[f"c{i}" for i in range(40)]), path)
+    sinks.write_clean_csv(text.toDF(*[f"c{i}" for i in range(len(text.columns))]), path)
     return comparable(layers.typed(scans.scan_positional(spark, path)))
 
 
@@ -324,34 +328,38 @@ def _scan_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(scans.scan_orc(spark, path))
 
 
+def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    return (
+        spark.read.schema(df.schema)
+        .options(
+            header=True,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
+        .csv(path)
+    )
+
+
 def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warning details with quotes, commas and outer blanks in the course names."""
     details = warnings.warning_details(
         warnings.scored_enrolments(learning(spark, sf_dir))
-    )
+    ).withColumn("course_name", F.concat(F.lit('  "'), "course_name", F.lit('", x ')))
     path = scratch_path(spark, "export")
     sinks.export_csv(details, path)
-    schema_ = details.schema
-    return (
-        spark.read.schema(schema_)
-        .options(header=True, escape='"', ignoreLeadingWhiteSpace=False)
-        .csv(path)
-    )
+    return _read_back(spark, details, path)
 
 
-def _export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each dataset of the report, as read back from the export."""
-    datasets = overview.report_datasets(learning(spark, sf_dir))
-    paths = sinks.export_bundle(datasets, scratch_path(spark, "bundle"))
-    counts = [
-        spark.read.option("header", True)
-        .csv(path)
-        .agg(F.lit(name).alias("dataset"), F.count("*").alias("rows"))
-        for name, path in paths.items()
-    ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+def _exported(dataset: str) -> Query:
+    """A dataset of the report, as read back from the export."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = overview.report_datasets(stage(learning(spark, sf_dir)))[dataset]
+        paths = sinks.export_bundle({dataset: df}, scratch_path(spark, "bundle"))
+        return _read_back(spark, df, paths[dataset])
+
+    return run
 
 
 FILES: dict[str, Query] = {
@@ -360,7 +368,13 @@ FILES: dict[str, Query] = {
     "ods_load": _ods_load,
     "scan_orc": _scan_orc,
     "export_csv": _export_csv,
-    "export_bundle": _export_bundle,
+    "export_overview_metrics": _exported("overview_metrics"),
+    "export_weekly": _exported("weekly_learning_statistics"),
+    "export_ranking": _exported("course_enrollment_ranking"),
+    "export_warning_levels": _exported("warning_level_summary"),
+    "export_course_risk": _exported("course_risk_summary"),
+    "export_education_risk": _exported("education_risk_summary"),
+    "export_warning_detail": _exported("student_warning_detail"),
 }
 
 
@@ -373,6 +387,9 @@ MARTS: dict[str, Query] = {
     "student_core": _facts(marts.student_core),
     "resource_core": _facts(marts.resource_core),
     "rank_enrollment": _facts(marts.rank_enrollment),
+    "rank_enrollment_load": _facts(
+        lambda f: gates.require_rows(stage(marts.rank_enrollment(f)), "enrollment ranking")
+    ),
     "rank_enrollment_scaled": _facts(marts.rank_enrollment_scaled),
     "trend_daily": _facts(marts.trend_daily),
     "trend_weekly": _facts(marts.trend_weekly),
@@ -426,6 +443,12 @@ def _share(scored: DataFrame) -> DataFrame:
     return filter_share(scored, is_level(schema.HIGH_MARK))
 
 
+def course_type() -> Column:
+    """A type for each course by its size, and none for some: the types come from outside."""
+    types = F.array(*[F.lit(t) for t in schema.COURSE_TYPES])
+    return F.try_element_at(types, (F.col("student_count") % 5 + 1).cast("int"))
+
+
 PEER_COLUMNS = [f"peer_{m}" for m in benchmark.MEASURES]
 
 RISK: dict[str, Query] = {
@@ -459,10 +482,10 @@ RISK: dict[str, Query] = {
     "platform_average": _course_risk(lambda c: _rounded(warnings.platform_average(c))),
     "filter_share": _scored(_share),
     "course_weak_items": _course_risk(warnings.course_weak_items),
-    "course_merged": _facts(_course_merged),
-    "teacher_profile": _facts(_teacher_profile),
+    "course_merged": _stored(_course_merged),
+    "teacher_profile": _stored(_teacher_profile),
     "teacher_rank": _course_risk(warnings.course_positions),
-    "student_profile": _facts(_profile_leaves),
+    "student_profile": _stored(_profile_leaves),
     "student_benchmark": _profiles(profiles.student_benchmark),
     "weakest_measure": _profiles(
         lambda p: benchmark.add_weakest_measure(p).select(
@@ -474,6 +497,11 @@ RISK: dict[str, Query] = {
             *schema.KEY, "warning_level", "weakest_measure", "advice"
         )
     ),
+    "course_advice": _course_risk(
+        lambda c: c.select(
+            "course_id", course_type().alias("course_type"), course_advice(course_type()).alias("advice")
+        )
+    ),
     "strong_peer": _course_risk(
         lambda c: benchmark.add_strong_peer(
             c.select(
@@ -541,6 +569,9 @@ SELECTING: dict[str, Query] = {
             s.filter(is_level(schema.HIGH_MARK)).select(*PAGE_ORDER), 3, 20, PAGE_ORDER
         )
     ),
+    "page_rows_deep": _scored(
+        lambda s: selecting.page_rows(s.select(*PAGE_ORDER), 10**6, 20, PAGE_ORDER)
+    ),
     "rate_to_percent": _facts(
         lambda f: f.select(
             *schema.KEY,

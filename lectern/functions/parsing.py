@@ -13,7 +13,8 @@ from lectern.functions.text import lookup, squeeze
 
 def parse_percentage(text: Column) -> Column:
     """``80%``, ``80`` and ``0.8`` all give 80. Without a percent sign, 0 to 1
-    inclusive counts as a fraction."""
+    inclusive counts as a fraction. Space of any kind around it is dropped."""
+    text = squeeze(text)
     number = to_number(F.replace(text, F.lit("%"), F.lit("")))
     is_fraction = ~F.contains(text, F.lit("%")) & number.between(0, 1)
     return F.when(is_fraction, number * 100).otherwise(number)
@@ -26,12 +27,15 @@ def parse_flag(text: Column, spellings: Mapping[str, int]) -> Column:
 
 
 ISO_DAY = "yyyy-MM-dd"
-_ISO_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_ISO_PATTERN = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
+# Other spellings of a day that occur in files: slashes or points, no leading zeros.
+DAY_FORMATS = (ISO_DAY, "y/M/d", "y.M.d")
 
 
 def parse_date(text: Column, formats: tuple[str, ...] = (ISO_DAY,)) -> Column:
-    """Date by the first format that fits, NULL when none does. The ISO form has a
-    cast of its own, which is faster than a formatter that raises on bad text."""
+    """Date by the first format that fits, NULL when none does. The ISO form, whose time
+    part is dropped, has a cast of its own, which is faster than a formatter that raises
+    on bad text."""
     trimmed = squeeze(text)
     return F.coalesce(
         *[

@@ -77,7 +77,7 @@ def parse_flags(
 
 
 def parse_dates(
-    df: DataFrame, columns: Sequence[str], formats: tuple[str, ...] = ("yyyy-MM-dd",)
+    df: DataFrame, columns: Sequence[str], formats: tuple[str, ...] = parsing.DAY_FORMATS
 ) -> DataFrame:
     return _each(df, columns, lambda c: parsing.parse_date(c, formats))
 

@@ -12,10 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy when it holds more than 1/HEAVY_PARTS of all rows and so many
-# rows that one task should not join them alone.
+from lectern.staging import stage
+
+# A key is heavy when it holds more than 1/HEAVY_PARTS of all rows.
 HEAVY_PARTS = 1_000
-HEAVY_ROWS = 1_000_000
 SALTS = 64
 
 
@@ -37,14 +37,11 @@ def merge_left(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key, *added), key, "left")
 
 
-def heavy_keys(
-    summary: DataFrame, key: str, rows: str, least_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def heavy_keys(summary: DataFrame, key: str, rows: str) -> DataFrame:
     """Keys with more than 1/HEAVY_PARTS of all rows. There are fewer than
     HEAVY_PARTS of them, whatever the data."""
     everything = summary.agg(F.sum(rows)).scalar()
-    heavy = (F.col(rows) * HEAVY_PARTS > everything) & (F.col(rows) > least_rows)
-    return summary.filter(heavy).select(key)
+    return summary.filter(F.col(rows) * HEAVY_PARTS > everything).select(key)
 
 
 def lookup(
@@ -54,7 +51,6 @@ def lookup(
     columns: Sequence[str | Column],
     rows: str,
     spread: Sequence[str] = (),
-    least_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Left join of detail rows with a stored summary that is unique on ``key``.
 
@@ -66,10 +62,11 @@ def lookup(
 
     The salt comes from the ``spread`` columns, which should vary within a key, and
     from the task number, which parts identical copies. A repeated task reads the
-    same rows, so a lost executor cannot deal a row out differently.
+    same rows, so a lost executor cannot deal a row out differently. The list of
+    heavy keys is read by both sides; it is stored while the plan is built.
     """
     heavy = F.broadcast(
-        heavy_keys(summary, key, rows, least_rows).withColumn("_heavy", F.lit(True))
+        stage(heavy_keys(summary, key, rows)).withColumn("_heavy", F.lit(True))
     )
     none = F.lit(0)
     # A row without a key matches nothing, so it may go anywhere.

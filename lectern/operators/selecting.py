@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from lectern.functions.numeric import all_of, zero_if_null
 from lectern.operators.numbering import number_rows
 
-# Rows a sort-and-limit may keep per task; deeper pages are numbered instead.
-SHALLOW_ROWS = 100_000
-
 
 def filter_equals(df: DataFrame, **wanted: str | None) -> DataFrame:
     """Equality on each given column; an empty argument does not filter."""
@@ -86,15 +83,14 @@ def page_rows(
 ) -> DataFrame:
     """One page of a list in a total order; the page number is clamped to 1..last.
 
-    A shallow page is a sort with a limit. A deep one would make each task keep
-    everything before it, so the rows are numbered across partitions instead.
+    A sort with a limit would make each task keep everything before a deep page, so the
+    rows are numbered across partitions, whatever the page. The sorted rows are stored
+    while the plan is built; their number and the page come from what is stored.
     """
-    page = min(max(page, 1), page_count(df.count(), size))
-    before = (page - 1) * size
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    if before + size <= SHALLOW_ROWS:
-        return df.orderBy(*order).offset(before).limit(size)
     numbered = number_rows(df, *order, name="_position")
+    page = min(max(page, 1), page_count(numbered.count(), size))
+    before = (page - 1) * size
     return (
         numbered.filter(F.col("_position").between(before + 1, before + size))
         .orderBy("_position")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import schema
+from lectern.functions.parsing import DAY_FORMATS
 from lectern.operators import cleaning as C
 from lectern.staging import stage
 
@@ -27,7 +28,7 @@ class CleaningRules:
     percent: Sequence[str] = tuple(schema.RAW_PERCENT)
     flag: Sequence[str] = tuple(schema.RAW_FLAG)
     date: Sequence[str] = tuple(schema.RAW_DATE)
-    date_formats: tuple[str, ...] = ("yyyy-MM-dd",)
+    date_formats: tuple[str, ...] = DAY_FORMATS
     critical: Sequence[str] = tuple(schema.RAW_REQUIRED)
     keys: Sequence[str] = ("Student_ID", "Course_ID")
     ranges: Mapping[str, tuple[float, float]] = field(
@@ -106,33 +107,36 @@ def clean_enrollments(
 def cleaning_counts(
     raw: DataFrame, order: Sequence[str], rules: CleaningRules = CleaningRules()
 ) -> DataFrame:
-    """One row: input rows and the rows each step removes, from a single pass.
+    """One row: input rows and the rows each step removes.
 
-    Counts are aggregated per key before the shuffle, so a key with very many
-    copies costs one row per task.
+    The parsed rows are reduced to keys, order and two flags and stored while the plan is
+    built. Rows are counted per key by hash aggregation; the last row of each key is found
+    by ``keep_last``. Both combine inside each task before the shuffle, so a key with very
+    many copies costs one row per task.
     """
     normalised = normalise(raw, rules)
-    incomplete = C.is_missing(rules.critical)
-    last = F.max(F.struct(*order, C.out_of_range(normalised, rules.ranges).alias("bad")))
-    per_key = (
-        normalised.withColumn("_incomplete", incomplete)
-        .groupBy(
-            "_incomplete",
-            *[F.when(~incomplete, F.col(k)).alias(k) for k in rules.keys],
+    flags = stage(
+        normalised.select(
+            *rules.keys,
+            *[c for c in order if c not in rules.keys],
+            (~C.is_missing(rules.critical)).alias("_complete"),
+            C.out_of_range(normalised, rules.ranges).alias("_bad"),
         )
-        .agg(F.count("*").alias("rows"), last.alias("last"))
     )
-    complete = ~F.col("_incomplete")
-    bad = complete & F.col("last.bad")
-    return per_key.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("input_rows"),
-        F.coalesce(F.sum(F.when(~complete, F.col("rows"))), F.lit(0)).alias(
-            "critical_removed"
-        ),
-        F.coalesce(F.sum(F.when(complete, F.col("rows") - 1)), F.lit(0)).alias(
-            "duplicates_removed"
-        ),
-        F.count_if(bad).alias("out_of_range_removed"),
+    complete = flags.filter("_complete")
+    counts = flags.agg(
+        F.count("*").alias("input_rows"),
+        F.count_if(~F.col("_complete")).alias("critical_removed"),
+        F.count_if("_complete").alias("_complete_rows"),
+    )
+    last = C.keep_last(complete, rules.keys, order).agg(
+        F.count("*").alias("kept"), F.count_if("_bad").alias("bad")
+    )
+    return counts.withColumn("_last", last.select(F.struct("*")).scalar()).select(
+        "input_rows",
+        "critical_removed",
+        (F.col("_complete_rows") - F.col("_last.kept")).alias("duplicates_removed"),
+        F.col("_last.bad").alias("out_of_range_removed"),
     )
 
 

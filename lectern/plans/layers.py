@@ -9,6 +9,7 @@ from lectern import schema
 from lectern.functions.numeric import to_int, to_number
 from lectern.functions.parsing import parse_date
 from lectern.operators.aggregate import summarise_labelled
+from lectern.operators.joining import first_per_key
 
 _PARSERS = {
     "string": lambda c: c,
@@ -46,15 +47,18 @@ def course_dimension(facts: DataFrame) -> DataFrame:
 
 
 def student_info(facts: DataFrame) -> DataFrame:
-    """The dimension in its served form; names are not kept after cleaning."""
-    named = student_dimension(facts).withColumn(
+    """The dimension in its served form, one row per student; names are not kept after
+    cleaning."""
+    named = first_per_key(student_dimension(facts), ["student_id"]).withColumn(
         "student_name", F.lit(None).cast("string")
     )
     return with_audit(named, "create_time", "update_time")
 
 
 def course_info(facts: DataFrame) -> DataFrame:
-    return with_audit(course_dimension(facts), "create_time", "update_time")
+    """One row per course."""
+    courses = first_per_key(course_dimension(facts), ["course_id"])
+    return with_audit(courses, "create_time", "update_time")
 
 
 # served name -> fact column
@@ -133,7 +137,8 @@ def student_feature(facts: DataFrame) -> DataFrame:
 
 
 def served_tables(facts: DataFrame) -> dict[str, DataFrame]:
-    """The five tables of the serving database."""
+    """The five tables of the serving database. Each reads ``facts``, so pass a stored
+    table."""
     return {
         "student_info": student_info(facts),
         "course_info": course_info(facts),

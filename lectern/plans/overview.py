@@ -60,7 +60,8 @@ def latest_days(weekly: DataFrame, weeks: int = 24, days: int = 28) -> DataFrame
 
 
 def report_datasets(facts: DataFrame) -> dict[str, DataFrame]:
-    """The seven datasets of the report export."""
+    """The seven datasets of the report export. Each reads ``facts``, so pass a stored
+    table."""
     scored = warnings.scored_enrolments(facts)
     return {
         "overview_metrics": overview_metrics(facts),

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lectern import schema
 from lectern.operators import gates
@@ -38,7 +39,8 @@ class SyncTarget:
 
 
 def sync_table(spark: SparkSession, task: SyncTask, target: SyncTarget) -> SyncResult:
-    """Scan, check columns, types and rows in one pass, replace, compare counts."""
+    """Scan, check columns, types and rows in one pass, check the key, replace, compare
+    counts."""
     columns = schema.TARGETS[task.table]
     names = [name for name, _ in columns]
     source = gates.conform_columns(scan_orc(spark, task.path), names, task.table)
@@ -52,6 +54,10 @@ def sync_table(spark: SparkSession, task: SyncTask, target: SyncTarget) -> SyncR
             f"{task.table}: {checked['misfits']} rows do not fit the declared types, "
             f"{checked['nulls']} rows lack a required value"
         )
+    keys = schema.TARGET_KEYS[task.table]
+    repeated = gates.key_violations(source, keys).agg(F.count("*").alias("n")).first()["n"]
+    if repeated:
+        raise ValueError(f"{task.table}: {repeated} keys {keys} occur more than once")
     target.write(
         gates.conform_types(source, columns, schema.TARGET_NULLABLE[task.table]),
         task.table,

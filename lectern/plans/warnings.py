@@ -97,7 +97,6 @@ def course_risk_summary(scored: DataFrame) -> DataFrame:
 
 def education_risk_summary(scored: DataFrame) -> DataFrame:
     """One row per education level, with its share of all enrolments."""
-    everyone = scored.agg(F.count("*").alias("n")).scalar()
     grouped = scored.groupBy("education_level").agg(
         F.count("*").alias("student_count"),
         tally(_is(schema.HIGH)).alias("high_risk_count"),
@@ -107,6 +106,7 @@ def education_risk_summary(scored: DataFrame) -> DataFrame:
         mean("assignment_submission_rate").alias("avg_submit_rate"),
     )
     count = F.col("student_count")
+    everyone = grouped.agg(F.sum("student_count")).scalar()
     return grouped.withColumns(
         {
             "ratio_pct": percent_of(count, everyone),

@@ -8,10 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Values are written as they are: Spark would trim them.
+_AS_THEY_ARE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_clean_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
-        .options(header=True, encoding="UTF-8", escape='"', dateFormat="yyyy-MM-dd")
+        .options(
+            **_AS_THEY_ARE,
+            header=True,
+            encoding="UTF-8",
+            escape='"',
+            dateFormat="yyyy-MM-dd",
+        )
         .csv(path)
     )
 
@@ -32,7 +42,14 @@ def export_csv(df: DataFrame, path: str) -> None:
     )
     (
         text.write.mode("overwrite")
-        .options(header=True, quoteAll=True, quote='"', escape='"', emptyValue="")
+        .options(
+            **_AS_THEY_ARE,
+            header=True,
+            quoteAll=True,
+            quote='"',
+            escape='"',
+            emptyValue="",
+        )
         .csv(path)
     )
 

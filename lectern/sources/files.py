@@ -13,7 +13,13 @@ from lectern import schema
 from lectern.functions.text import null_tokens
 
 # A quote inside a quoted field is doubled, as data-frame libraries write it.
-_CSV = {"header": True, "encoding": "UTF-8", "escape": '"'}
+_CSV = {
+    "header": True,
+    "encoding": "UTF-8",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def scan_raw_csv(
@@ -27,7 +33,8 @@ def scan_raw_csv(
     that spell a missing value become NULL.
 
     Files are split and read by many tasks. Quoted fields with line breaks in them
-    need ``line_breaks``, which reads each file in one task.
+    need ``line_breaks``, which reads each file in one task: a single large file then
+    has one reader.
     """
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = (
@@ -54,9 +61,7 @@ def scan_positional(
 ) -> DataFrame:
     """Delimited text bound by position; the header line is skipped, its names
     are not looked at."""
-    return (
-        spark.read.schema(table).options(header=True, enforceSchema=True).csv(path)
-    )
+    return spark.read.schema(table).options(**_CSV, enforceSchema=True).csv(path)
 
 
 def scan_orc(spark: SparkSession, path: str) -> DataFrame:

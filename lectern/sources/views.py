@@ -9,7 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.schema import ENROLMENT_NAMES
+from lectern.schema import (
+    ENROLMENT_NAMES,
+    RAW_FLAG,
+    RAW_PERCENT,
+    RAW_RANGES,
+    RAW_TEXT,
+)
 
 # The columns the views read; declared, so that no footer is opened to infer them.
 TABLES = {
@@ -23,8 +29,7 @@ TABLES = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
 }
 
-LEARNING = """
-SELECT concat('S', cast(o.o_custkey AS string)) AS student_id,
+_COLUMNS = """concat('S', cast(o.o_custkey AS string)) AS student_id,
  CASE o.o_custkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Other' END AS gender,
  cast(18 + o.o_custkey % 50 AS int) AS age,
  c.c_mktsegment AS education_level,
@@ -54,26 +59,96 @@ SELECT concat('S', cast(o.o_custkey AS string)) AS student_id,
  cast(substr(o.o_orderpriority, 1, 1) AS double) AS satisfaction_rating,
  CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END AS completed,
  l.l_linenumber * 100.0e0 / (l.l_linenumber + cast(l.l_quantity AS int) % 6) AS assignment_submission_rate
-FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
+"""
+_JOINS = """FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {part} p ON l.l_partkey = p.p_partkey
 """
+LEARNING = f"SELECT {_COLUMNS}{_JOINS}"
+
+# The dirty file: all enrolment columns as text, spoilt by key arithmetic. ``k`` parts the
+# columns, so that not all of them are spoilt in the same rows.
+_LINES = (
+    "SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, l.l_extendedprice, l.l_partkey, l.l_quantity,"
+    f" o.o_custkey, {_COLUMNS}{_JOINS}"
+)
 
-RAW_LEARNING = """
-SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, l.l_extendedprice,
- CASE WHEN l.l_suppkey % 50 = 7 THEN '  ' ELSE concat(' S', cast(o.o_custkey AS string), '  ') END AS student_id_raw,
- concat('C', cast(l.l_partkey AS string)) AS course_id_raw,
- CASE l.l_suppkey % 6 WHEN 0 THEN ' male ' WHEN 1 THEN 'F' WHEN 2 THEN '男' WHEN 3 THEN 'OTHER' WHEN 4 THEN 'x?' ELSE NULL END AS gender_raw,
- CASE l.l_partkey % 7 WHEN 0 THEN 'nan' WHEN 1 THEN '' WHEN 2 THEN concat('  ', n.n_name, '   A ') WHEN 3 THEN 'NULL' ELSE n.n_name END AS city_raw,
- CASE l.l_suppkey % 9 WHEN 3 THEN 'abc' WHEN 4 THEN '7' WHEN 5 THEN NULL ELSE cast(10 + l.l_partkey % 90 AS string) END AS age_raw,
- CASE l.l_linenumber % 4 WHEN 0 THEN concat(cast(cast(l.l_quantity * 2 AS int) AS string), ' %')
-  WHEN 1 THEN cast(cast(l.l_quantity / 50 AS decimal(5,2)) AS string)
-  WHEN 2 THEN cast(cast(floor(l.l_quantity * 2.1e0) AS int) AS string) ELSE 'n/a' END AS progress_raw,
- CASE l.l_partkey % 8 WHEN 0 THEN 'Yes' WHEN 1 THEN ' completed' WHEN 2 THEN '1' WHEN 3 THEN 'no' WHEN 4 THEN '未完成' WHEN 5 THEN '0' WHEN 6 THEN '2' ELSE 'maybe' END AS completed_raw,
- CASE WHEN l.l_suppkey % 20 = 1 THEN 'bad-date' ELSE cast(cast(o.o_orderdate AS date) AS string) END AS enrollment_date_raw
-FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
-JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-"""
+
+def _dirty_text(column: str, k: int) -> str:
+    return (
+        f"CASE l_suppkey % 37 WHEN {k} THEN concat('  ', {column}, '   B ') WHEN {k + 1} THEN 'None'"
+        f" WHEN {k + 2} THEN NULL ELSE {column} END"
+    )
+
+
+def _dirty_number(column: str, k: int, outside: str) -> str:
+    text = f"cast({column} AS string)"
+    return (
+        f"CASE l_orderkey % 211 WHEN {k} THEN 'x1' WHEN {k + 1} THEN NULL WHEN {k + 2} THEN concat(' ', {text}, ' ')"
+        f" WHEN {k + 3} THEN '{outside}' ELSE {text} END"
+    )
+
+
+def _dirty_percent(column: str, k: int) -> str:
+    text = f"cast({column} AS string)"
+    return (
+        f"CASE l_orderkey % 53 WHEN {k} THEN concat({text}, ' %') WHEN {k + 1} THEN concat('\u3000', {text}, '%')"
+        f" WHEN {k + 2} THEN '0.5' WHEN {k + 3} THEN 'n/a' WHEN {k + 4} THEN '250%' ELSE {text} END"
+    )
+
+
+def _dirty_flag(column: str, k: int) -> str:
+    return (
+        f"CASE WHEN l_orderkey % 101 = {k} THEN 'maybe' WHEN l_orderkey % 101 = {k + 1} THEN '3'"
+        f" WHEN {column} = 1 THEN ' Yes' ELSE 'n' END"
+    )
+
+
+_DIRTY = {
+    "Student_ID": "CASE WHEN l_suppkey % 50 = 7 THEN '  ' ELSE concat(' ', student_id, '  ') END",
+    "Name": "concat(' Student ', student_id)",
+    "Gender": "CASE l_suppkey % 6 WHEN 0 THEN ' male ' WHEN 1 THEN 'F' WHEN 2 THEN '男' WHEN 3 THEN 'OTHER'"
+    " WHEN 4 THEN 'x?' ELSE NULL END",
+    "City": "CASE l_partkey % 7 WHEN 0 THEN 'nan' WHEN 1 THEN '' WHEN 2 THEN concat('  ', city, '   A ')"
+    " WHEN 3 THEN 'NULL' ELSE city END",
+    "Course_ID": "course_id",
+    "Age": "CASE l_suppkey % 9 WHEN 3 THEN 'abc' WHEN 4 THEN '7' WHEN 5 THEN NULL"
+    " ELSE cast(10 + l_partkey % 90 AS string) END",
+    "Progress_Percentage": "CASE l_linenumber % 4 WHEN 0 THEN concat(cast(cast(l_quantity * 2 AS int) AS string), ' %')"
+    " WHEN 1 THEN cast(cast(l_quantity / 50 AS decimal(5,2)) AS string)"
+    " WHEN 2 THEN cast(cast(floor(l_quantity * 2.1e0) AS int) AS string) ELSE 'n/a' END",
+    "Completed": "CASE l_partkey % 8 WHEN 0 THEN 'Yes' WHEN 1 THEN ' completed' WHEN 2 THEN '1' WHEN 3 THEN 'no'"
+    " WHEN 4 THEN '未完成' WHEN 5 THEN '0' WHEN 6 THEN '2' ELSE 'maybe' END",
+    "Enrollment_Date": "CASE l_suppkey % 20 WHEN 1 THEN 'bad-date' WHEN 2 THEN concat(cast(enrollment_date AS string), ' 10:00:00')"
+    " WHEN 3 THEN replace(cast(enrollment_date AS string), '-', '/') WHEN 4 THEN replace(cast(enrollment_date AS string), '-0', '-')"
+    " WHEN 5 THEN replace(replace(cast(enrollment_date AS string), '-0', '.'), '-', '.') ELSE cast(enrollment_date AS string) END",
+}
+
+
+def _dirty_columns() -> dict[str, str]:
+    """The expression of each column of the dirty file, in its order."""
+    out = {}
+    names = ["Name", *[n for n in ENROLMENT_NAMES if n != "assignment_submission_rate"]]
+    for k, name in enumerate(names):
+        raw = name.title().replace("_Id", "_ID")
+        low = name.lower()
+        if raw in _DIRTY:
+            out[raw] = _DIRTY[raw]
+        elif raw in RAW_TEXT:
+            out[raw] = _dirty_text(low, k % 34)
+        elif raw in RAW_PERCENT:
+            out[raw] = _dirty_percent(low, k % 48)
+        elif raw in RAW_FLAG:
+            out[raw] = _dirty_flag(low, k)
+        else:
+            out[raw] = _dirty_number(low, 5 * k, "1e9" if raw in RAW_RANGES else "12")
+    return out
+
+
+RAW_COLUMNS = _dirty_columns()
+RAW_LEARNING = "SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, {columns} FROM ({lines})".format(
+    columns=", ".join(f"{text} AS {name}" for name, text in RAW_COLUMNS.items()), lines=_LINES
+)
 
 # Enrolments as the text layer receives them, some values spoilt by key arithmetic.
 _SPOILT = {
@@ -81,7 +156,9 @@ _SPOILT = {
     "course_duration_days": "concat(cast(course_duration_days AS string), '.5')",
     "quiz_score_avg": "CASE WHEN quiz_attempts = 3 THEN NULL ELSE cast(quiz_score_avg AS string) END",
     "time_spent_hours": "CASE WHEN notifications_checked = 4 THEN '' ELSE cast(time_spent_hours AS string) END",
-    "enrollment_date": "CASE WHEN notifications_checked = 9 THEN '31/12/1995' ELSE cast(enrollment_date AS string) END",
+    "enrollment_date": "CASE notifications_checked WHEN 9 THEN '31/12/1995'"
+    " WHEN 8 THEN concat(cast(enrollment_date AS string), ' 10:00:00') ELSE cast(enrollment_date AS string) END",
+    "city": "CASE notifications_checked WHEN 7 THEN concat(' ', city, ' \"x\", y ') ELSE city END",
     "completed": "CASE WHEN login_frequency = 5 THEN '?' ELSE cast(completed AS string) END",
 }
 ODS_LEARNING = "SELECT {columns} FROM {{learning}}".format(
@@ -96,20 +173,12 @@ def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _on_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Parquet is split by row group at best. A table of fewer splits than cores is
-    dealt out by key, so that all cores take part; larger ones stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _view(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
     tables = {
         name: scan_table(spark, sf_dir, name)
         for name in TABLES
         if "{" + name + "}" in statement
     }
-    tables["lineitem"] = _on_all_cores(tables["lineitem"], "l_orderkey")
     return spark.sql(statement, **tables)
 
 

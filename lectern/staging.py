@@ -6,21 +6,22 @@ then costs a re-read, not a recomputation of everything upstream.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
+    """The session's checkpoint folder: the one that is set, the one the session names, in
+    local mode without either a folder in the warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             context.setCheckpointDir(configured)
         elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="lectern-"))
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            context.setCheckpointDir(f"{warehouse.rstrip('/')}/_lectern")
         else:
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder every executor can reach"
@@ -47,3 +48,12 @@ def pin_order(df: DataFrame) -> DataFrame:
     partition are fixed from here on."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete everything this session has staged, checkpointed or scratched. Results that
+    still read it are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in files.listStatus(path):
+        files.delete(entry.getPath(), True)

@@ -41,6 +41,12 @@ def test_positional_scan_ignores_header_names(spark, tmp_path):
     assert row["student_id"] == "0" and row["assignment_submission_rate"] == "39"
 
 
+def test_positional_scan_reads_what_the_writer_writes(spark, tmp_path):
+    text = spark.createDataFrame([(' say "hi", ok ',) + ("x",) * 39], schema.ODS_SCHEMA)
+    sinks.write_clean_csv(text, str(tmp_path / "ods"))
+    assert scans.scan_positional(spark, str(tmp_path / "ods")).collect() == text.collect()
+
+
 def test_missing_path_fails_when_the_scan_is_built(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         scans.scan_orc(spark, str(tmp_path / "nothing"))
@@ -52,6 +58,7 @@ def test_clean_csv_round_trip(spark, facts, tmp_path):
     df = facts(["student_id", "age", "quiz_score_avg", "enrollment_date", "city"],
                [("S1", 20, 1.25, datetime.date(2024, 2, 3), 'a "b", c'), ("S2", None, None, None, None)])
     path = str(tmp_path / "clean")
+    df = df.unionByName(facts(["student_id", "course_name"], [("  S3 ", ' "x", y\t ')]))
     sinks.write_clean_csv(df, path)
     sinks.write_clean_csv(df, path)
     assert sorted(map(str, scans.scan_clean_csv(spark, path).collect())) == sorted(map(str, df.collect()))
@@ -131,3 +138,14 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
 def test_schema_has_forty_columns():
     assert len(schema.ENROLMENT_COLUMNS) == 40
+
+
+def test_staged_files_can_be_dropped(spark):
+    from lectern.staging import drop_staged
+
+    path = scratch_path(spark, "dropped")
+    spark.range(3).write.parquet(path)
+    assert stage(spark.range(3)).count() == 3
+    drop_staged(spark)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

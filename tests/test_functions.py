@@ -57,9 +57,9 @@ def test_to_int_drops_the_fraction(spark):
 
 
 def test_percentage(spark):
-    values = ["80%", "80", "0.8", "0.8%", "1", "0", "x", "80 %", None]
+    values = ["80%", "80", "0.8", "0.8%", "1", "0", "x", "80 %", None, "\u300080%", "\u00a00.5 "]
     assert apply(spark, parsing.parse_percentage, values) == [
-        80.0, 80.0, 80.0, 0.8, 100.0, 0.0, None, 80.0, None
+        80.0, 80.0, 80.0, 0.8, 100.0, 0.0, None, 80.0, None, 80.0, 50.0
     ]
 
 
@@ -75,6 +75,10 @@ def test_date_formats(spark):
     assert apply(spark, parsing.parse_date, values) == [
         day(2024, 2, 29), day(2024, 3, 1), None, None, None
     ]
+    parts = ["2024-01-05 10:00:00", "2024-01-05T10:00", "2024-1-5", "2024-01-05x"]
+    assert apply(spark, parsing.parse_date, parts) == [day(2024, 1, 5)] * 3 + [None]
+    others = ["2024/01/05", "2024/1/5", "2024.01.05", "2024-01-05", "5.1.2024"]
+    assert apply(spark, lambda c: parsing.parse_date(c, parsing.DAY_FORMATS), others)[:4] == [day(2024, 1, 5)] * 4
     both = ("yyyy-MM-dd", "dd/MM/yyyy")
     assert apply(spark, lambda c: parsing.parse_date(c, both), values)[3] == day(2023, 12, 31)
 

@@ -104,6 +104,7 @@ def test_sync_gates(spark, served, tmp_path):
         "no rows": df.filter("course_id is null"),
         "do not fit": df.withColumn("completion_rate", F.lit(1e6)),
         "lack a required": df.withColumn("course_id", F.lit(None).cast("string")),
+        "occur more than once": df.unionByName(df.limit(1)),
     }
     target = sync.folder_target(spark, str(tmp_path / "target"))
     for i, (message, broken) in enumerate(cases.items()):

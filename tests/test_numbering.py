@@ -76,11 +76,10 @@ def test_blank_ids_do_not_count(facts):
     assert [tuple(r) for r in marts.rank_enrollment(df).collect()] == [(1, "C1", "x", 1)]
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark):
     df = spark.range(25).repartition(4)
     assert [r[0] for r in selecting.page_rows(df, 9, 10, ["id"]).collect()] == list(range(20, 25))
     assert [r[0] for r in selecting.page_rows(df, 0, 10, ["id"]).collect()] == list(range(10))
-    monkeypatch.setattr(selecting, "SHALLOW_ROWS", 5)
     assert [r[0] for r in selecting.page_rows(df, 2, 10, ["id"]).collect()] == list(range(10, 20))
     assert selecting.page_rows(df.filter("id < 0"), 3, 10, ["id"]).count() == 0
     assert selecting.page_count(0, 10) == 1 and selecting.page_count(25, 10) == 3
