@@ -43,6 +43,12 @@ def text_or_empty(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
+def once(function):
+    """``function``, an Arrow UDF, evaluated once for each row. Spark copies a deterministic
+    one into filters that it infers from an explode or pulls below a projection."""
+    return function.asNondeterministic()
+
+
 def byte_texts(array: pa.Array) -> Iterator[bytes]:
     """UTF-8 of each text, one at a time; a null text is empty."""
     for value in array.cast(pa.large_binary()):

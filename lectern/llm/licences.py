@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import pick, text_or_empty, texts
+from lectern.llm.common import once, pick, text_or_empty, texts
 from lectern.staging import stage
 
 #: A line or a text is a licence from this cosine on.
@@ -88,6 +88,7 @@ def corpus_weights(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, t
     each of them reaches the driver."""
     words = sorted({w for t in templates.values() for w in tokens(t)})
 
+    @once
     @F.arrow_udf("array<int>")
     def present(column: pa.Array) -> pa.Array:
         wanted = {w: i for i, w in enumerate(words)}
@@ -115,6 +116,7 @@ def matched(files: DataFrame, weights: Weights, text: str = "text", threshold: f
     """``files`` (its columns kept) and ``match``: licence, score and ``line`` of the best line,
     -1 for the whole text; null where none reaches the threshold."""
 
+    @once
     @F.arrow_udf("struct<licence:string,score:double,line:int>")
     def match(column: pa.Array) -> pa.Array:
         rows = []

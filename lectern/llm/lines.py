@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import extend, pick, texts
+from lectern.llm.common import extend, once, pick, texts
 
 #: Labelled texts of each class that the field is trained on, at most, and the length and
 #: lines of such a text, at most. Together they bound what reaches the driver.
@@ -251,6 +251,7 @@ def sampled_field(
     # At most twice SAMPLE_TEXTS ids are broadcast.
     sample = ids[0].unionByName(ids[1]).groupBy("doc_id").agg(F.min("quality").alias("quality"))
 
+    @once
     @F.arrow_udf("struct<values:array<double>,lines:int>")
     def measured(column: pa.Array) -> pa.Array:
         found = [line_features(t)[0] for t in texts(column)]
@@ -289,6 +290,7 @@ def judged(docs: DataFrame, field: LineField, text: str = "text", name: str = "v
     that is named like the new one gives way.
     """
 
+    @once
     @F.arrow_udf(f"struct<{VERDICT}>")
     def judge(column: pa.Array) -> pa.Array:
         rows = []

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import byte_texts, extend, pick
+from lectern.llm.common import byte_texts, extend, once, pick
 from lectern.llm.components import connected_components
 from lectern.staging import stage
 
@@ -61,6 +61,7 @@ def with_fingerprint(
 ) -> DataFrame:
     """``df`` and the fingerprint of each whole text as a signed long; null text: 0."""
 
+    @once
     @F.arrow_udf("long")
     def simhash(column: pa.Array) -> pa.Array:
         values = [fingerprint(t, words) for t in byte_texts(column)]

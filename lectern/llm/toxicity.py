@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import extend, pick, texts
+from lectern.llm.common import extend, once, pick, texts
 from lectern.staging import stage
 
 #: Labelled texts of each class that the lexicon and the curve are learned from, at most,
@@ -290,6 +290,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         )
         lexicon = _chosen(_learned(spread, n_toxic, n_clean).collect(), n_toxic, n_clean)
 
+    @once
     @F.arrow_udf("array<double>")
     def measured(column: pa.Array) -> pa.Array:
         machine = Grammar(lexicon)
@@ -307,6 +308,7 @@ def scored(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str
     """``docs`` and the score of each whole text, 0 to 1. A null text counts as empty. Columns
     are kept, but one that is named like the new one gives way."""
 
+    @once
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
         machine = Grammar(model.lexicon)
