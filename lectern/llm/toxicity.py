@@ -37,6 +37,8 @@ SAMPLE_CHARS = 20_000
 THRESHOLD = 0.7
 #: Lengths of the beginnings of words that may be learned.
 STEMS = range(3, 9)
+#: Of the features that pass the test so many, the strongest, are weighed against each other.
+CANDIDATES = 4000
 #: Behind a feature that is a whole word.
 WHOLE = "$"
 
@@ -233,26 +235,51 @@ def _learned(features: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     tried = max(1, counts.count())
     strength = _strength(F.col("toxic"), F.col("clean"), n_toxic, n_clean)
     pure = F.col("toxic") / n_toxic > 9 * F.col("clean") / n_clean
-    return counts.withColumn("strength", strength).filter(pure & (F.col("strength") > 2 * math.log(100 * tried)))
-
-
-def _chosen(found: list, n_toxic: int, n_clean: int) -> Lexicon:
-    """The strongest features of which none continues another. A whole word goes before its
-    beginnings, and a longer one before a shorter, if about as strong."""
-    weights = {
-        r["feature"]: math.log((r["toxic"] + 0.5) / (n_toxic + 1)) - math.log((r["clean"] + 0.5) / (n_clean + 1))
-        for r in found
-    }
-    words, stems, taken = {}, {}, set()
-    order = sorted(found, key=lambda r: (-r["strength"] * (1 + 0.01 * len(r["feature"])), r["feature"]))
-    for feature in (r["feature"] for r in order):
-        bare = feature.rstrip(WHOLE)
-        begins = {bare[:n] for n in range(1, len(bare) + 1)}
-        if begins & stems.keys() or bare in taken:
+    least = 2 * math.log(100 * tried)
+    found = counts.withColumn("strength", strength).filter(pure & (F.col("strength") > least))
+    return found.orderBy(F.col("strength").desc(), "feature").limit(CANDIDATES).withColumn("least", F.lit(least))
+
+
+def _chosen(found: list, texts_of: dict[str, list[int]], n_toxic: int, n_clean: int) -> Lexicon:
+    """The features that stand on their own, of which none continues another.
+
+    Step by step the strongest is taken. A toxic text that has k features taken before
+    counts as 1 / (1 + k) for the others: words that only accompany an insult, as in the
+    copies of one text, lose what made them strong. A whole word goes before its
+    beginnings, and a longer one before a shorter, if about as strong.
+    """
+    if not found:
+        return Lexicon({}, {})
+    names = [r["feature"] for r in found]
+    clean = np.array([float(r["clean"]) for r in found])
+    least = found[0]["least"]
+    has = np.zeros((len(names), n_toxic), np.float32)
+    for i, name in enumerate(names):
+        has[i, texts_of[name]] = 1
+    rate = n_toxic / (n_toxic + n_clean)
+    bonus = 1 + 0.01 * np.array([len(n) for n in names])
+    open_ = np.ones(len(names), bool)
+    taken_in = np.zeros(n_toxic)
+    words, stems, begun = {}, {}, set()
+    while True:
+        toxic = has @ (1 / (1 + taken_in)).astype(np.float32)
+        n = toxic + clean
+        strength = 2 * toxic * np.log(np.maximum(toxic, 1e-9) / (n * rate))
+        strength += 2 * np.where(clean > 0, clean * np.log(np.maximum(clean, 1e-9) / (n * (1 - rate))), 0)
+        pure = toxic / n_toxic > 9 * clean / n_clean
+        able = np.where(open_ & pure & (strength > least), strength * bonus, 0)
+        best = int(able.argmax())
+        if not able[best]:
+            return Lexicon(words, stems)
+        open_[best] = False
+        bare = names[best].rstrip(WHOLE)
+        begins = {bare[:k] for k in range(1, len(bare) + 1)}
+        if begins & stems.keys() or bare in begun:
             continue
-        taken |= begins
-        (words if feature.endswith(WHOLE) else stems)[bare] = weights[feature]
-    return Lexicon(words, stems)
+        begun |= begins
+        taken_in += has[best]
+        weight = math.log((has[best].sum() + 0.5) / (n_toxic + 1)) - math.log((clean[best] + 0.5) / (n_clean + 1))
+        (words if names[best].endswith(WHOLE) else stems)[bare] = float(weight)
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> ToxicityModel:
@@ -271,7 +298,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     ]
     # At most twice SAMPLE_TEXTS ids are broadcast.
     sample = ids[0].unionByName(ids[1]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = stage(known.join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic")))
+    distinct = known.join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    rows = stage(distinct.withColumn("text_id", F.monotonically_increasing_id()))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = Lexicon({}, {})
@@ -284,11 +312,23 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         whole = F.transform("words", lambda w: F.concat(w, F.lit(WHOLE)))
         features = F.array_distinct(F.concat(whole, F.flatten(begins)))
         spread = (
-            rows.select("toxic", words.alias("words"))
-            .select("toxic", F.explode(features).alias("feature"))
+            rows.select("toxic", "text_id", words.alias("words"))
+            .select("toxic", "text_id", F.explode(features).alias("feature"))
             .filter("feature is not null")
         )
-        lexicon = _chosen(_learned(spread, n_toxic, n_clean).collect(), n_toxic, n_clean)
+        candidates = stage(_learned(spread, n_toxic, n_clean))
+        # At most CANDIDATES features, each with at most SAMPLE_TEXTS toxic texts.
+        having = (
+            spread.filter("toxic = 1")
+            .join(F.broadcast(candidates.select("feature")), "feature")
+            .groupBy("feature")
+            .agg(F.collect_list("text_id").alias("texts"))
+        )
+        ids = [r["text_id"] for r in rows.filter("toxic = 1").select("text_id").collect()]
+        place = {text_id: i for i, text_id in enumerate(ids)}
+        texts_of = {r["feature"]: [place[t] for t in r["texts"]] for r in having.collect()}
+        found = candidates.orderBy(F.col("strength").desc(), "feature").collect()
+        lexicon = _chosen(found, texts_of, n_toxic, n_clean)
 
     @once
     @F.arrow_udf("array<double>")
