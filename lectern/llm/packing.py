@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lectern.llm.common import pick, texts
+from lectern.llm.common import once, pick, texts
 from lectern.staging import stage
 
 CAPACITY = 2048
@@ -114,6 +114,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
     step = 4 * capacity
 
+    @once
     @F.arrow_udf(f"array<struct<{PIECE.replace(' ', ':')}>>".replace(",:", ","))
     def cut(column: pa.Array) -> pa.Array:
         encoder, piece, start, length, crc, offsets = _encoder(definition), [], [], [], [], [0]
