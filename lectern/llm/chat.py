@@ -78,31 +78,28 @@ def _links(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     ids = messages.select("id", "parent", "score")
     known = ids.select(F.col("id").alias("_id"))
     # A parent that is not there makes a root.
-    current = stage(
+    first = stage(
         ids.join(known, F.col("parent") == F.col("_id"), "left").select(
-            "id", F.col("_id").alias("up"), F.lit(0).cast("long").alias("depth"), F.col("score").alias("sum")
+            "id", F.col("_id").alias("up"), F.col("_id").isNotNull().cast("long").alias("depth"), F.col("score").alias("sum")
         )
     )
-    rounds, messages_in_all = [], current.count()
-    while True:
-        links = current.filter("up is not null").select("id", "up")
-        # No path has more messages than there are: what still leads on leads to a cycle.
-        if links.isEmpty() or 2 ** len(rounds) > messages_in_all:
-            return rounds, current.filter("up is null")
-        rounds.append(links)
-        above = current.select(
+    ended, leading = first.filter("up is null"), first.filter("up is not null")
+    rounds, messages_in_all = [], first.count()
+    # No path has more messages than there are: what leads on after that is on a cycle.
+    while 2 ** len(rounds) <= messages_in_all and not leading.isEmpty():
+        rounds.append(leading.select("id", "up"))
+        above = ended.unionByName(leading).select(
             F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("sum").alias("_sum"), F.col("depth").alias("_depth")
         )
-        step = 2 ** (len(rounds) - 1)
-        # A message whose link ended keeps its sums; else those above its link are added.
-        current = stage(
-            current.join(above, F.col("up") == F.col("_id"), "left").select(
-                "id",
-                F.col("_up").alias("up"),
-                F.when(F.col("_id").isNull(), F.col("depth")).otherwise(step + F.col("_depth")).alias("depth"),
-                (F.col("sum") + F.coalesce("_sum", F.lit(0.0))).alias("sum"),
+        # Only messages whose link still leads on are joined: up to the link they have
+        # their own sums, from there those of the message it leads to.
+        moved = stage(
+            leading.join(above, F.col("up") == F.col("_id")).select(
+                "id", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), (F.col("sum") + F.col("_sum")).alias("sum")
             )
         )
+        ended, leading = ended.unionByName(moved.filter("up is null")), moved.filter("up is not null")
+    return rounds, ended
 
 
 def chosen_paths(messages: DataFrame, best: int = 1) -> DataFrame:
