@@ -244,7 +244,7 @@ def _chosen(found: list, texts_of: dict[str, list[int]], n_toxic: int, n_clean:
     """The features that stand on their own, of which none continues another.
 
     Step by step the strongest is taken. A toxic text that has k features taken before
-    counts as 1 / (1 + k) for the others: words that only accompany an insult, as in the
+    counts as (1 + k) ** -0.5 for the others: words that only accompany an insult, as in the
     copies of one text, lose what made them strong. A whole word goes before its
     beginnings, and a longer one before a shorter, if about as strong.
     """
@@ -262,7 +262,7 @@ def _chosen(found: list, texts_of: dict[str, list[int]], n_toxic: int, n_clean:
     taken_in = np.zeros(n_toxic)
     words, stems, begun = {}, {}, set()
     while True:
-        toxic = has @ (1 / (1 + taken_in)).astype(np.float32)
+        toxic = has @ ((1 + taken_in) ** -0.5).astype(np.float32)
         n = toxic + clean
         strength = 2 * toxic * np.log(np.maximum(toxic, 1e-9) / (n * rate))
         strength += 2 * np.where(clean > 0, clean * np.log(np.maximum(clean, 1e-9) / (n * (1 - rate))), 0)
