@@ -224,7 +224,7 @@ def _strength(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Colum
 
 
 def _learned(features: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
-    """feature, toxic, clean, n_features of those that the label comes with beyond chance:
+    """feature, toxic, clean, strength and the least strength asked for, of those that the label comes with beyond chance:
     such a strength one of all the features would reach in a hundredth of such corpora.
     At least nine in ten of their texts are toxic, classes weighed alike."""
     counts = stage(
