@@ -45,17 +45,23 @@ def fingerprint(text: bytes, words: int = 3) -> int:
         return 0
     n = max(1, len(found) - words + 1)
     ones = np.zeros(BITS, np.int64)
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    for start in range(0, n, _HASH_BLOCK):
-        stop = min(n, start + _HASH_BLOCK)
-        runs = zip(*[found[start + i : stop + i] for i in range(min(words, len(found)))])
-        hashes = np.fromiter((digest(join(run), 42) for run in runs), np.uint64, stop - start)
+    for hashes in shingle_hashes(found, words):
         bits = np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little")
         ones += bits.reshape(-1, BITS).sum(axis=0, dtype=np.int64)
     packed = np.packbits(2 * ones > n, bitorder="little")
     return int(packed.view("<u8")[0])
 
 
+def shingle_hashes(found: list[bytes], words: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles in order, in blocks; ``found`` has a word at least."""
+    n = max(1, len(found) - words + 1)
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    for start in range(0, n, _HASH_BLOCK):
+        stop = min(n, start + _HASH_BLOCK)
+        runs = zip(*[found[start + i : stop + i] for i in range(min(words, len(found)))])
+        yield np.fromiter((digest(join(run), 42) for run in runs), np.uint64, stop - start)
+
+
 def with_fingerprint(
     df: DataFrame, text: str = "text", name: str = "fingerprint", words: int = 3
 ) -> DataFrame:
