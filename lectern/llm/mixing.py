@@ -19,6 +19,10 @@ from lectern.llm.common import pick
 #: Hash digits that make a uniform number: 13 of base 16 are 52 bits, exact in a double.
 _DIGITS = 13
 OTHER = "other"
+#: The highest rate of one Poisson draw; its first term would vanish at 745.
+DRAW_RATE = 500.0
+#: Copies are numbered in runs of so many, which bounds the array that a row is unfolded by.
+_RUN = 1 << 16
 
 
 def uniform(seed: str, *keys: Column) -> Column:
@@ -53,11 +57,10 @@ def source_rates(
 def poisson_steps(rate: float) -> list[float]:
     """The distribution function at 0, 1, 2, … as far as a double tells it from 1.
 
-    Rates above 500 are refused: repeating a document so often is no mixing, and the first
-    term would vanish.
+    For rates up to ``DRAW_RATE``; ``draws`` divides higher ones.
     """
-    if not 0 <= rate <= 500:
-        raise ValueError(f"a repetition rate of {rate}")
+    if not 0 <= rate <= DRAW_RATE:
+        raise ValueError(f"a rate of {rate} for one draw")
     term = total = math.exp(-rate)
     steps = [total]
     k = 0
@@ -69,6 +72,12 @@ def poisson_steps(rate: float) -> list[float]:
     return steps
 
 
+def draws(rate: float) -> int:
+    """How many independent Poisson draws of equal rates, at most ``DRAW_RATE``, add up to one
+    of ``rate``."""
+    return max(1, math.ceil(rate / DRAW_RATE))
+
+
 def replicated(
     docs: DataFrame, weights: Mapping[str, float], other: float, rows: float | None = None, seed: str = "mix",
     doc_id: str = "doc_id", source: str = "source",
@@ -79,24 +88,37 @@ def replicated(
     is shuffled to learn its rate and a large source is no hot key. Repeated rows have equal
     numbers of copies. A null doc_id hashes as an empty key. Columns of these two names give
     way. No rows: none.
+
+    A rate above ``DRAW_RATE`` is the sum of several draws, each by a hash of its own.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, origin = F.col(f"c{names.index(doc_id)}"), F.col(f"c{names.index(source)}")
     rates = source_rates(docs, weights, other, rows, source).collect()
-    steps = {r["bucket"]: poisson_steps(r["rate"]) for r in rates}
-    u = uniform(f"{seed}/copies", key)
+    parts = {r["bucket"]: draws(r["rate"]) for r in rates}
+    steps = {r["bucket"]: poisson_steps(r["rate"] / parts[r["bucket"]]) for r in rates}
 
     def count(bucket: str | None) -> Column:
         # As many copies as there are steps that u has reached.
-        return F.size(F.filter(F.array(*map(F.lit, steps[bucket])), lambda s: s <= u))
+        table = F.array(*map(F.lit, steps[bucket]))
+
+        def reached(u: Column) -> Column:
+            return F.size(F.filter(table, lambda s: s <= u))
+
+        if parts[bucket] == 1:
+            return reached(uniform(f"{seed}/copies", key))
+        each = F.sequence(F.lit(0), F.lit(parts[bucket] - 1))
+        return F.aggregate(each, F.lit(0), lambda n, i: n + reached(uniform(f"{seed}/copies", key, i)))
 
     number = count(None) if None in steps else F.lit(0)
     for bucket in sorted(b for b in steps if b is not None):
         number = F.when(origin == bucket, count(bucket)).otherwise(number)
     kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() not in ("copy", "order_key")]
     copies = plain.withColumn("_n", number).filter("_n > 0")
-    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select(
+    last = F.col("_n") - 1
+    runs = copies.withColumn("_run", F.explode(F.sequence(F.lit(0), F.expr(f"cast((_n - 1) div {_RUN} as int)"))))
+    run = F.sequence(F.col("_run") * _RUN, F.least(last, F.col("_run") * _RUN + (_RUN - 1)))
+    return runs.withColumn("_copy", F.explode(run)).select(
         *kept, F.col("_copy").alias("copy"), F.md5(F.concat_ws(":", F.lit(f"{seed}/order"), F.coalesce(key.cast("string"), F.lit("")), F.col("_copy"))).alias("order_key")
     )
 

@@ -149,3 +149,33 @@ def test_mixing_odd_rows(docs):
     assert mixing.mixed(docs([]), {"s": 1.0}, 1.0).count() == 0
     assert mixing.mixed(table, {}, 1.0).count() > 0
     assert mixing.mixed(table, {"s": 0.0}, 0.0).count() == 0
+
+
+def test_rare_source_of_a_high_rate(spark):
+    # 3 documents are to make up half of 100,000, a rate near 16,667: several draws, added up.
+    rows = spark.range(100_000).selectExpr("id as doc_id", "if(id < 3, 'rare', 'big') as source")
+    found = mixing.replicated(rows, {"rare": 1.0, "big": 1.0}, 0.0)
+    rate = 50_000 / 3
+    got = found.filter("source = 'rare'").groupBy("doc_id").agg({"copy": "max", "*": "count"}).collect()
+    numbers = [r["count(1)"] for r in got]
+    assert len(numbers) == len(set(numbers)) == 3
+    assert all(abs(n - rate) < 5 * math.sqrt(rate) for n in numbers)
+    assert all(r["max(copy)"] == r["count(1)"] - 1 for r in got)
+    assert mixing.replicated(rows.repartition(3), {"rare": 1.0, "big": 1.0}, 0.0).count() == found.count()
+
+
+def test_copies_of_a_high_rate_are_poisson(spark):
+    # 2,000 documents at a rate of 1,200: mean and variance are the rate.
+    rows = spark.range(2000).selectExpr("id as doc_id", "'s' as source")
+    found = mixing.replicated(rows, {"s": 1.0}, 0.0, rows=2000 * 1200).groupBy("doc_id").count().collect()
+    numbers = np.array([r["count"] for r in found])
+    assert len(numbers) == 2000
+    assert abs(numbers.mean() - 1200) < 5 * math.sqrt(1200 / 2000)
+    assert numbers.var() == pytest.approx(1200, rel=0.2)
+
+
+def test_copies_are_numbered_over_runs(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_RUN", 7)
+    rows = spark.range(50).selectExpr("id as doc_id", "'s' as source")
+    found = mixing.replicated(rows, {"s": 1.0}, 0.0, rows=50 * 30).groupBy("doc_id").agg({"copy": "max", "*": "count"}).collect()
+    assert len(found) == 50 and all(r["max(copy)"] == r["count(1)"] - 1 for r in found)
