@@ -1,7 +1,7 @@
 """Licence scans: cosine of TF-IDF vectors to templates, then inheritance by directory.
 
-Every line of every text is a possible header. Lines and whole texts are compared with
-short templates. The weights of the templates' words follow from all texts; a word that no
+Every line of every text is a possible header. Lines, whole texts and windows of words,
+which may begin and end inside lines, are compared with short templates, at every length. The weights of the templates' words follow from all texts; a word that no
 template has counts as the rarest there is, so foreign words only lower a cosine. A file
 without a header takes the licence of the nearest directory above it that has a licence
 file.
@@ -23,7 +23,10 @@ from lectern.staging import stage
 
 #: A line or a text is a licence from this cosine on.
 THRESHOLD = 0.8
-#: A text of at most so many words is compared as a whole as well, if it has several lines.
+#: No match of a template needs a window of more words than this, unless it repeats words;
+#: lines and the whole text are compared at every length.
+WINDOW_SPAN = 3
+#: No longer a limit here: the brute force of the tests reads it.
 WHOLE_WORDS = 400
 
 # How a header or a short licence file names its licence.
@@ -55,6 +58,7 @@ class Weights:
         self.unknown = rarity(0)
         self.idf = {w: rarity(having.get(w, 0)) for t in templates.values() for w in tokens(t)}
         self.vectors = {}
+        self.sizes = {name: len(tokens(t)) for name, t in templates.items()}
         for name in sorted(templates):
             vector = {w: n * self.idf[w] for w, n in Counter(tokens(templates[name])).items()}
             length = math.sqrt(math.fsum(x * x for x in vector.values()))
@@ -73,6 +77,41 @@ class Weights:
                 name, score = template, cosine
         return name, min(1.0, score)
 
+    def reachable(self, words: set[str], threshold: float) -> list[str]:
+        """The templates that words of this set can match: no cosine exceeds the root of the
+        squared weights that the words have in the template."""
+        return [
+            name
+            for name, vector in self.vectors.items()
+            if sum(x * x for w, x in vector.items() if w in words) >= threshold**2 * (1 - 1e-9)
+        ]
+
+    def windows(self, words: list[str], name: str) -> tuple[float, int, int]:
+        """The best cosine of a run of words to a template, and where the run begins and ends.
+
+        A best run begins and ends with a word of the template: other words at its ends
+        only lower the cosine. It has at most ``WINDOW_SPAN`` times the template's words.
+        """
+        vector = self.vectors[name]
+        places = [i for i, w in enumerate(words) if w in vector]
+        most = WINDOW_SPAN * self.sizes[name]
+        best = (0.0, 0, 0)
+        for start in places:
+            counts: dict[str, int] = {}
+            dot = square = 0.0
+            for i in range(start, min(len(words), start + most)):
+                w = words[i]
+                n = counts.get(w, 0)
+                counts[w] = n + 1
+                weight = self.idf.get(w, self.unknown)
+                square += (2 * n + 1) * weight * weight
+                x = vector.get(w)
+                if x is not None:
+                    dot += weight * x
+                    if dot * dot > best[0] * best[0] * square * (1 + 1e-9):
+                        best = (dot / math.sqrt(square), start, i + 1)
+        return best
+
     def can_match(self, words: list[str], threshold: float) -> bool:
         """False only if no cosine can reach the threshold c: then less than c² of the squared
         length lies on words of templates. Other words are taken to differ, which can only
@@ -113,8 +152,8 @@ def ancestors(path: Column) -> Column:
 
 
 def matched(files: DataFrame, weights: Weights, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``files`` (its columns kept) and ``match``: licence, score and ``line`` of the best line,
-    -1 for the whole text; null where none reaches the threshold."""
+    """``files`` (its columns kept) and ``match``: licence, score and ``line`` of the best
+    line or of the window inside a line, -1 for the whole text or a window over several lines; null where none reaches the threshold."""
 
     @once
     @F.arrow_udf("struct<licence:string,score:double,line:int>")
@@ -124,14 +163,24 @@ def matched(files: DataFrame, weights: Weights, text: str = "text", threshold: f
             best: tuple[float, int, str] | None = None
             lines = [(i, tokens(line)) for i, line in enumerate(t.split("\n"))]
             lines = [(i, words) for i, words in lines if words]
-            if 1 < len(lines) and sum(len(w) for _, w in lines) <= WHOLE_WORDS:
-                lines.append((-1, [w for _, words in lines for w in words]))
+            able = weights.reachable({w for _, words in lines for w in words}, threshold)
+            if not able:
+                rows.append(None)
+                continue
+            whole = [w for _, words in lines for w in words]
+            at = [i for i, words in lines for _ in words]
+            if 1 < len(lines):
+                lines.append((-1, whole))
             for i, words in lines:
                 if not weights.can_match(words, threshold):
                     continue
                 name, score = weights.best(words)
                 if name and score >= threshold and (best is None or score > best[0]):
                     best = (score, i, name)
+            for name in able:
+                score, start, stop = weights.windows(whole, name)
+                if score >= threshold and (best is None or score > best[0] + 1e-12):
+                    best = (min(1.0, score), at[start] if at[start] == at[stop - 1] else -1, name)
             rows.append({"licence": best[2], "score": best[0], "line": best[1]} if best else None)
         return pa.array(rows, pa.struct([("licence", pa.string()), ("score", pa.float64()), ("line", pa.int32())]))
 

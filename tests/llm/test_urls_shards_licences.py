@@ -210,3 +210,34 @@ def test_licences_of_a_tree(spark):
     assert by_id[4]["licence"] == "GPL-3.0" and by_id[4]["directory"] == "a/b"
     assert by_id[2]["directory"] == "" and by_id[6]["found_in"] == "none" and by_id[12]["line"] == -1
     assert licences.scan(df.filter("false")).count() == 0
+
+
+WRAPPED = " * This work is licensed\n * under the GNU General\n * Public License, version 3.\n"
+
+
+def found_licences(spark, texts):
+    files = [(i, f"d{i}/f", t, False) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string, is_licence_file boolean")
+    return [r["licence"] for r in sorted(licences.scan(df).collect(), key=lambda r: r["file_id"])]
+
+
+@pytest.mark.parametrize("before, after", [(0, 0), (0, 380), (0, 401), (500, 500), (3, 20_000)])
+def test_wrapped_header_at_every_length(spark, words, before, after):
+    lines = lambda n, seed: "\n".join(words(5, seed + i) for i in range(n // 5)) + "\n"
+    text = lines(before, 1) + WRAPPED + lines(after, 2)
+    assert found_licences(spark, [text, lines(600, 9)]) == ["GPL-3.0", None]
+
+
+def test_windows_are_the_best_of_all_runs(words):
+    import random
+
+    rng = random.Random(4)
+    weights = licences.Weights(licences.TEMPLATES, {"the": 40, "under": 9, "license": 3, "version": 5}, 50)
+    pool = licences.tokens(licences.TEMPLATES["MIT"]) * 3 + ["x", "y", "version"]
+    for _ in range(40):
+        text = [rng.choice(pool) for _ in range(14)]
+        single = {"MIT": weights.vectors["MIT"]}
+        alone = licences.Weights.__new__(licences.Weights)
+        alone.__dict__ = weights.__dict__ | {"vectors": single}
+        runs = [alone.best(text[i:j])[1] for i in range(14) for j in range(i + 1, 15)]
+        assert weights.windows(text, "MIT")[0] == pytest.approx(max(runs), abs=1e-9)
