@@ -5,6 +5,10 @@ which may begin and end inside lines, are compared with short templates, at ever
 template has counts as the rarest there is, so foreign words only lower a cosine. A file
 without a header takes the licence of the nearest directory above it that has a licence
 file.
+
+Whole licences and the longer headers are ``Form``s: where the words that tell a licence
+from its relatives stand in a text, the run of words around them, and the whole text, are
+compared with the form. An SPDX identifier is read as it is.
 """
 
 from __future__ import annotations
@@ -12,7 +16,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
+from functools import cached_property
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -48,6 +55,111 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+@dataclass(frozen=True)
+class Form:
+    """A long way to name a licence. ``mark`` is a run of words that its relatives (AGPL, LGPL,
+    other Creative Commons licences, two-clause BSD) lack, ``own`` the mark in ``text`` if
+    that is the text of a relative."""
+
+    licence: str
+    text: str
+    mark: str
+    own: str | None = None
+
+    @cached_property
+    def counts(self) -> Counter:
+        return Counter(tokens(self.text))
+
+    @cached_property
+    def place(self) -> tuple[int, int]:
+        """Words before the mark, and all words."""
+        words = f" {' '.join(tokens(self.text))} "
+        at = words.index(f" {' '.join(tokens(self.own or self.mark))} ")
+        return words[:at].count(" "), len(words.split())
+
+
+def forms() -> list[Form]:
+    """Full texts and the usual longer headers, read on the driver."""
+    folder = resources.files("lectern.llm") / "licence_texts"
+
+    def full(name: str) -> str:
+        return (folder / f"{name}.txt").read_text("utf-8")
+
+    cc, share = full("CC-BY-SA-4.0"), "Attribution-ShareAlike 4.0 International"
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."
+    )
+    return [
+        Form("MIT", full("MIT"), "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+        Form("Apache-2.0", full("Apache-2.0"), "Apache License Version 2.0"),
+        Form("GPL-3.0", full("GPL-3.0"), "GNU General Public License Version 3, 29 June 2007"),
+        Form("GPL-3.0", gpl, "GNU General Public License as published by the Free Software Foundation, either version 3"),
+        Form("MPL-2.0", full("MPL-2.0"), "Mozilla Public License Version 2.0"),
+        Form("BSD-3-Clause", full("BSD-3-Clause"), "endorse or promote products derived from this software"),
+        Form("CC-BY-SA-4.0", cc, share),
+        Form("CC-BY-4.0", cc, "Attribution 4.0 International", share),
+        Form("CC-BY-NC-4.0", cc, "Attribution-NonCommercial 4.0 International", share),
+    ]
+
+
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+)")
+#: What an SPDX identifier may add to a licence's name.
+_SPDX_TAIL = re.compile(r"(?:-only|-or-later|\+)$")
+
+
+def spdx(text: str, names: Mapping[str, str]) -> tuple[int, str] | None:
+    """Line and licence of the first identifier that is one of ``names``."""
+    for found in _SPDX.finditer(text):
+        name = _SPDX_TAIL.sub("", found[1])
+        if name in names:
+            return text.count("\n", 0, found.start()), name
+    return None
+
+
+class Forms:
+    """Cosines of runs of words to forms. A word's rarity is that among the forms."""
+
+    def __init__(self, found: list[Form]):
+        having = Counter(w for f in found for w in f.counts)
+        self.unknown = math.log(1 + len(found)) + 1
+        self.idf = {w: math.log((1 + len(found)) / (1 + n)) + 1 for w, n in having.items()}
+        self.rows = []
+        for f in found:
+            vector = {w: n * self.idf[w] for w, n in f.counts.items()}
+            length = math.sqrt(math.fsum(x * x for x in vector.values()))
+            mark = tokens(f.mark)
+            self.rows.append((f.licence, {w: x / length for w, x in vector.items()}, f" {' '.join(mark)} ", set(mark), *f.place))
+
+    def cosine(self, words: list[str], vector: Mapping[str, float]) -> float:
+        own = {w: n * self.idf.get(w, self.unknown) for w, n in Counter(words).items()}
+        length = math.sqrt(math.fsum(x * x for x in own.values()))
+        return math.fsum(x * vector.get(w, 0.0) for w, x in own.items()) / length if length else 0.0
+
+    def matches(self, words: list[str], distinct: set[str], threshold: float) -> Iterator[tuple[float, int, int, str]]:
+        """Score, begin, end and licence of each form found, once per form at its best."""
+        joined = None
+        for licence, vector, mark, needed, before, size in self.rows:
+            if not needed <= distinct:
+                continue
+            joined = joined or f" {' '.join(words)} "
+            best = (0.0, 0, 0)
+            at = joined.find(mark)
+            runs = {(0, len(words))} if at >= 0 else set()
+            place = counted = 0
+            while at >= 0:
+                place += joined.count(" ", counted, at)
+                counted = at
+                start = max(0, place - before)
+                runs.add((start, min(len(words), start + size)))
+                at = joined.find(mark, at + 1)
+            for start, stop in sorted(runs):
+                best = max(best, (self.cosine(words[start:stop], vector), start, stop))
+            if best[0] >= threshold:
+                yield min(1.0, best[0]), best[1], best[2], licence
+
+
 class Weights:
     """TF-IDF vectors from the number of texts that have each of the templates' words."""
 
@@ -153,7 +265,11 @@ def ancestors(path: Column) -> Column:
 
 def matched(files: DataFrame, weights: Weights, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (its columns kept) and ``match``: licence, score and ``line`` of the best
-    line or of the window inside a line, -1 for the whole text or a window over several lines; null where none reaches the threshold."""
+    line or of the window inside a line, -1 for the whole text or a window over several lines; an SPDX
+    identifier goes before forms, forms before templates; null where none reaches the threshold."""
+
+    # Forms of licences that are not asked for are none.
+    long = Forms([f for f in forms() if f.licence in weights.sizes])
 
     @once
     @F.arrow_udf("struct<licence:string,score:double,line:int>")
@@ -163,12 +279,18 @@ def matched(files: DataFrame, weights: Weights, text: str = "text", threshold: f
             best: tuple[float, int, str] | None = None
             lines = [(i, tokens(line)) for i, line in enumerate(t.split("\n"))]
             lines = [(i, words) for i, words in lines if words]
-            able = weights.reachable({w for _, words in lines for w in words}, threshold)
-            if not able:
-                rows.append(None)
-                continue
+            distinct = {w for _, words in lines for w in words}
             whole = [w for _, words in lines for w in words]
             at = [i for i, words in lines for _ in words]
+            if "spdx" in distinct and (named := spdx(t, weights.sizes)):
+                best = (1.0, named[0], named[1])
+            for score, start, stop, name in long.matches(whole, distinct, threshold):
+                if best is None or score > best[0] + 1e-12:
+                    best = (score, at[start] if at[start] == at[stop - 1] else -1, name)
+            able = weights.reachable(distinct, threshold) if best is None else []
+            if not able:
+                rows.append({"licence": best[2], "score": best[0], "line": best[1]} if best else None)
+                continue
             if 1 < len(lines):
                 lines.append((-1, whole))
             for i, words in lines:

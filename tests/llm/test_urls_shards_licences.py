@@ -241,3 +241,33 @@ def test_windows_are_the_best_of_all_runs(words):
         alone.__dict__ = weights.__dict__ | {"vectors": single}
         runs = [alone.best(text[i:j])[1] for i in range(14) for j in range(i + 1, 15)]
         assert weights.windows(text, "MIT")[0] == pytest.approx(max(runs), abs=1e-9)
+
+
+def test_full_licence_texts_headers_and_paragraphs(spark, words):
+    from pathlib import Path
+
+    folder = Path(licences.__file__).parent / "licence_texts"
+    full = {p.stem: p.read_text() for p in folder.glob("*.txt")}
+    agpl = full["GPL-3.0"].replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC").replace("General Public", "Affero General Public")
+    holder = full["MIT"].replace("<year> <copyright holders>", "2019 Some Body and others").replace("MIT License\n", "")
+    header = next(f.text for f in licences.forms() if f.text.startswith("This program"))
+    code = "\n".join(f"{w} = {i}" for i, w in enumerate(words(2000, 5).split()))
+    prose = words(900, 6)
+    cases = [
+        *((text, name) for name, text in sorted(full.items())),
+        (holder, "MIT"),
+        ("/*\n" + "\n".join(" * " + x for x in holder.split("\n")) + "*/\n" + code, "MIT"),
+        (code + "\n" + full["BSD-3-Clause"].replace("the University", "Some Body"), "BSD-3-Clause"),
+        ("# " + "\n# ".join(header.split(", ")) + "\n" + code, "GPL-3.0"),
+        (header.replace("GNU General", "GNU Affero General"), None),
+        (agpl, None),
+        (full["CC-BY-SA-4.0"].replace("-ShareAlike", ""), "CC-BY-4.0"),
+        (full["CC-BY-SA-4.0"].replace("-ShareAlike", "-NonCommercial"), "CC-BY-NC-4.0"),
+        (prose + " " + licences.TEMPLATES["MIT"] + " " + prose, "MIT"),
+        (prose + " " + " ".join(full["MIT"].split()) + " " + prose, "MIT"),
+        ("// SPDX-License-Identifier: GPL-3.0-or-later\n" + code, "GPL-3.0"),
+        ("// SPDX-License-Identifier: ISC\n" + code, None),
+        (code, None),
+        (prose, None),
+    ]
+    assert found_licences(spark, [t for t, _ in cases]) == [name for _, name in cases]
