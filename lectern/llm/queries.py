@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat, hnsw, licences, lines, mixing, packing, shards, simhash, toxicity, urls
+from lectern.llm import (
+    chat,
+    divergence,
+    hnsw,
+    licences,
+    lines,
+    manifest,
+    mixing,
+    packing,
+    pages,
+    shards,
+    simhash,
+    toxicity,
+    urls,
+)
 from lectern.llm.common import pick
 from lectern.operators.numbering import number_rows
 
@@ -140,6 +154,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extracted(_table(spark, sf_dir, "pages"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = rf"""
 WITH rows AS (
  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -242,6 +268,76 @@ SELECT page_id, host, path, ruled.r.rule AS rule,
 FROM ruled LEFT JOIN blocked b ON ruled.class = b.class
 """
 
+OP11_SQL = r"""
+WITH rows AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM rows),
+used AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM rows),
+kept AS (SELECT lang, term FROM used GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM used SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0) AS total,
+  (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS v FROM groups g),
+shares AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+  (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.total + s.v))::HUGEINT AS p
+ FROM sizes s JOIN kept k ON s.lang = k.lang
+ LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+langs AS (SELECT lang, term, (1 + (1000000000::HUGEINT * (sum(n) + 1)) // (sum(sum(n)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)))::HUGEINT AS q
+ FROM shares GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+ FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+ FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+ LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+ UNION ALL SELECT s.lang, s.source, 'term', s.term, ((s.p - l.q) * (s.p - l.q) // l.q)::BIGINT
+ FROM shares s JOIN langs l ON s.lang = l.lang AND s.term = l.term WHERE s.n > 0 AND s.p > l.q)
+SELECT lang, source, part, item, value,
+ row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
+OP13_SQL = """
+WITH RECURSIVE rows AS (SELECT *, row_number() OVER () AS id FROM documents),
+fields AS (SELECT id, doc_id, lang, t.tampered,
+  concat(coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-'),
+   coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+   coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+  CASE WHEN t.tampered THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS body,
+  list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+   lambda a, c: list_reduce([xor(a, c)] || range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc
+ FROM rows, (VALUES (false), (true)) t(tampered)),
+hashed AS (SELECT id, any_value(doc_id) AS doc_id, any_value(lang) AS lang,
+  max(sha256(head || coalesce(strlen(body) || ':' || body, '-'))) FILTER (NOT tampered) AS leaf,
+  max(sha256(head || coalesce(strlen(body) || ':' || body, '-'))) FILTER (tampered AND xor(crc, 4294967295) % 3 = 0) AS tampered
+ FROM fields GROUP BY id),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree, count(*) OVER (PARTITION BY lang) AS n,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, tampered NULLS FIRST) - 1 AS idx FROM hashed),
+nodes(tree, level, idx, n, digest) AS (SELECT tree, 0, idx, n, leaf FROM placed
+ UNION ALL SELECT tree, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+ FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 8, n),
+subroots AS (SELECT tree, level, digest FROM nodes WHERE n = 1),
+tops(level, idx, n, digest) AS (SELECT 0, tree - 1, count(*) OVER (), digest FROM subroots
+ UNION ALL SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+ FROM tops WHERE n > 1 GROUP BY level, idx // 8, n),
+every AS (SELECT tree, level, idx, n, digest FROM nodes
+ UNION ALL SELECT s.tree, s.level + t.level, t.idx, t.n, t.digest FROM subroots s, tops t WHERE t.level > 0),
+family AS (SELECT tree, level, idx, idx // 8 AS run, digest FROM nodes WHERE n > 1
+ UNION ALL SELECT s.tree, s.level + t.level, t.idx, t.idx // 8, t.digest FROM subroots s, tops t WHERE t.n > 1),
+runs AS (SELECT tree, level, run, list(digest ORDER BY idx) AS members FROM family GROUP BY ALL),
+climb(id, tree, level, idx, folded, proof) AS (
+ SELECT id, tree, 0, idx, coalesce(tampered, leaf), '' FROM placed
+ UNION ALL
+ SELECT c.id, c.tree, c.level + 1, p.idx // 8,
+  sha256(array_to_string(r.members[:p.idx % 8], '') || c.folded || array_to_string(r.members[p.idx % 8 + 2:], '')),
+  c.proof || array_to_string(r.members[:p.idx % 8], '') || array_to_string(r.members[p.idx % 8 + 2:], '')
+ FROM climb c JOIN subroots s ON c.tree = s.tree,
+  LATERAL (SELECT CASE WHEN c.level = s.level THEN c.tree - 1 ELSE c.idx END AS idx) p
+ JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.run = p.idx // 8)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, sha256(last.proof) AS proof_sha256,
+ last.folded AS folded_root, last.folded = t.digest AS verified
+FROM placed p JOIN subroots s ON p.tree = s.tree JOIN (SELECT digest FROM tops WHERE n = 1) t ON true
+JOIN (SELECT id, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM climb GROUP BY id) last ON last.id = p.id
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -257,9 +353,18 @@ def llm_queries() -> dict[str, Query]:
         "op8_sharding": op8_sharding,
         "op9_licences": op9_licences,
         "op10_packing": op10_packing,
+        "op11_divergence": op11_divergence,
+        "op12_html": op12_html,
+        "op13_manifest": op13_manifest,
     }
 
 
 def llm_oracles() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op1_chat_format": OP1_SQL, "op6_url_filters": OP6_SQL, "op7_mixing": OP7_SQL}
+    return {
+        "op1_chat_format": OP1_SQL,
+        "op6_url_filters": OP6_SQL,
+        "op7_mixing": OP7_SQL,
+        "op11_divergence": OP11_SQL,
+        "op13_manifest": OP13_SQL,
+    }
