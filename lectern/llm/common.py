@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.staging import stage
+
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, ``new name = old name``, matched by exact spelling.
@@ -39,6 +41,18 @@ def extend(df: DataFrame, used: Mapping[str, str], **added) -> DataFrame:
     return plain.select(*kept, *[make(inputs).alias(n) for n, make in added.items()])
 
 
+def staged_and_released(df: DataFrame) -> DataFrame:
+    """``stage``, after which the shuffle files of the step are deleted at once: large steps
+    that follow each other do not hold their shuffles at the same time."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return stage(df)
+    finally:
+        conf.set(key, before)
+
+
 def text_or_empty(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 

@@ -20,15 +20,15 @@ so it is the square root of that result.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import pick, text_or_empty
+from lectern.llm.common import pick, staged_and_released, text_or_empty
 from lectern.staging import stage
 
 SCALE = 1_000_000_000
@@ -37,57 +37,69 @@ TERM_RANKS = 200
 #: Terms: ASCII letters and everything beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Entries of a task's counts at which they are passed on, and cells of a block of terms.
-HELD = 600_000
+#: Bytes of text that a task counts at a time, and cells of a block of terms.
+HELD = 1 << 25
 CELLS = 1 << 20
 
 _PARTS = "lang string, source string, chunk string, n long, documents long, first long, last long"
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most HELD bytes of text each, or one longer text."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + HELD, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of each chunk per (lang, source), its documents, the first and the last."""
-    held: dict[tuple[str, str], dict[str, list[int]]] = {}
-    size = 0
     for batch in batches:
-        columns = (batch.column(name).to_pylist() for name in ("lang", "source", "row"))
-        texts = batch.column("text").cast(pa.large_binary())
-        for lang, source, row, text in zip(*columns, texts):
-            group = held.setdefault((lang, source), {})
-            before = len(group)
-            # bytes.split() parts at ASCII white space only.
-            for chunk, n in Counter(text.as_py().split()).items():
-                entry = group.get(chunk)
-                if entry is None:
-                    group[chunk] = [n, 1, row, row]
-                else:
-                    entry[0] += n
-                    entry[1] += 1
-                    entry[3] = row
-            size += len(group) - before
-            if size >= HELD:
-                yield from _passed_on(held)
-                held, size = {}, 0
-    yield from _passed_on(held)
-
-
-def _passed_on(held: dict) -> Iterator[pa.RecordBatch]:
-    for (lang, source), group in held.items():
-        if not group:
-            continue
-        counts = np.array(list(group.values()), dtype=np.int64)
-        few = counts[:, 1] < MIN_DOCUMENTS
-        arrays = [
-            pa.array([lang]).take(pa.array(np.zeros(len(group), np.int32))),
-            pa.array([source]).take(pa.array(np.zeros(len(group), np.int32))),
-            pa.array(list(group), pa.binary()).cast(pa.string()),
-            pa.array(counts[:, 0]),
-            pa.array(counts[:, 1]),
-            pa.array(counts[:, 2], mask=~few),
-            pa.array(counts[:, 3], mask=~few),
-        ]
-        yield pa.RecordBatch.from_arrays(
-            arrays, ["lang", "source", "chunk", "n", "documents", "first", "last"]
-        )
+        for piece in _pieces(batch):
+            yield from _counted(piece)
+
+
+def _counted(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    split = pc.ascii_split_whitespace(rows.column("text").cast(pa.large_string()))
+    words, document = pc.list_flatten(split), pc.list_parent_indices(split)
+    filled = pc.greater(pc.binary_length(words), 0)
+    words, document = words.filter(filled), document.filter(filled).to_numpy()
+    if not len(words):
+        return
+    encoded = words.dictionary_encode()
+    code, n_codes = encoded.indices.to_numpy(), len(encoded.dictionary)
+
+    # Each document's distinct chunks with their counts, by document.
+    pairs, times = np.unique(document * n_codes + code, return_counts=True)
+    document, code = pairs // n_codes, pairs % n_codes
+    langs, sources = (rows.column(c).dictionary_encode() for c in ("lang", "source"))
+    group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+
+    # The same per group; documents stay in ascending order.
+    key = group[document] * n_codes + code
+    order = np.argsort(key, kind="stable")
+    key, document = key[order], document[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    ends = np.append(starts[1:], len(key))
+    held = ends - starts
+    row = rows.column("row").to_numpy()
+    few = held < MIN_DOCUMENTS
+    group, code = key[starts] // n_codes, key[starts] % n_codes
+    yield pa.RecordBatch.from_arrays(
+        [
+            langs.dictionary.take(pa.array(group // len(sources.dictionary))),
+            sources.dictionary.take(pa.array(group % len(sources.dictionary))),
+            encoded.dictionary.take(pa.array(code)).cast(pa.string()),
+            pa.array(np.add.reduceat(times[order], starts)),
+            pa.array(held),
+            pa.array(row[document[starts]], mask=~few),
+            pa.array(row[document[ends - 1]], mask=~few),
+        ],
+        ["lang", "source", "chunk", "n", "documents", "first", "last"],
+    )
 
 
 def _third_exists() -> Column:
@@ -110,7 +122,7 @@ def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = numbered.mapInArrow(_count_chunks, _PARTS)
     low, high = F.min("first"), F.max("last")
     enough = F.sum("documents") >= MIN_DOCUMENTS
-    chunks = stage(
+    chunks = staged_and_released(
         parts.groupBy("lang", "source", "chunk").agg(
             F.sum("n").alias("n"),
             F.sum("documents").alias("documents"),
@@ -143,7 +155,9 @@ def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = F.when(F.col("_most") >= MIN_DOCUMENTS, F.col("_most")).otherwise(
         F.when(F.col("_low") == F.col("_high"), 1).otherwise(F.when(_third_exists(), 3).otherwise(2))
     )
-    per_group = stage(per_group.select("lang", "source", "term", "n", held.cast("long").alias("documents")))
+    per_group = staged_and_released(
+        per_group.select("lang", "source", "term", "n", held.cast("long").alias("documents"))
+    )
     kept = (
         per_group.groupBy("lang", "term")
         .agg(F.sum("documents").alias("documents"))

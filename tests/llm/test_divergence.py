@@ -72,7 +72,7 @@ def test_chunks_that_share_a_term_in_few_documents(docs, seed):  # noqa: F811
 
 def test_counts_are_passed_on_in_parts(docs, words, monkeypatch):  # noqa: F811
     made = [(i, words(60, i), "en", f"s{i % 5}") for i in range(50)]
-    monkeypatch.setattr(divergence, "HELD", 7)
+    monkeypatch.setattr(divergence, "HELD", 900)
     monkeypatch.setattr(divergence, "CELLS", 11)
     check(docs(made))
 
