@@ -7,10 +7,10 @@ costs one row for each task and group.
 
 Distinct documents: a chunk's row carries its number of documents, which is exact, and the
 first and last of them. A term that several chunks hold ("word" and "word,") may meet the
-same document in each. Three documents are certain where one chunk has three; all other
-chunks are described in full by their first and last document, and a third document exists
-exactly if the sum of (d - first)(last - d) over them is above zero. Sums combine before the
-shuffle, so no list of documents is ever gathered.
+same document in each. Three documents are certain where one chunk has three, and where
+sources have three together; a group whose chunks have at most two is described in full by
+its first and last ones, and only where these leave the number open its rows are looked at
+again, for a document between the two. No list of documents is ever gathered.
 
 Pairs of sources: a task reads the terms of its share in order, lays a block of them out as
 a matrix of terms by sources and adds up each pair's values; no pair is emitted for a term.
@@ -38,7 +38,7 @@ TERM_RANKS = 200
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that a task counts at a time, and cells of a block of terms.
-HELD = 1 << 25
+HELD = 1 << 23
 CELLS = 1 << 20
 
 _PARTS = "lang string, source string, chunk string, n long, documents long, first long, last long"
@@ -102,10 +102,33 @@ def _counted(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _third_exists() -> Column:
-    """Above zero if a document lies between the first and the last of all."""
-    low, high = (F.col(c).cast("decimal(38,0)") for c in ("_low", "_high"))
-    return (low + high) * F.col("_sum") - F.col("_squares") - F.col("_met") * low * high > 0
+def _held_by_enough(counts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(lang, term) of at least MIN_DOCUMENTS documents, from ``rows`` of a term per chunk and
+    from ``counts`` of them per group. Groups part the documents, so their numbers add up."""
+    certain = F.when(F.col("most") >= MIN_DOCUMENTS, MIN_DOCUMENTS).otherwise(
+        F.when(F.col("low") == F.col("high"), 1).otherwise(2)
+    )
+    more_possible = (F.col("most") < MIN_DOCUMENTS) & (F.col("low") < F.col("high")) & (F.col("met") > 2)
+    terms = counts.groupBy("lang", "term").agg(
+        F.sum(certain).alias("documents"),
+        F.bool_or(more_possible).alias("open"),
+        F.min("source").alias("source"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+    terms = stage(terms.filter("documents >= 3 or open"))
+    # Two documents are certain, in one group, which met more than two times: its rows tell
+    # whether another document lies between them.
+    between = [(F.col(c) > F.col("low")) & (F.col(c) < F.col("high")) for c in ("first", "last")]
+    third = (
+        rows.select("lang", "source", "term", "first", "last")
+        .filter("first is not null")
+        .join(terms.filter("documents < 3").drop("documents", "open"), ["lang", "source", "term"])
+        .filter(between[0] | between[1])
+        .select("lang", "term")
+        .distinct()
+    )
+    return terms.filter("documents >= 3").select("lang", "term").unionByName(third)
 
 
 def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -139,33 +162,24 @@ def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("chunk", "term")
         .agg(F.count("*").alias("times"))
     )
-    joined = chunks.join(terms, "chunk")
-    first, last = (F.col(c).cast("decimal(19,0)") for c in ("first", "last"))
-    two = F.col("documents") == 2
-    per_group = joined.groupBy("lang", "source", "term").agg(
-        F.sum(F.col("n") * F.col("times")).alias("n"),
-        F.max("documents").alias("_most"),
-        F.min("first").alias("_low"),
-        F.max("last").alias("_high"),
-        F.sum(F.when(F.col("first").isNotNull(), F.when(two, 2).otherwise(1))).alias("_met"),
-        F.sum(F.when(two, first + last).otherwise(first)).alias("_sum"),
-        F.sum(F.when(two, first * first + last * last).otherwise(first * first)).alias("_squares"),
-    )
-    # Up to MIN_DOCUMENTS; documents of different sources differ.
-    held = F.when(F.col("_most") >= MIN_DOCUMENTS, F.col("_most")).otherwise(
-        F.when(F.col("_low") == F.col("_high"), 1).otherwise(F.when(_third_exists(), 3).otherwise(2))
-    )
-    per_group = staged_and_released(
-        per_group.select("lang", "source", "term", "n", held.cast("long").alias("documents"))
+    split = staged_and_released(
+        chunks.join(terms, "chunk").select(
+            "lang", "source", "term", (F.col("n") * F.col("times")).alias("n"), "documents", "first", "last"
+        )
     )
-    kept = (
-        per_group.groupBy("lang", "term")
-        .agg(F.sum("documents").alias("documents"))
-        .filter(F.col("documents") >= MIN_DOCUMENTS)
-        .drop("documents")
+    counts = staged_and_released(
+        split.groupBy("lang", "source", "term").agg(
+            F.sum("n").alias("n"),
+            F.max("documents").alias("most"),
+            F.min("first").alias("low"),
+            F.max("last").alias("high"),
+            F.sum(F.when(F.col("first").isNotNull(), F.col("documents"))).alias("met"),
+        )
     )
+    kept = _held_by_enough(counts, split)
     # A term of very many sources is one key; the adaptive skew join splits it.
-    return groups, stage(per_group.drop("documents").join(kept, ["lang", "term"], "left_semi"))
+    used = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"], "left_semi")
+    return groups, staged_and_released(used)
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -187,29 +201,44 @@ class _Pairs:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (lang, term, source, p), those of a term together."""
-        lang, matrix, total, at, term = None, None, None, -1, None
-        places: dict[str, int] = {}
+        lang, term, at = None, None, -1
+        names, absent, matrix, total = [], None, None, None
         for batch in batches:
-            rows = (batch.column(c).to_pylist() for c in ("lang", "term", "source", "p"))
-            for next_lang, next_term, source, p in zip(*rows):
-                if next_lang != lang:
+            if not batch.num_rows:
+                continue
+            langs, terms, sources = (batch.column(c) for c in ("lang", "term", "source"))
+            shares = batch.column("p").to_numpy()
+            other_lang, other_term = (
+                pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False) for c in (langs, terms)
+            )
+            runs = [0, *(np.flatnonzero(other_lang) + 1), len(shares)]
+            for start, stop in zip(runs, runs[1:]):
+                if langs[start].as_py() != lang:
                     yield from self._out(lang, matrix, at, total)
-                    lang, term, at = next_lang, None, -1
+                    lang, term, at = langs[start].as_py(), None, -1
                     names = self.sources[lang]
-                    places = {name: i for i, (name, _) in enumerate(names)}
                     absent = np.array([q for _, q in names], dtype=np.int64)
-                    height = max(1, CELLS // len(names))
-                    matrix = np.tile(absent, (height, 1))
+                    matrix = np.tile(absent, (max(1, CELLS // len(names)), 1))
                     total = np.zeros((len(names), len(names)), dtype=np.int64)
-                if next_term != term:
-                    term, at = next_term, at + 1
-                    if at == height:
-                        self._add(matrix, total)
-                        matrix[:] = absent
-                        at = 0
-                matrix[at, places[source]] = p
+                new = np.append(terms[start].as_py() != term, other_term[start : stop - 1])
+                place = pc.index_in(sources.slice(start, stop - start), pa.array([n for n, _ in names], pa.string()))
+                at = self._lay(matrix, total, absent, at + np.cumsum(new), place.to_numpy(), shares[start:stop])
+                term = terms[stop - 1].as_py()
         yield from self._out(lang, matrix, at, total)
 
+    def _lay(self, matrix, total, absent, at, place, shares) -> int:
+        """Lay shares out at their terms' lines; a full block is added up and begun anew."""
+        start = 0
+        while start < len(at):
+            stop = int(np.searchsorted(at, len(matrix)))
+            matrix[at[start:stop], place[start:stop]] = shares[start:stop]
+            if stop < len(at):
+                self._add(matrix, total)
+                matrix[:] = absent
+                at = at - len(matrix)
+            start = stop
+        return int(at[-1])
+
     @staticmethod
     def _add(matrix: np.ndarray, total: np.ndarray) -> None:
         for i in range(total.shape[0]):
