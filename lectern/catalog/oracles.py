@@ -7,6 +7,8 @@ rounds, and integer results are cast to Spark's widths.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from lectern import schema
 from lectern.operators import advice
 from lectern.sources.views import LEARNING, ODS_LEARNING, RAW_COLUMNS, RAW_LEARNING, TABLES
@@ -377,6 +379,53 @@ def query(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+def _summed(name: str, table: str, texts: Sequence[str], numbers: Sequence[str]) -> str:
+    """One row on a table: its rows, the sum of all its numbers, the characters of its texts."""
+
+    def total(cells: list[str]) -> str:
+        return " + ".join(f"coalesce(sum({c}), 0)" for c in cells) or "0"
+
+    return (
+        f"SELECT '{name}' AS name, count(*) AS row_count,"
+        f" round(cast({total([f'cast({c} AS double)' for c in numbers])} AS double), 2) AS number_sum,"
+        f" cast({total([f'length({c})' for c in texts])} AS bigint) AS text_chars FROM ({table})"
+    )
+
+
+def _kinds(columns: Sequence[tuple[str, str]]) -> tuple[list[str], list[str]]:
+    """Text and number columns of a served table, without the times of the load."""
+    kept = [(n, k) for n, k in columns if n not in ("update_date", "create_time", "update_time")]
+    return [n for n, k in kept if k == "string"], [n for n, k in kept if k != "string"]
+
+
+# Dataset of the report: text columns, number columns.
+_EXPORTED = {
+    "overview_metrics": ([], ["student_count", "course_count", "resource_count", "total_study_time_hours"]),
+    "weekly_learning_statistics": (
+        ["week_label"],
+        ["stat_year", "stat_week", "learning_times", "learner_count", "course_count", "total_study_time_hours"]
+        + ["avg_study_time_hours", "avg_session_duration_min", "avg_progress_percentage", "avg_quiz_score"],
+    ),
+    "course_enrollment_ranking": (["course_id", "course_name"], ["enrollment_rank", "learner_count"]),
+    "warning_level_summary": (["warning_level"], ["student_count", "risk_ratio_pct"]),
+    "course_risk_summary": (
+        ["course_id", "course_name"],
+        ["student_count", "high_risk_count", "mid_risk_count", "low_risk_count", "safe_count", "avg_quiz_score"]
+        + ["avg_submit_rate", "avg_progress", "avg_video_completion_rate", "avg_study_time_hours", "high_risk_pct"],
+    ),
+    "education_risk_summary": (
+        ["education_level"],
+        ["student_count", "high_risk_count", "safe_count", "avg_total_study_hours", "avg_quiz_score"]
+        + ["avg_submit_rate", "ratio_pct", "high_risk_pct", "safe_pct"],
+    ),
+    "student_warning_detail": (
+        ["student_id", "course_id", "course_name", "warning_level", "login_rule", "assignment_rule"]
+        + ["progress_rule", "score_rule", "rule_summary"],
+        ["risk_sum", "progress_percentage"],
+    ),
+}
+
+
 # --------------------------------------------------------------------------
 # One statement per query
 # --------------------------------------------------------------------------
@@ -596,9 +645,29 @@ def all_oracles() -> dict[str, str]:
         "sync_student_stat": query(_conformed("enrolled"), "enrolled"),
         "sync_course_stat": query(_served("course_stat", "enrolled"), "enrolled"),
         "sync_student_feature": query(_served("student_feature", "enrolled"), "enrolled"),
-        "managed_table": query(f"{_ALL_FACTS} WHERE completed = 1", "learning"),
-        "replace_path": query(f"{_ALL_FACTS} WHERE completed = 1", "learning"),
+        "managed_table": query(_ALL_FACTS, "learning"),
+        "replace_path": query(_ALL_FACTS, "learning"),
+        "typed_reload_year": query(
+            """SELECT * REPLACE (cast(enrollment_date AS string) AS enrollment_date,
+  CASE WHEN year(enrollment_date) = 1995 THEN payment_amount ELSE -1.0e0 END AS payment_amount),
+ cast(year(enrollment_date) AS int) AS enrollment_year FROM learning""",
+            "learning",
+        ),
+        "trend_daily_years": query(
+            f"""SELECT cast(enrollment_date AS string) AS stat_date, {_TREND} FROM learning
+ WHERE {_TREND_FILTER} AND year(enrollment_date) IN (1995, 1997) GROUP BY enrollment_date""",
+            "learning",
+        ),
+        "trend_load_counts": query(
+            f"""SELECT count(*) AS input_rows, count(*) FILTER (WHERE {_TREND_FILTER}) AS valid_rows,
+ count(*) - count(*) FILTER (WHERE {_TREND_FILTER}) AS rejected_rows,
+ count(*) FILTER (WHERE {_TREND_FILTER}) AS arrived_rows FROM typed""",
+            "typed",
+        ),
     }
+    layers["sync_tables"] = " UNION ALL ".join(
+        _summed(table, layers[f"sync_{table}"], *_kinds(schema.TARGETS[table])) for table in schema.TARGETS
+    )
     clean_columns = f"{LINE}, Student_ID, Gender, City"
     cleaning = {
         "clean_headers": query(_ALL_FACTS, "learning"),
@@ -809,6 +878,26 @@ def all_oracles() -> dict[str, str]:
             "scored",
             "student_feature",
         ),
+        "student_profile_nested": query(
+            f"""SELECT s.student_id, any_value(b.education_level) AS education_level,
+ any_value(f.course_count) AS course_count, any_value(f.completion_rate) AS completion_rate,
+ arg_max(warning_level, risk_sum) AS warning_level, max(risk_sum) AS risk_sum,
+ count(*) FILTER (WHERE warning_level = '{schema.HIGH}') AS high_risk_count,
+ count(*) FILTER (WHERE warning_level = '{schema.MID}') AS mid_risk_count,
+ count(*) FILTER (WHERE warning_level = '{schema.LOW}') AS low_risk_count,
+ count(*) FILTER (WHERE warning_level = '{schema.SAFE}') AS safe_count,
+ cast(count(*) AS int) AS courses_listed, string_agg(course, ';' ORDER BY course) AS courses_sorted,
+ string_agg(place, ';' ORDER BY place) AS courses_in_order
+ FROM (SELECT *, concat_ws('|', cast(enrollment_date AS string), course_id, course_name, warning_level,
+   cast(risk_sum AS string), cast(cast(progress_percentage AS int) AS string)) AS course,
+  concat(cast(enrollment_date AS string), ' ', course_id) AS place FROM scored) s
+ LEFT JOIN student_feature f ON s.student_id = f.student_id
+ LEFT JOIN (SELECT student_id, max(education_level) AS education_level FROM learning GROUP BY student_id) b
+  ON s.student_id = b.student_id
+ GROUP BY s.student_id""",
+            "scored",
+            "student_feature",
+        ),
         "student_benchmark": query(
             "SELECT student_id, course_id, "
             + ", ".join(
@@ -892,6 +981,16 @@ def all_oracles() -> dict[str, str]:
  WHERE before >= (total - 1) // 20 * 20""",
             "scored",
         ),
+        "page_rows_stored": query(
+            """SELECT student_id, course_id, cast(enrollment_date AS string) AS enrollment_date, payment_amount
+ FROM (SELECT *, count(*) OVER () AS total, row_number() OVER
+  (ORDER BY student_id, course_id, enrollment_date, payment_amount) - 1 AS before FROM scored)
+ WHERE before BETWEEN 40 AND 59 OR before >= (total - 1) // 20 * 20""",
+            "scored",
+        ),
+        "student_lookup": query(
+            f"SELECT {risk_key} FROM scored WHERE student_id = 'S7'", "scored"
+        ),
         "rate_to_percent": query(
             """SELECT student_id, course_id, CASE WHEN assignment_submission_rate / 50 <= 1
  THEN assignment_submission_rate / 50 * 100 ELSE assignment_submission_rate / 50 END AS percent FROM learning""",
@@ -928,4 +1027,17 @@ def all_oracles() -> dict[str, str]:
         "export_education_risk": risk["education_risk_summary"],
         "export_warning_detail": risk["risk_detail"],
     }
+    cleaning["clean_load_report"] = cleaning["clean_report"]
+    sources = {
+        "overview_metrics": "export_overview_metrics",
+        "weekly_learning_statistics": "export_weekly",
+        "course_enrollment_ranking": "export_ranking",
+        "warning_level_summary": "export_warning_levels",
+        "course_risk_summary": "export_course_risk",
+        "education_risk_summary": "export_education_risk",
+        "student_warning_detail": "export_warning_detail",
+    }
+    files["export_bundle"] = " UNION ALL ".join(
+        _summed(dataset, files[key], *_EXPORTED[dataset]) for dataset, key in sources.items()
+    )
     return {**marts, **layers, **cleaning, **risk, **selecting, **files}

@@ -19,10 +19,12 @@ from lectern.functions.text import first_text
 from lectern.operators import benchmark, cleaning, gates, selecting
 from lectern.operators.advice import add_measure_advice, course_advice
 from lectern.operators.aggregate import filter_share, sum_columns
+from lectern.operators.counting import counted_load
 from lectern.operators.risk import add_risk_flags, is_level
 from lectern.plans import layers, marts, overview, profiles, sync, warnings
 from lectern.plans import cleaning as cleaning_plan
 from lectern.sinks import files as sinks
+from lectern.sinks import swap
 from lectern.sources import files as scans
 from lectern.sources.views import learning, ods_learning, raw_learning, scan_table
 from lectern.staging import scratch_path, stage
@@ -189,6 +191,9 @@ CLEANING: dict[str, Query] = {
     "clean_report": _raw(
         lambda r: cleaning_plan.cleaning_report(r, LINE_ORDER, RULES)
     ),
+    "clean_load_report": _raw(
+        lambda r: cleaning_plan.clean_and_report(r, LINE_ORDER, RULES)[1]
+    ),
     "clean_enrollments": _raw(
         lambda r: cleaning_plan.clean_enrollments(r, LINE_ORDER, RULES)
     ),
@@ -233,6 +238,16 @@ def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.reconcile_counts(facts, scans.scan_orc(spark, path))
 
 
+def _served(spark: SparkSession, sf_dir: str) -> str:
+    """The folder that holds the five served tables as ORC."""
+    newest = ["enrollment_date", "payment_amount", "login_frequency"]
+    facts = stage(cleaning.keep_last(learning(spark, sf_dir), schema.KEY, newest))
+    source = scratch_path(spark, "served")
+    for table, rows in layers.served_tables(facts).items():
+        sinks.write_orc(rows, f"{source}/{table}")
+    return source
+
+
 def _synced(table: str) -> Query:
     """A served table as it arrived: through ORC and all gates into a folder."""
 
@@ -249,16 +264,55 @@ def _synced(table: str) -> Query:
     return run
 
 
+def _summed(df: DataFrame, name: str) -> DataFrame:
+    """One row on a table: its rows, the sum of all its numbers, the characters of its texts."""
+    df = comparable(df)
+    texts = [F.length(c) for c, kind in df.dtypes if kind == "string"]
+    numbers = [F.col(c).cast("double") for c, kind in df.dtypes if kind != "string"]
+
+    def total(columns: list[Column]) -> Column:
+        cells = [F.coalesce(F.sum(c), F.lit(0)) for c in columns] or [F.lit(0)]
+        return sum(cells[1:], cells[0])
+
+    return df.agg(
+        F.lit(name).alias("name"),
+        F.count("*").alias("row_count"),
+        F.round(total(numbers).cast("double"), 2).alias("number_sum"),
+        total(texts).cast("bigint").alias("text_chars"),
+    )
+
+
+def _all_summed(tables: dict[str, DataFrame]) -> DataFrame:
+    first, *others = [_summed(df, name) for name, df in tables.items()]
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+def _sync_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five tasks in one call, and what arrived of each."""
+    source, folder = _served(spark, sf_dir), scratch_path(spark, "target")
+    tasks = [sync.SyncTask(f"{source}/{table}", table) for table in schema.TARGETS]
+    results = sync.sync_tables(spark, tasks, sync.folder_target(spark, folder))
+    return _all_summed(
+        {r.table: spark.read.parquet(f"{folder}/{r.table}").drop(*AUDIT) for r in results}
+    )
+
+
+def _altered(facts: DataFrame) -> DataFrame:
+    return facts.withColumn("payment_amount", F.lit(-1.0))
+
+
 def _managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A namespace, a table created from a query twice, and its scan. Names are unique, and
-    the table is dropped once its rows are stored."""
+    """A namespace, a table created from a query twice, at first with an altered column, and its
+    scan. Names are unique, and the table is dropped once its rows are stored."""
     before = spark.catalog.currentDatabase()
     name = f"lectern_{uuid.uuid4().hex}"
     facts = learning(spark, sf_dir)
     scans.use_database(spark, name)
     try:
-        sinks.create_table(facts.filter("completed = 0"), "facts")
-        sinks.create_table(facts.filter("completed = 1"), "facts")
+        sinks.create_table(_altered(facts), "facts")
+        sinks.create_table(facts, "facts")
         return stage(comparable(spark.table(f"{name}.facts")))
     finally:
         spark.catalog.setCurrentDatabase(before)
@@ -266,14 +320,57 @@ def _managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replace_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of two loads into one path the second stays."""
-    facts = learning(spark, sf_dir)
-    path = scratch_path(spark, "replaced")
-    sinks.write_clean_csv(facts.filter("completed = 0"), path)
-    sinks.write_clean_csv(facts.filter("completed = 1"), path)
+    """Of two loads of all rows into one path, the first with an altered column, the second
+    stays; it takes its place once its rows are counted."""
+    facts = stage(learning(spark, sf_dir))
+    path = f"{scratch_path(spark, 'replaced')}/facts"
+    rows = facts.count()
+
+    def whole(fresh: str) -> bool:
+        return scans.scan_clean_csv(spark, fresh).count() == rows
+
+    swap.replace_checked(_altered(facts), path, sinks.write_clean_csv, whole)
+    swap.replace_checked(facts, path, sinks.write_clean_csv, whole)
     return comparable(scans.scan_clean_csv(spark, path))
 
 
+RELOADED = 1995
+
+
+def _reload_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All years with an altered column, then one year again as it is."""
+    facts = stage(learning(spark, sf_dir))
+    path = scratch_path(spark, "years")
+    layers.load_years(_altered(facts), path)
+    layers.load_years(facts.filter(F.year("enrollment_date") == RELOADED), path)
+    return comparable(layers.scan_years(spark, path))
+
+
+def _trend_of_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "years")
+    layers.load_years(learning(spark, sf_dir), path)
+    return comparable(marts.trend_daily(layers.scan_years(spark, path, RELOADED, RELOADED + 2)))
+
+
+def _trend_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, kept and rejected by the pass that loads the rows of the trends, and the rows
+    that arrived."""
+    typed = layers.typed(ods_learning(spark, sf_dir)).select(*TREND_COLUMNS)
+    path = scratch_path(spark, "trend")
+    counts = counted_load(typed, marts.trend_valid(), lambda rows: sinks.write_orc(rows, path))
+    return scans.scan_orc(spark, path).agg(
+        F.lit(counts.input_rows).cast("bigint").alias("input_rows"),
+        F.lit(counts.valid_rows).cast("bigint").alias("valid_rows"),
+        F.lit(counts.rejected_rows).cast("bigint").alias("rejected_rows"),
+        F.count("*").alias("arrived_rows"),
+    )
+
+
+TREND_COLUMNS = [
+    *marts.TREND_REQUIRED, "average_session_duration_min", "progress_percentage", "quiz_score_avg"
+]
+
+
 LAYERS: dict[str, Query] = {
     "dwd_typed": _typed(lambda typed: typed),
     "dws_student_stat": _facts(layers.student_stat),
@@ -292,6 +389,10 @@ LAYERS: dict[str, Query] = {
     ),
     "reconcile_counts": _reconciled,
     **{f"sync_{table}": _synced(table) for table in schema.TARGETS},
+    "sync_tables": _sync_tables,
+    "typed_reload_year": _reload_year,
+    "trend_daily_years": _trend_of_years,
+    "trend_load_counts": _trend_load_counts,
     "managed_table": _managed_table,
     "replace_path": _replace_path,
 }
@@ -362,7 +463,15 @@ def _exported(dataset: str) -> Query:
     return run
 
 
+def _export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven datasets in one call, and what is read back of each."""
+    datasets = overview.report_datasets(stage(learning(spark, sf_dir)))
+    paths = sinks.export_bundle(datasets, scratch_path(spark, "bundle"))
+    return _all_summed({n: _read_back(spark, datasets[n], path) for n, path in paths.items()})
+
+
 FILES: dict[str, Query] = {
+    "export_bundle": _export_bundle,
     "scan_raw_csv": _scan_raw_csv,
     "scan_clean_csv": _scan_clean_csv,
     "ods_load": _ods_load,
@@ -429,6 +538,35 @@ def _profile_leaves(facts: DataFrame) -> DataFrame:
     )
 
 
+def _nested_profile(facts: DataFrame) -> DataFrame:
+    """The nested profile of every student, its courses written out as one text."""
+    nested = profiles.nested_profile(warnings.scored_enrolments(facts), profiles.student_table(facts))
+    course = F.transform(
+        "courses",
+        lambda c: F.concat_ws(
+            "|",
+            c["enrollment_date"].cast("string"),
+            c["course_id"],
+            c["course_name"],
+            c["warning"]["warning_level"],
+            c["warning"]["risk_sum"].cast("string"),
+            c["feature"]["progress_percentage"].cast("int").cast("string"),
+        ),
+    )
+    return nested.select(
+        "student_id",
+        F.col("basic.education_level").alias("education_level"),
+        F.col("feature.course_count").alias("course_count"),
+        F.col("feature.completion_rate").alias("completion_rate"),
+        "warning.*",
+        F.size("courses").alias("courses_listed"),
+        F.array_join(F.array_sort(course), ";").alias("courses_sorted"),
+        F.array_join(
+            F.transform("courses", lambda c: F.concat(c["enrollment_date"].cast("string"), F.lit(" "), c["course_id"])), ";"
+        ).alias("courses_in_order"),
+    )
+
+
 def _teacher_profile(facts: DataFrame) -> DataFrame:
     course_risk = warnings.course_risk_summary(warnings.scored_enrolments(facts))
     return profiles.teacher_profile(profiles.teacher_detail(facts), course_risk)
@@ -486,6 +624,7 @@ RISK: dict[str, Query] = {
     "teacher_profile": _stored(_teacher_profile),
     "teacher_rank": _course_risk(warnings.course_positions),
     "student_profile": _stored(_profile_leaves),
+    "student_profile_nested": _stored(_nested_profile),
     "student_benchmark": _profiles(profiles.student_benchmark),
     "weakest_measure": _profiles(
         lambda p: benchmark.add_weakest_measure(p).select(
@@ -536,6 +675,20 @@ def _filter_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PAGE_ORDER = ["student_id", "course_id", "enrollment_date", "payment_amount"]
 
+def _stored_pages(scored: DataFrame) -> DataFrame:
+    """Two pages of one sorted list."""
+    pages = selecting.StoredPages(scored.select(*PAGE_ORDER), PAGE_ORDER)
+    return pages.page(3, 20).unionByName(pages.page(10**6, 20))
+
+
+def _student_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One student's enrolments out of a table sorted for lookups."""
+    path = scratch_path(spark, "lookup")
+    scored = warnings.scored_enrolments(learning(spark, sf_dir))
+    sinks.write_lookup(scored.select(*RISK_KEY), path, "student_id", "course_id")
+    return scans.scan_orc(spark, path).filter("student_id = 'S7'")
+
+
 SELECTING: dict[str, Query] = {
     "filter_equals": _scored(
         lambda s: selecting.filter_equals(
@@ -572,6 +725,8 @@ SELECTING: dict[str, Query] = {
     "page_rows_deep": _scored(
         lambda s: selecting.page_rows(s.select(*PAGE_ORDER), 10**6, 20, PAGE_ORDER)
     ),
+    "page_rows_stored": _scored(_stored_pages),
+    "student_lookup": _student_lookup,
     "rate_to_percent": _facts(
         lambda f: f.select(
             *schema.KEY,

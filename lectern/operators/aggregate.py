@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.numeric import half_up, percent_of, zero_if_null
+from lectern.functions.numeric import all_of, half_up, percent_of, zero_if_null
 
 
 def mean(column: str | Column, digits: int = 2) -> Column:
@@ -23,6 +23,39 @@ def tally(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def summarise_distinct(
+    df: DataFrame,
+    keys: Sequence[str],
+    distinct: Mapping[str, str | Column],
+    measures: Mapping[str, Column],
+) -> DataFrame:
+    """``measures`` per key and exact numbers of different values, one pass for each.
+
+    Several distinct counts in one aggregate make Spark repeat every row for each of them
+    (Expand). Here each is a distinct and a count of its own over two columns, joined to the
+    measures on the key; a hot key's values are spread over all tasks. ``df`` is read once
+    for each count and once more, so pass a stored table of the columns that are needed.
+    NULL is a key and never a value. Without keys the result is one row.
+    """
+    summary = df.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
+    for name, value in distinct.items():
+        value = F.col(value) if isinstance(value, str) else value
+        values = df.select(*keys, value.alias("_value")).filter("_value IS NOT NULL").distinct()
+        counts = values.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+            F.count("*").alias(name)
+        )
+        if keys:
+            same = all_of([F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            summary = (
+                summary.join(counts, same, "left")
+                .drop(*[f"_{k}" for k in keys])
+                .withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+            )
+        else:
+            summary = summary.withColumn(name, counts.scalar())
+    return summary
+
+
 def summarise_labelled(
     df: DataFrame,
     key: str,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.numeric import all_of, zero_if_null
 from lectern.operators.numbering import number_rows
+from lectern.staging import stage
 
 
 def filter_equals(df: DataFrame, **wanted: str | None) -> DataFrame:
@@ -96,3 +97,24 @@ def page_rows(
         .orderBy("_position")
         .drop("_position")
     )
+
+
+class StoredPages:
+    """A list sorted once and stored with the places of its rows; any of its pages is a filter on
+    them, which the files' statistics narrow down to the one or two files that hold it."""
+
+    def __init__(self, df: DataFrame, order: Sequence[Column | str]):
+        by = [F.col(o) if isinstance(o, str) else o for o in order]
+        placed = number_rows(df, *by, name="_position")
+        # The sort's partitions are files with places that do not overlap.
+        self._rows = stage(placed)
+        self.count = self._rows.count()
+
+    def page(self, page: int, size: int) -> DataFrame:
+        """Rows of a page in order; the page number is clamped to 1..last."""
+        before = (min(max(page, 1), page_count(self.count, size)) - 1) * size
+        return (
+            self._rows.filter(F.col("_position").between(before + 1, before + size))
+            .orderBy("_position")
+            .drop("_position")
+        )

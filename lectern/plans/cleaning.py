@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lectern import schema
@@ -104,6 +104,36 @@ def clean_enrollments(
     return finish(valid, rules).drop(*[c for c in order if c not in rules.columns])
 
 
+def clean_and_report(
+    raw: DataFrame, order: Sequence[str], rules: CleaningRules = CleaningRules()
+) -> tuple[DataFrame, DataFrame]:
+    """The cleaned rows and the report on what was removed, both from one reading of ``raw``.
+
+    The counts are observed by the tasks that store the surviving rows. After a lost
+    executor tasks that ran twice may count twice; ``cleaning_report`` counts by queries.
+    """
+    read, last, kept = Observation(), Observation(), Observation()
+    complete = ~C.is_missing(rules.critical)
+    normalised = normalise(raw, rules).observe(
+        read, F.count("*").alias("rows"), F.count_if(complete).alias("complete")
+    )
+    newest = C.keep_last(normalised, rules.keys, order, among=complete).observe(
+        last, F.count("*").alias("rows")
+    )
+    valid = stage(
+        C.drop_out_of_range(newest, rules.ranges).observe(kept, F.count("*").alias("rows"))
+    )
+    rows, whole = read.get["rows"], read.get["complete"]
+    counts = raw.sparkSession.range(1).select(
+        F.lit(rows).alias("input_rows"),
+        F.lit(rows - whole).alias("critical_removed"),
+        F.lit(whole - last.get["rows"]).alias("duplicates_removed"),
+        F.lit(last.get["rows"] - kept.get["rows"]).alias("out_of_range_removed"),
+    )
+    cleaned = finish(valid, rules).drop(*[c for c in order if c not in rules.columns])
+    return cleaned, _report(counts, raw, order, rules)
+
+
 def cleaning_counts(
     raw: DataFrame, order: Sequence[str], rules: CleaningRules = CleaningRules()
 ) -> DataFrame:
@@ -144,11 +174,17 @@ def cleaning_report(
     raw: DataFrame, order: Sequence[str], rules: CleaningRules = CleaningRules()
 ) -> DataFrame:
     """Seven (metric, value) rows."""
+    counts = cleaning_counts(raw, order, rules)
+    return _report(counts, raw, order, rules)
+
+
+def _report(
+    counts: DataFrame, raw: DataFrame, order: Sequence[str], rules: CleaningRules
+) -> DataFrame:
     headers = C.clean_headers(raw).columns
     columns_in = len([c for c in headers if c in rules.columns or c not in order])
     personal = len({*rules.personal} & {*headers})
     derived = int({rules.submitted, rules.missed} <= {*headers})
-    counts = cleaning_counts(raw, order, rules)
     removed = ("critical_removed", "duplicates_removed", "out_of_range_removed")
     final = F.col("input_rows")
     for name in removed:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from lectern import schema
@@ -10,6 +11,7 @@ from lectern.functions.numeric import to_int, to_number
 from lectern.functions.parsing import parse_date
 from lectern.operators.aggregate import summarise_labelled
 from lectern.operators.joining import first_per_key
+from lectern.sinks.files import write_partitioned
 
 _PARSERS = {
     "string": lambda c: c,
@@ -26,6 +28,22 @@ def typed(ods: DataFrame) -> DataFrame:
     )
 
 
+YEAR = "enrollment_year"
+YEARS_SCHEMA = T.StructType([*schema.ENROLMENT_SCHEMA.fields, T.StructField(YEAR, T.IntegerType())])
+
+
+def load_years(facts: DataFrame, path: str) -> None:
+    """Store enrolments in one folder per year; years that ``facts`` does not hold stay as they
+    are, so a year can be loaded again alone. Rows without a date have a folder too."""
+    write_partitioned(facts.withColumn(YEAR, F.year("enrollment_date")), path, YEAR)
+
+
+def scan_years(spark: SparkSession, path: str, *years: int) -> DataFrame:
+    """Enrolments of the given years, or of all; other years' folders are not opened."""
+    facts = spark.read.schema(YEARS_SCHEMA).orc(path)
+    return facts.filter(F.col(YEAR).isin(*years)) if years else facts
+
+
 def with_audit(df: DataFrame, *columns: str) -> DataFrame:
     """Load date and times, as of the run."""
     sources: dict[str, Column] = {

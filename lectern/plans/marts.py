@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.numeric import all_of, half_up
 from lectern.functions.parsing import week_label
-from lectern.operators.aggregate import mean, tally, total
+from lectern.operators.aggregate import mean, summarise_distinct, tally, total
 from lectern.operators.numbering import dense_rank, dense_rank_counts
 from lectern.staging import stage
 
@@ -58,20 +58,41 @@ def course_core(facts: DataFrame) -> DataFrame:
     )
 
 
+def _student_measures() -> dict[str, Column]:
+    return {
+        "total_study_time": total("time_spent_hours"),
+        "completed_course_count": tally(F.col("completed") == 1),
+        "avg_progress": mean("progress_percentage"),
+        "avg_quiz_score": mean("quiz_score_avg"),
+        "avg_project_grade": mean("project_grade"),
+        "avg_video_completion": mean("video_completion_rate"),
+        "avg_login_frequency": mean("login_frequency"),
+        "avg_session_duration": mean("average_session_duration_min"),
+    }
+
+
 def student_core(facts: DataFrame) -> DataFrame:
-    """No row is filtered: a missing student id is a group of its own."""
-    return facts.groupBy("student_id").agg(
-        F.count_distinct("course_id").alias("course_count"),
-        total("time_spent_hours").alias("total_study_time"),
-        tally(F.col("completed") == 1).alias("completed_course_count"),
-        mean("progress_percentage").alias("avg_progress"),
-        mean("quiz_score_avg").alias("avg_quiz_score"),
-        mean("project_grade").alias("avg_project_grade"),
-        mean("video_completion_rate").alias("avg_video_completion"),
-        mean("login_frequency").alias("avg_login_frequency"),
-        mean("average_session_duration_min").alias("avg_session_duration"),
-        F.count_distinct("enrollment_date").alias("study_days"),
+    """No row is filtered: a missing student id is a group of its own. The columns that
+    are needed are stored once, as each distinct count reads them."""
+    needed = stage(
+        facts.select(
+            "student_id",
+            "course_id",
+            "enrollment_date",
+            "time_spent_hours",
+            "completed",
+            "progress_percentage",
+            "quiz_score_avg",
+            "project_grade",
+            "video_completion_rate",
+            "login_frequency",
+            "average_session_duration_min",
+        )
     )
+    distinct = {"course_count": "course_id", "study_days": "enrollment_date"}
+    measures = _student_measures()
+    found = summarise_distinct(needed, ["student_id"], distinct, measures)
+    return found.select("student_id", "course_count", *measures, "study_days")
 
 
 def resource_summary(facts: DataFrame) -> DataFrame:
@@ -143,20 +164,30 @@ def trend_valid() -> Column:
 
 
 def _trend(facts: DataFrame, **period: Column) -> DataFrame:
-    return (
-        facts.filter(trend_valid())
-        .groupBy(*[column.alias(name) for name, column in period.items()])
-        .agg(
-            F.count("*").alias("learning_times"),
-            F.count_distinct("student_id").alias("learner_count"),
-            F.count_distinct("course_id").alias("course_count"),
-            total("time_spent_hours").alias("total_study_time_hours"),
-            mean("time_spent_hours").alias("avg_study_time_hours"),
-            mean("average_session_duration_min").alias("avg_session_duration_min"),
-            mean("progress_percentage").alias("avg_progress_percentage"),
-            mean("quiz_score_avg").alias("avg_quiz_score"),
+    """Stores the columns that are needed once, as each distinct count reads them."""
+    needed = stage(
+        facts.filter(trend_valid()).select(
+            *[column.alias(name) for name, column in period.items()],
+            "student_id",
+            "course_id",
+            "time_spent_hours",
+            "average_session_duration_min",
+            "progress_percentage",
+            "quiz_score_avg",
         )
     )
+    measures = {
+        "learning_times": F.count("*"),
+        "total_study_time_hours": total("time_spent_hours"),
+        "avg_study_time_hours": mean("time_spent_hours"),
+        "avg_session_duration_min": mean("average_session_duration_min"),
+        "avg_progress_percentage": mean("progress_percentage"),
+        "avg_quiz_score": mean("quiz_score_avg"),
+    }
+    distinct = {"learner_count": "student_id", "course_count": "course_id"}
+    found = summarise_distinct(needed, list(period), distinct, measures)
+    first, *others = measures
+    return found.select(*period, first, *distinct, *others)
 
 
 def trend_daily(facts: DataFrame) -> DataFrame:

@@ -6,22 +6,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.numeric import half_up, zero_if_null
-from lectern.operators.aggregate import total
+from lectern.operators.aggregate import summarise_distinct, total
 from lectern.operators.selecting import latest
 from lectern.plans import marts, warnings
+from lectern.staging import stage
 
 
 def overview_metrics(facts: DataFrame) -> DataFrame:
-    """Students, courses, resources and study hours in one row."""
-    resource = F.struct("course_id", "course_name", "category", "course_level")
-    return facts.agg(
-        F.count_distinct("student_id").alias("student_count"),
-        F.count_distinct("course_id").alias("course_count"),
-        F.count_distinct(F.when(marts.known(*marts.COURSE), resource)).alias(
-            "resource_count"
-        ),
-        total("time_spent_hours").alias("total_study_time_hours"),
+    """Students, courses, resources and study hours in one row. The columns that are
+    needed are stored once, as each distinct count reads them."""
+    resource = ("course_id", "course_name", "category", "course_level")
+    needed = stage(facts.select("student_id", *resource, "time_spent_hours"))
+    distinct = {
+        "student_count": "student_id",
+        "course_count": "course_id",
+        "resource_count": F.when(marts.known(*marts.COURSE), F.struct(*resource)),
+    }
+    metrics = summarise_distinct(
+        needed, [], distinct, {"total_study_time_hours": total("time_spent_hours")}
     )
+    return metrics.select(*distinct, "total_study_time_hours")
 
 
 def week_spread(weekly: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from lectern import schema
 from lectern.functions.numeric import half_up, rate_to_percent, zero_if_null
 from lectern.operators import benchmark
 from lectern.operators.joining import first_per_key, lookup, lookup_or_zero
+from lectern.operators.nesting import nest
 from lectern.operators.selecting import filter_equals
 from lectern.plans.layers import course_stat, student_dimension, student_feature
 from lectern.staging import stage
@@ -166,6 +167,62 @@ def student_profile(
     )
 
 
+COURSE_ORDER = ("enrollment_date", "course_id")
+_LEVEL_COUNTS = {
+    schema.HIGH: "high_risk_count",
+    schema.MID: "mid_risk_count",
+    schema.LOW: "low_risk_count",
+    schema.SAFE: "safe_count",
+}
+
+
+def nested_profile(
+    scored: DataFrame, students: DataFrame, student_id: str | None = None
+) -> DataFrame:
+    """A profile as one object per student: ``basic``, ``feature``, ``warning`` and the array
+    ``courses``, by date of enrolment and course.
+
+    ``warning`` is the student's greatest risk with its level and the number of courses on
+    each level. A course holds its measures and its own warning. The courses of one student
+    are gathered in bounded runs (``operators.nesting``).
+    """
+    scored = filter_equals(scored, student_id=student_id)
+    course = F.struct(
+        "course_id",
+        "course_name",
+        "category",
+        "course_level",
+        "enrollment_date",
+        F.struct(
+            F.col("time_spent_hours").alias("total_study_time_hours"),
+            "progress_percentage",
+            "quiz_score_avg",
+        ).alias("feature"),
+        F.struct(
+            "warning_level", "risk_sum", *[f"{r}_risk" for r in schema.RULE_LABELS]
+        ).alias("warning"),
+    )
+    courses = nest(scored, ["student_id"], COURSE_ORDER, course, "courses")
+    worst = scored.groupBy("student_id").agg(
+        F.max(F.struct("risk_sum", "warning_level")).alias("worst"),
+        *[F.count_if(F.col("warning_level") == v).alias(n) for v, n in _LEVEL_COUNTS.items()],
+    )
+    warning = worst.select(
+        F.col("student_id").alias("_warned"),
+        F.struct("worst.warning_level", "worst.risk_sum", *_LEVEL_COUNTS.values()).alias("warning"),
+    )
+    measures = [c for c in students.columns if c not in ("student_id", "basic")]
+    known = students.select(
+        F.col("student_id").alias("_known"), "basic", F.struct(*measures).alias("feature")
+    )
+    # A missing student id is a student of its own.
+    return (
+        courses.join(warning, F.col("student_id").eqNullSafe(F.col("_warned")))
+        .join(known, F.col("student_id").eqNullSafe(F.col("_known")), "left")
+        .select("student_id", "basic", "feature", "warning", "courses")
+    )
+
+
 # detail name -> (fallback in the risk summary)
 _TEACHER_FALLBACK = {
     "avg_quiz_score": "avg_quiz_score",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lectern import schema
 from lectern.operators import gates
+from lectern.sinks import swap
 from lectern.sinks.jdbc import write_replace
 from lectern.sources.files import scan_orc
 from lectern.sources.jdbc import JdbcTarget, jdbc_count
@@ -34,13 +35,18 @@ class SyncResult:
 
 @dataclass(frozen=True)
 class SyncTarget:
+    """``count`` tells the rows that ``write`` brought. A target that can keep its old rows
+    until then has ``settle``: called with the table and whether the count was right, it
+    puts the new rows in place or drops them."""
+
     write: Callable[[DataFrame, str], None]
     count: Callable[[str], int]
+    settle: Callable[[str, bool], None] = lambda table, right: None
 
 
 def sync_table(spark: SparkSession, task: SyncTask, target: SyncTarget) -> SyncResult:
-    """Scan, check columns, types and rows in one pass, check the key, replace, compare
-    counts."""
+    """Scan, check columns, types and rows in one pass, check the key, write, compare counts,
+    settle."""
     columns = schema.TARGETS[task.table]
     names = [name for name, _ in columns]
     source = gates.conform_columns(scan_orc(spark, task.path), names, task.table)
@@ -63,6 +69,7 @@ def sync_table(spark: SparkSession, task: SyncTask, target: SyncTarget) -> SyncR
         task.table,
     )
     landed = target.count(task.table)
+    target.settle(task.table, landed == checked["rows"])
     if landed != checked["rows"]:
         raise ValueError(
             f"{task.table}: {checked['rows']} rows read, {landed} rows in the target"
@@ -85,8 +92,19 @@ def jdbc_target(spark: SparkSession, connection: JdbcTarget) -> SyncTarget:
 
 
 def folder_target(spark: SparkSession, folder: str) -> SyncTarget:
-    """One Parquet directory per table."""
-    return SyncTarget(
-        write=lambda df, table: df.write.mode("overwrite").parquet(f"{folder}/{table}"),
-        count=lambda table: spark.read.parquet(f"{folder}/{table}").count(),
-    )
+    """One Parquet directory per table. Rows arrive beside the old ones and take their place
+    once the count is right."""
+    arriving: dict[str, str] = {}
+
+    def write(df: DataFrame, table: str) -> None:
+        arriving[table] = swap.incoming(f"{folder}/{table}")
+        df.write.parquet(arriving[table])
+
+    def settle(table: str, right: bool) -> None:
+        fresh = arriving.pop(table)
+        if right:
+            swap.swap(spark, fresh, f"{folder}/{table}")
+        else:
+            swap.discard(spark, fresh)
+
+    return SyncTarget(write, lambda table: spark.read.parquet(arriving[table]).count(), settle)

@@ -30,6 +30,31 @@ def write_orc(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").orc(path)
 
 
+def write_partitioned(df: DataFrame, path: str, by: str) -> None:
+    """ORC in one folder per value of ``by``. Only the values that ``df`` holds are replaced, all
+    others keep their rows. The rows are dealt by value into files of a measured size; a
+    value with very many rows gets several."""
+    (
+        df.hint("rebalance", by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(by)
+        .orc(path)
+    )
+
+
+def write_lookup(df: DataFrame, path: str, *keys: str) -> None:
+    """ORC sorted by ``keys``, with bloom filters on them: a filter on the first key reads the
+    few row groups that hold it, one on another key passes over those that cannot."""
+    (
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .write.mode("overwrite")
+        .options(**{"orc.bloom.filter.columns": ",".join(keys), "orc.bloom.filter.fpp": "0.01"})
+        .orc(path)
+    )
+
+
 def create_table(df: DataFrame, name: str, file_format: str = "orc") -> None:
     """Drop the table when it exists and create it from the query."""
     df.write.mode("overwrite").format(file_format).saveAsTable(name)

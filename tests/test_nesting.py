@@ -1,0 +1,81 @@
+"""Nested profiles and the arrays they are made of."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.operators import nesting
+from lectern.plans import profiles, warnings
+
+
+def nested(df, **kw):
+    out = nesting.nest(df, ["k"], ["v"], F.struct("v", "x"), "items", **kw)
+    return {r["k"]: [tuple(i) for i in r["items"]] for r in out.collect()}
+
+
+def test_items_in_order_with_ties_nulls_and_repeats(spark):
+    rows = [("a", 2, "q"), ("a", 1, "z"), ("a", 1, "y"), (None, 5, None), ("b", None, "n"), ("b", 3, "m"), ("a", 2, "q")]
+    df = spark.createDataFrame(rows, "k string, v int, x string")
+    assert nested(df) == {
+        "a": [(1, "y"), (1, "z"), (2, "q"), (2, "q")],
+        None: [(5, None)],
+        "b": [(None, "n"), (3, "m")],
+    }
+    assert nested(df.limit(0)) == {}
+
+
+@pytest.mark.parametrize("run", [4, 5, 256])
+def test_runs_of_runs(spark, monkeypatch, run):
+    monkeypatch.setattr(nesting, "RUN", run)
+    df = spark.range(500).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))).alias("k"),
+        (F.col("id") * 77 % 501).cast("int").alias("v"),
+        F.col("id").cast("string").alias("x"),
+    )
+    expected = {}
+    for r in sorted(df.collect(), key=lambda r: r["v"]):
+        expected.setdefault(r["k"], []).append((r["v"], r["x"]))
+    assert nested(df) == expected
+
+
+def test_no_step_gathers_more_than_a_run(spark, monkeypatch):
+    sizes = []
+    gather = nesting._gather
+
+    def watched(runs, keys, run=None):
+        counted = runs.groupBy(*keys, *([] if run is None else [run.alias("r")])).count()
+        sizes.append(counted.agg(F.max("count")).first()[0])
+        return gather(runs, keys, run)
+
+    monkeypatch.setattr(nesting, "RUN", 16)
+    monkeypatch.setattr(nesting, "_gather", watched)
+    df = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("v"), F.lit("x").alias("x"))
+    out = nesting.nest(df, ["k"], ["v"], F.col("v"), "items").first()
+    assert out["items"] == list(range(5000))
+    assert len(sizes) >= 3 and max(sizes) <= 17
+
+
+def test_student_with_a_hundred_thousand_courses(spark, facts):
+    small = facts(["student_id", "course_id", "course_name", "time_spent_hours", "login_frequency", "enrollment_date"], [("S2", "C1", "n", 1.0, 9, datetime.date(2024, 1, 1))])
+    many = spark.range(100_000).select(
+        F.lit("S1").alias("student_id"), F.concat(F.lit("C"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("course_id")
+    )
+    wide = many.select(*[F.col(n) if n in many.columns else F.lit(None).cast(t).alias(n) for n, t in small.dtypes])
+    rows = wide.unionByName(small)
+    out = profiles.nested_profile(warnings.scored_enrolments(rows), profiles.student_table(rows))
+    found = {r["student_id"]: r for r in out.collect()}
+    assert [c["course_id"] for c in found["S1"]["courses"]] == [f"C{i:06}" for i in range(100_000)]
+    assert found["S1"]["warning"]["high_risk_count"] == 100_000
+    assert found["S1"]["feature"]["course_count"] == 100_000
+    one = found["S2"]
+    assert (one["basic"]["student_id"], len(one["courses"]), one["courses"][0]["feature"]["total_study_time_hours"]) == ("S2", 1, 1.0)
+    assert one["courses"][0]["warning"]["warning_level"] == one["warning"]["warning_level"]
+
+
+def test_profile_of_one_student_and_of_a_missing_id(facts):
+    df = facts(["student_id", "course_id", "course_name"], [("S1", "C1", "a"), (None, "C2", "b"), (None, "C3", "c")])
+    marked, students = warnings.scored_enrolments(df), profiles.student_table(df)
+    assert [r["student_id"] for r in profiles.nested_profile(marked, students, "S1").collect()] == ["S1"]
+    missing = [r for r in profiles.nested_profile(marked, students).collect() if r["student_id"] is None]
+    assert [c["course_id"] for c in missing[0]["courses"]] == ["C2", "C3"] and missing[0]["feature"]["course_count"] == 2
