@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -14,10 +15,11 @@ from lectern.functions.text import lookup, squeeze
 def parse_percentage(text: Column) -> Column:
     """``80%``, ``80`` and ``0.8`` all give 80. Without a percent sign, 0 to 1
     inclusive counts as a fraction. Space of any kind around it is dropped."""
-    text = squeeze(text)
-    number = to_number(F.replace(text, F.lit("%"), F.lit("")))
-    is_fraction = ~F.contains(text, F.lit("%")) & number.between(0, 1)
-    return F.when(is_fraction, number * 100).otherwise(number)
+    signed = F.contains(text, F.lit("%"))
+    plain = squeeze(text)
+    number = to_number(F.when(signed, F.replace(plain, F.lit("%"), F.lit(""))).otherwise(plain))
+    # The number stands outside of the choice, so that it is computed once.
+    return number * F.when(~signed & number.between(0, 1), F.lit(100.0)).otherwise(F.lit(1.0))
 
 
 def parse_flag(text: Column, spellings: Mapping[str, int]) -> Column:
@@ -32,6 +34,15 @@ _ISO_PATTERN = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
 DAY_FORMATS = (ISO_DAY, "y/M/d", "y.M.d")
 
 
+def _could_fit(text: Column, pattern: str) -> Column:
+    """Whether a text has the digits and separators of a day format: a formatter raises inside
+    on any other text, which is slow. Formats with more than years, months and days are
+    not looked at."""
+    if not re.fullmatch(r"[yMd]+(?:[-/. ][yMd]+)*", pattern):
+        return F.lit(True)
+    return text.rlike("^" + re.sub("[yMd]+", "[+-]?[0-9]+", pattern.replace(".", r"\.")) + "$")
+
+
 def parse_date(text: Column, formats: tuple[str, ...] = (ISO_DAY,)) -> Column:
     """Date by the first format that fits, NULL when none does. The ISO form, whose time
     part is dropped, has a cast of its own, which is faster than a formatter that raises
@@ -41,7 +52,7 @@ def parse_date(text: Column, formats: tuple[str, ...] = (ISO_DAY,)) -> Column:
         *[
             F.when(trimmed.rlike(_ISO_PATTERN), trimmed.try_cast("date"))
             if pattern == ISO_DAY
-            else F.try_to_date(trimmed, pattern)
+            else F.when(_could_fit(trimmed, pattern), F.try_to_date(trimmed, pattern))
             for pattern in formats
         ]
     )
