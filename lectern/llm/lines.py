@@ -287,7 +287,8 @@ def judged(docs: DataFrame, field: LineField, text: str = "text", name: str = "v
 
     A text that fails the base rules is not kept: fewer than 20 words, or over 30 % of its
     words in repeated windows of 8. A null text has no words. Columns are kept, but one
-    that is named like the new one gives way.
+    that is named like the new one gives way. Rows that repeat get the same verdict each; no
+    rows give no rows.
     """
 
     @once

@@ -197,7 +197,7 @@ def keep_one_of_similar(
     id. Classes are what links of similar pairs connect.
 
     Among rows of equal id, or none, the first in storage order stays. The columns are
-    those of ``docs``. Texts without a word are alike.
+    those of ``docs``. Texts without a word, null ones among them, are alike; no rows give none.
     """
 
     @once

@@ -346,7 +346,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def scored(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` and the score of each whole text, 0 to 1. A null text counts as empty. Columns
-    are kept, but one that is named like the new one gives way."""
+    are kept, but one that is named like the new one gives way. Rows that repeat get the same
+    score each; no rows give no rows."""
 
     @once
     @F.arrow_udf("double")
