@@ -3,13 +3,16 @@
 A distinct sequence of words is a node. Its SimHash fingerprint would have to be searched
 within ``RADIUS`` bits, too wide for blocks of bits to be selective, so buckets are made of
 MinHash bands instead: a pair of similarity 0.8 agrees in one of ``BANDS`` bands of
-``BAND_ROWS`` with probability 1 - (1 - 0.8 ** 2) ** 8 = 0.9997. Within buckets the
-bit-sliced search finds the pairs inside the radius; those are confirmed by the exact
-Jaccard similarity of their shingles, and only confirmed pairs link.
-
-A bucket above ``BUCKET_ROWS`` is divided by a second band. What is still above agrees in
-two bands and is dealt out in chunks, each with the bucket's smallest and largest node, at
-which the chunks of a class of near copies meet.
+``BAND_ROWS`` with probability 1 - (1 - 0.8 ** 2) ** 8 = 0.9997. Nodes come to their buckets
+with the hashes of their shingles. The bit-sliced search finds the pairs inside the radius,
+and each of them that is not yet connected is measured by the exact Jaccard similarity
+there and then; trees grow by measured pairs only, so a bucket hands on at most one link
+for each of its nodes and loses none.
+
+A bucket above ``BUCKET_ROWS`` is first measured against one of its nodes, the anchor. Nodes
+similar to it are connected through it and need no comparison among themselves, however many
+they are. The others are dealt out in blocks, and each two blocks, and each of them with each
+block of the anchor's nodes, meet in one unit of work of bounded size.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import byte_texts, once
@@ -33,9 +36,12 @@ SIMILARITY = 0.8
 RADIUS = 24
 BANDS = 8
 BAND_ROWS = 2
+#: Nodes of a bucket, and hashes of their shingles, that one unit of work compares.
 BUCKET_ROWS = 4096
-#: Pairs of each node that are confirmed per bucket, besides those that join two trees.
-LINKS = 8
+BUCKET_SHINGLES = 8_000_000
+SALTS = 64
+#: Pairs that are measured at once.
+MEASURED = 1 << 20
 
 _RNG = np.random.default_rng(42)
 _XOR = _RNG.integers(0, 2**64, BANDS * BAND_ROWS, np.uint64)
@@ -72,15 +78,23 @@ def bands(found: np.ndarray) -> np.ndarray:
     return value
 
 
-def _links(part: np.ndarray, value: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: int) -> set[tuple[int, int]]:
-    """Pairs of nodes of a bucket inside the radius: what joins trees, and ``LINKS`` a node."""
-    new = np.r_[True, (part[1:] != part[:-1]) | (value[1:] != value[:-1])]
-    group = np.cumsum(new) - 1
+def _links(
+    group: np.ndarray, side: np.ndarray, fp: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float
+) -> list[tuple[int, int]]:
+    """Index pairs of a group that are similar, as many as connect whatever is so connected.
+
+    ``side`` 0 is compared with every row of its group, another side only with other sides.
+    """
     scale = np.ceil(np.log2(np.bincount(group))).astype(int)[group]
-    kept: set[tuple[int, int]] = set()
+    kept: list[tuple[int, int]] = []
+    # Buckets of like size together: a lag then fits all or most of them.
     for k in np.unique(scale[scale > 0]):
         rows = np.flatnonzero(scale == k)
-        root, degree = np.arange(len(rows)), np.zeros(len(rows), int)
+        size = np.array([len(sets[r]) for r in rows])
+        ids = np.split(np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True)[1], np.cumsum(size)[:-1])
+        marked = np.zeros(max((int(x.max()) for x in ids if len(x)), default=0) + 1, bool)
+        own, mine = group[rows], side[rows]
+        root = np.arange(len(rows))
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -88,105 +102,140 @@ def _links(part: np.ndarray, value: np.ndarray, node: np.ndarray, fp: np.ndarray
                 i = root[i]
             return i
 
-        own = group[rows]
-        n_groups = len(np.unique(own))
-        trees = len(rows)
-        for i_all, j_all in sliced_pairs(fp[rows].view(np.uint64), own, radius):
+        def measure(i_all: np.ndarray, j_all: np.ndarray) -> None:
             while (root[root] != root).any():
                 root[:] = root[root]
-            open_ = (degree[i_all] < LINKS) | (degree[j_all] < LINKS) | (root[i_all] != root[j_all])
-            for i, j in zip(i_all[open_].tolist(), j_all[open_].tolist()):
-                x, y = find(i), find(j)
-                if x == y and degree[i] >= LINKS and degree[j] >= LINKS:
-                    continue
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    trees -= 1
-                degree[i] += 1
-                degree[j] += 1
-                a, b = int(node[rows[i]]), int(node[rows[j]])
-                kept.add((min(a, b), max(a, b)))
-            if trees == n_groups and degree.min() >= LINKS:
-                break
+            low, high = np.minimum(size[i_all], size[j_all]), np.maximum(size[i_all], size[j_all])
+            open_ = (root[i_all] != root[j_all]) & (low >= similarity * high * (1 - 1e-9)) & (low > 0)
+            i_all, j_all = i_all[open_], j_all[open_]
+            order = np.argsort(i_all, kind="stable")
+            firsts, starts = np.unique(i_all[order], return_index=True)
+            for i, others in zip(firsts.tolist(), np.split(j_all[order], starts[1:])):
+                marked[ids[i]] = True
+                seen = marked[np.concatenate([ids[j] for j in others])]
+                common = np.add.reduceat(seen.astype(np.int64), np.r_[0, np.cumsum(size[others])[:-1]])
+                marked[ids[i]] = False
+                for j in others[common / (size[i] + size[others] - common) >= similarity].tolist():
+                    x, y = find(i), find(j)
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        kept.append((int(rows[i]), int(rows[j])))
+
+        n_groups, waiting, n_waiting, limit = len(np.unique(own)), [], 0, len(rows)
+        for i_all, j_all in sliced_pairs(fp[rows].view(np.uint64), own, radius):
+            apart = (mine[i_all] != mine[j_all]) | (mine[i_all] == 0)
+            waiting.append(np.stack([i_all[apart], j_all[apart]]))
+            n_waiting += int(apart.sum())
+            if n_waiting >= limit:
+                measure(*np.concatenate(waiting, axis=1))
+                waiting, n_waiting, limit = [], 0, min(2 * limit, MEASURED)
+                if (root == np.arange(len(rows))).sum() == n_groups:
+                    break
+        if n_waiting:
+            measure(*np.concatenate(waiting, axis=1))
     return kept
 
 
-def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs within the buckets of a task, whose rows come sorted by bucket."""
+def _compare(batches: Iterator[pa.RecordBatch], radius: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links within the units of a task, whose rows come sorted by unit."""
     held = [np.zeros(0, np.int64) for _ in range(4)]
+    sets: list[np.ndarray] = []
 
-    def batch_of(columns: list[np.ndarray]) -> pa.RecordBatch:
-        pairs = sorted(_links(*columns, radius))
+    def batch_of(unit: np.ndarray, side: np.ndarray, node: np.ndarray, fp: np.ndarray, sets: list) -> pa.RecordBatch:
+        group = np.cumsum(np.r_[True, unit[1:] != unit[:-1]]) - 1
+        pairs = [sorted((int(node[i]), int(node[j]))) for i, j in _links(group, side, fp, sets, radius, similarity)]
         a, b = zip(*pairs) if pairs else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(name).to_numpy() for name in ("part", "value", "node", "fp")]
-        held = [np.r_[x, y] for x, y in zip(held, columns)]
-        if not len(held[0]):
+        held = [np.r_[x, batch.column(c).to_numpy()] for x, c in zip(held, ("unit", "side", "node", "fp"))]
+        sets += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+        if not len(sets):
             continue
-        last = int(np.argmax((held[0] == held[0][-1]) & (held[1] == held[1][-1])))
+        last = int(np.argmax(held[0] == held[0][-1]))
         if last:
-            yield batch_of([x[:last] for x in held])
-            held = [x[last:] for x in held]
-    if len(held[0]):
-        yield batch_of(held)
-
-
-def candidates(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of ``nodes`` (stored; node, fp, bands) to be confirmed."""
-    rows = nodes.select("node", "fp", "bands", F.posexplode("bands").alias("part", "value"))
-    found = None
-    for level in range(3):
-        sized = rows.groupBy("part", "value").agg(
-            F.count("*").alias("rows"), F.min("node").alias("low"), F.max("node").alias("high")
-        )
-        sized = stage(sized.filter("rows > 1"))
-        large = sized.filter(F.col("rows") > BUCKET_ROWS)
-        small = sized if level == 2 else sized.filter(F.col("rows") <= BUCKET_ROWS)
-        keys = small.select(F.struct("part", "value").alias("bucket"))
-        whole = rows.withColumn("bucket", F.struct("part", "value")).join(keys, "bucket", "left_semi")
-        pairs = (
-            whole.select(F.col("part").cast("long"), "value", "node", "fp")
-            .repartition("part", "value")
-            .sortWithinPartitions("part", "value", "fp", "node")
-            .mapInArrow(lambda batches: _compare(batches, radius), "a long, b long")
-        )
-        found = pairs if found is None else found.unionByName(pairs)
-        if level == 2 or large.isEmpty():
-            return found.distinct()
-        keyed = rows.withColumn("bucket", F.struct("part", "value")).join(
-            large.select(F.struct("part", "value").alias("bucket"), "rows", "low", "high"), "bucket"
-        )
-        if level == 0:
-            second = keyed.select("node", "fp", "bands", "part", "value", F.posexplode("bands").alias("more", "finer"))
-            rows = second.filter("more > part").select(
-                "node", "fp", "bands", (F.col("part") * BANDS + F.col("more")).alias("part"), F.xxhash64("value", "finer").alias("value")
-            )
-        else:
-            chunks = F.ceil(F.col("rows") * 2 / BUCKET_ROWS).cast("long")
-            anchor = F.col("node").isin(F.col("low"), F.col("high"))
-            dealt = F.when(anchor, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(
-                F.array(F.pmod(F.xxhash64("node", "part"), chunks))
-            )
-            rows = keyed.select("node", "fp", "bands", "part", "value", F.explode(dealt).alias("chunk")).select(
-                "node", "fp", "bands", "part", F.xxhash64("value", "chunk").alias("value")
-            )
+            yield batch_of(*[x[:last] for x in held], sets[:last])
+            held, sets = [x[last:] for x in held], sets[last:]
+    if len(sets):
+        yield batch_of(*held, sets)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """The ``pairs`` whose ``texts`` (node, text) have that much of their shingles in common."""
-
+def _similar_to(similarity: float):
     @once
     @F.arrow_udf("boolean")
     def alike(first: pa.Array, second: pa.Array) -> pa.Array:
-        found = zip(byte_texts(first), byte_texts(second))
-        return pa.array([jaccard(shingles(x, words), shingles(y, words)) >= similarity for x, y in found], pa.bool_())
+        pairs = zip(first, second)
+        found = [jaccard(*[np.frombuffer(x.as_buffer(), np.uint64) for x in pair]) >= similarity for pair in pairs]
+        return pa.array(found, pa.bool_())
+
+    return alike
+
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.select("a", "b", alike("x", "y").alias("ok")).filter("ok").select("a", "b")
+def _blocks(rows: str, size: str) -> Column:
+    """Blocks of half a unit that so many rows with so many shingles fill."""
+    return F.ceil(F.greatest(F.col(rows) * 2 / BUCKET_ROWS, F.col(size) * 2 / BUCKET_SHINGLES)).cast("long")
+
+
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """node, fp, size, bucket, large and anchor for each bucket of two or more of ``nodes`` (stored;
+    node, fp, size, bands)."""
+    spread = nodes.select("node", "fp", "size", F.posexplode("bands").alias("part", "value"))
+    keyed = spread.select("node", "fp", "size", F.struct("part", "value").alias("bucket"))
+    sized = keyed.groupBy("bucket").agg(
+        F.count("*").alias("rows"), F.sum("size").alias("shingles"), F.min("node").alias("anchor")
+    )
+    large = (F.col("rows") > BUCKET_ROWS) | (F.col("shingles") > BUCKET_SHINGLES)
+    sized = sized.filter("rows > 1").select("bucket", large.alias("large"), "anchor")
+    return keyed.join(sized, "bucket")
+
+
+def similar_links(
+    buckets: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS
+) -> DataFrame:
+    """Links ``a``, ``b`` that connect what is similar within ``buckets`` (stored). ``sets`` (stored)
+    has the node and the ``shingles`` of every node in them."""
+    none = F.lit(0).cast("long")
+    small = buckets.filter("not large").select("node", "fp", F.xxhash64("bucket").alias("unit"), none.alias("side"))
+    crowded = buckets.filter("large")
+    units, stars = small, None
+    if not crowded.isEmpty():
+        # An anchor may stand for a third of all rows: its shingles go to every salt.
+        anchors = crowded.select("anchor").distinct().join(sets.toDF("anchor", "aim"), "anchor")
+        anchors = anchors.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = crowded.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS)))
+        both = salted.join(sets, "node").join(anchors, ["anchor", "salt"])
+        near = _similar_to(similarity)("shingles", "aim").alias("near")
+        crowded = stage(both.select("bucket", "node", "fp", "size", "anchor", near))
+        stars = crowded.filter("near and node <> anchor").select(F.col("anchor").alias("a"), F.col("node").alias("b"))
+        far, close = F.col("near") == F.lit(False), F.col("near")
+        sums = crowded.groupBy("bucket").agg(
+            F.sum(far.cast("long")).alias("far_rows"), F.sum(F.when(far, F.col("size")).otherwise(0)).alias("far_size"),
+            F.sum(close.cast("long")).alias("near_rows"), F.sum(F.when(close, F.col("size")).otherwise(0)).alias("near_size"),
+        )
+        blocks = sums.select("bucket", _blocks("far_rows", "far_size").alias("far"), _blocks("near_rows", "near_size").alias("beside"))
+        # A bucket that lies around its anchor as a whole has nothing left to compare.
+        dealt = crowded.join(blocks.filter("far > 0"), "bucket").withColumn(
+            "block",
+            F.when(F.col("near"), F.col("far") + F.pmod(F.xxhash64("node", "bucket"), F.col("beside"))).otherwise(
+                F.pmod(F.xxhash64("node", "bucket"), F.col("far"))
+            ),
+        )
+        reach = F.sequence(none, F.when(F.col("near"), F.col("far")).otherwise(F.col("far") + F.col("beside")) - 1)
+        met = dealt.select("node", "fp", "bucket", "block", F.explode(reach).alias("other"))
+        units = small.unionByName(
+            met.select(
+                "node", "fp", F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
+                F.when(F.col("block") == F.col("other"), 0).otherwise(F.col("block") + 1).alias("side"),
+            )
+        )
+    pairs = (
+        units.join(sets, "node")
+        .select("unit", F.col("side").cast("long").alias("side"), "node", "fp", "shingles")
+        .repartition("unit")
+        .sortWithinPartitions("unit", "fp", "node")
+        .mapInArrow(lambda batches: _compare(batches, radius, similarity), "a long, b long")
+    )
+    return pairs if stars is None else pairs.unionByName(stars)
 
 
 def keep_one_of_similar(
@@ -201,15 +250,19 @@ def keep_one_of_similar(
     """
 
     @once
-    @F.arrow_udf("struct<node:long,fp:long,bands:array<long>>")
+    @F.arrow_udf("struct<node:long,fp:long,size:long,bands:array<long>>")
     def sketch(column: pa.Array) -> pa.Array:
         rows = []
         for t in byte_texts(column):
-            node = xxhash.xxh3_64_intdigest(b" ".join(_split(t)))
-            made = np.array([node, fingerprint(t, words), *bands(shingles(t, words)).tolist()], np.uint64).view(np.int64).tolist()
-            rows.append({"node": made[0], "fp": made[1], "bands": made[2:]})
-        kind = pa.struct([("node", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
-        return pa.array(rows, kind)
+            node, found = xxhash.xxh3_64_intdigest(b" ".join(_split(t))), shingles(t, words)
+            made = np.array([node, fingerprint(t, words), *bands(found)], np.uint64).view(np.int64).tolist()
+            rows.append({"node": made[0], "fp": made[1], "size": len(found), "bands": made[2:]})
+        return pa.array(rows, pa.struct([*[(n, pa.int64()) for n in ("node", "fp", "size")], ("bands", pa.list_(pa.int64()))]))
+
+    @once
+    @F.arrow_udf("binary")
+    def hashes(column: pa.Array) -> pa.Array:
+        return pa.array([shingles(t, words).tobytes() for t in byte_texts(column)], pa.binary())
 
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
@@ -217,12 +270,12 @@ def keep_one_of_similar(
     marked = plain.withColumn("s", sketch(body)).withColumn("row", F.monotonically_increasing_id())
     rows = stage(marked.select(*plain.columns, "row", "s.*"))
     order = F.min(F.struct(key.isNull().alias("n"), key.alias("doc_id"), "row")).alias("first")
-    nodes = stage(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands"), order))
-    pairs = stage(candidates(nodes, radius))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    heads = nodes.join(wanted, "node", "left_semi").select("node", F.col("first.row").alias("row"))
-    texts = stage(heads.join(rows.select("row", body.alias("text")), "row").select("node", "text"))
-    links = stage(confirmed(pairs, texts, similarity, words))
+    same = [F.min(c).alias(c) for c in ("fp", "size", "bands")]
+    nodes = stage(rows.groupBy("node").agg(*same, order))
+    buckets = stage(shared_buckets(nodes))
+    heads = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("row"))
+    sets = stage(rows.select("row", body.alias("text")).join(heads, "row").select("node", hashes("text").alias("shingles")))
+    links = stage(similar_links(buckets, sets, similarity, radius))
     classes = connected_components(links).select("node", "component")
     first = (
         nodes.join(classes, "node", "left")
