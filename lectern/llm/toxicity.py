@@ -1,16 +1,23 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A lexicon turns each word of a clause into a symbol: insult, threat, target, negation,
-report, or other. Small transducers read the symbols one after the other and rewrite or
-weigh them: negation and reported speech mark the insults and threats in their reach, a
-target near one raises it, and the last transducer names what was matched. They are
-composed into one deterministic table, which is run over clauses. A text's evidence is
-what its matched clauses add up to; a logistic curve, fitted to labelled texts, turns it
-into a score.
-
-Function words (targets, negations, reporting verbs) and threats are given below. Insults
-are learned: words, or beginnings of words where a language inflects or compounds them,
-that labelled texts bind to the label beyond chance.
+A lexicon turns each word of a clause into a symbol: insult, threat verb, target, intent,
+copula, negation, report, or other. Small transducers read the symbols one after the other
+and rewrite them:
+
+* read from the end, a target marks the insults and threat verbs shortly before it;
+* negation and reported speech mark what is in their reach;
+* a threat is intent, threat verb and target, the target on either side of the verb
+  ("I will kill you", "ich werde dich töten"); any two of them are part of one;
+* an insult is aimed with a target on either side ("you are a fool", "fool that you are"),
+  stated behind a copula ("he is a fool"), or a bare word.
+
+Those that read forward are composed into one deterministic table. A text's evidence is what
+its matched clauses add up to; a logistic curve, fitted to labelled texts, turns it into a score.
+
+Function words (targets, intent, copulas, negations, reporting verbs) and threat verbs are given
+below. Insults are learned: words, or beginnings of words where a language inflects or compounds
+them, that labelled texts bind to the label beyond chance. What no labelled text of the sample
+shows is worth what is stated here: an aimed threat reaches the threshold by itself.
 """
 
 from __future__ import annotations
@@ -37,30 +44,33 @@ SAMPLE_CHARS = 20_000
 THRESHOLD = 0.7
 #: Lengths of the beginnings of words that may be learned.
 STEMS = range(3, 9)
-#: Of the features that pass the test so many, the strongest, are weighed against each other.
-CANDIDATES = 4000
 #: Behind a feature that is a whole word.
 WHOLE = "$"
 
 # Closed classes of words in the four languages of the corpus.
-TARGETS = "you your yours yourself u they them du dich dir dein ihr euch tu toi vous vos ton tú ti usted ustedes vosotros".split()
+TARGETS = "you you're your yours yourself u they them du dich dir dein ihr euch tu toi vous vos ton tú ti usted ustedes vosotros".split()
 NEGATIONS = "not no never none nobody isn't aren't wasn't don't nicht kein keine nie niemals ne pas jamais aucun nunca jamás ningún".split()
 REPORTS = "said says say called calls quoted wrote claimed alleged reported sagte sagt nannte schrieb dit disait appelé écrit dijo dice llamó escribió".split()
+INTENTS = "will i'll we'll gonna going shall must should want wanna werde werden wirst müsst soll vais va allons veux voy vamos quiero".split()
+COPULAS = "am are is was were be being bin bist ist sind seid war suis es est sommes êtes sont soy eres son sois".split()
 THREATS = "kill murder destroy strangle stab shoot töten umbringen erschießen tuer égorger massacrer matar asesinar".split()
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "I", "H", "T", "N", "R", "."
-SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)
-#: What the grammar can find: an insult or a threat; aimed, plain, negated or reported.
-KINDS = tuple(a + b for a in (INSULT, THREAT) for b in ("+", "", "-", "'"))
+INSULT, THREAT, TARGET, INTENT, COPULA, NEGATION, REPORT, OTHER = "I", "H", "T", "M", "C", "N", "R", "."
+SYMBOLS = (INSULT, THREAT, TARGET, INTENT, COPULA, NEGATION, REPORT, OTHER)
+#: What the grammar can find: an insult or a threat that is whole, partly there, bare, negated
+#: or reported.
+KINDS = tuple(a + b for a in (INSULT, THREAT) for b in ("+", "~", "", "-", "'"))
 #: A kind's evidence counts up to here; what is beyond adds nothing to a clear case.
 MOST_EVIDENCE = 25.0
 #: A match says less in a longer text: what the size takes off is fixed.
 SIZE_WEIGHT = -0.5
 #: What a kind is worth before the labels are seen, times the weight of its word.
 PRIOR = {
-    "I+": 1.3, "I": 1.0, "I-": 0.4, "I'": 0.6,
-    "H+": 1.0, "H": 0.4, "H-": 0.1, "H'": 0.2,
+    "I+": 1.3, "I~": 1.1, "I": 0.9, "I-": 0.4, "I'": 0.6,
+    "H+": 4.7, "H~": 0.8, "H": 0.4, "H-": 0.1, "H'": 0.2,
 }
+#: Where one whole threat alone puts a text, on the scale of the curve, if no label speaks of any.
+THREAT_LOGIT = 2.2
 
 
 @dataclass(frozen=True)
@@ -75,35 +85,92 @@ class Transducer:
         return self.arcs.get((state, symbol), (0, symbol))
 
 
-def within(reach: int, opens: str, marks: dict[str, str], inputs: Iterable[str]) -> Transducer:
-    """Rewrites by ``marks`` the symbols that follow ``opens`` within ``reach`` words."""
+def within(
+    reach: int, opens: str, marks: dict[str, str], inputs: Iterable[str], passes: bool = False
+) -> Transducer:
+    """Rewrites by ``marks`` the symbols that follow ``opens`` within ``reach`` words. The opener
+    itself is read off, or passed on to the next transducer."""
     arcs: dict[tuple[int, str], tuple[int, str]] = {}
     for state, symbol in product(range(reach + 1), inputs):
         if symbol == opens:
-            arcs[state, symbol] = (reach, OTHER)
+            arcs[state, symbol] = (reach, symbol if passes else OTHER)
         elif state:
             arcs[state, symbol] = (state - 1, marks.get(symbol, symbol))
     return Transducer(reach + 1, arcs)
 
 
 def compose(first: Transducer, second: Transducer, inputs: Iterable[str]) -> Transducer:
-    """One machine that does what ``second`` does with the output of ``first``."""
+    """One machine that does what ``second`` does with the output of ``first``; of the pairs of
+    states, those that can be reached."""
+    numbers, open_ = {(0, 0): 0}, [(0, 0)]
     arcs = {}
-    for a, b, symbol in product(range(first.states), range(second.states), inputs):
-        a_next, middle = first.step(a, symbol)
-        b_next, out = second.step(b, middle)
-        arcs[a * second.states + b, symbol] = (a_next * second.states + b_next, out)
-    return Transducer(first.states * second.states, arcs)
+    while open_:
+        a, b = state = open_.pop()
+        for symbol in inputs:
+            a_next, middle = first.step(a, symbol)
+            b_next, out = second.step(b, middle)
+            if (a_next, b_next) not in numbers:
+                numbers[a_next, b_next] = len(numbers)
+                open_.append((a_next, b_next))
+            arcs[numbers[state], symbol] = (numbers[a_next, b_next], out)
+    return Transducer(len(numbers), arcs)
+
+
+#: An insult or threat verb with a target shortly behind it.
+INSULT_AT, THREAT_AT = "I>", "H>"
+MARKED = (*SYMBOLS, INSULT_AT, THREAT_AT)
+
+
+def target_behind() -> Transducer:
+    """Reads a clause from its end."""
+    return within(3, TARGET, {INSULT: INSULT_AT, THREAT: THREAT_AT}, SYMBOLS, passes=True)
+
+
+def threat(reach: int = 6) -> Transducer:
+    """Intent, threat verb, target. States: none; so many words left since an intent; the same
+    once a target came behind the intent."""
+    arcs: dict[tuple[int, str], tuple[int, str]] = {}
+    for state, symbol in product(range(2 * reach + 1), (*MARKED, "I-", "H-", "I'", "H'")):
+        left, aimed = (state - reach, True) if state > reach else (state, False)
+        after = 0 if left <= 1 else left - 1 + (reach if aimed else 0)
+        out = symbol
+        if symbol == INTENT:
+            after, out = reach, OTHER
+        elif symbol == TARGET and left > 1:
+            after = left - 1 + reach
+        elif symbol in (THREAT, THREAT_AT):
+            parts = 1 + bool(left) + (aimed or symbol == THREAT_AT)
+            out = {1: THREAT, 2: "H~", 3: "H+"}[parts]
+        arcs[state, symbol] = (after, out)
+    return Transducer(2 * reach + 1, arcs)
+
+
+def forward() -> list[Transducer]:
+    """Negation, reported speech, threat, stated insult, aimed insult; a clause is read from state 0."""
+    core = (INSULT, THREAT, INSULT_AT, THREAT_AT)
+    negated = (*MARKED, "I-", "H-")
+    reported = (*negated, "I'", "H'")
+    threats = (*reported, "H~", "H+")
+    stated = (*threats, "I~")
+    aimed = within(4, TARGET, dict.fromkeys((INSULT, INSULT_AT, "I~"), "I+"), stated)
+    # Outside the reach of a target before it, the one behind decides.
+    aimed.arcs.update({(0, INSULT_AT): (0, "I+")})
+    return [
+        within(3, NEGATION, {s: s[0] + "-" for s in core}, MARKED),
+        within(12, REPORT, {s: s[0] + "'" for s in core}, negated),
+        threat(),
+        within(4, COPULA, {INSULT: "I~"}, threats),
+        aimed,
+    ]
 
 
 @lru_cache(maxsize=1)
-def grammar() -> Transducer:
-    """Negation, then reported speech, then target; a clause is read from state 0."""
-    negation = within(3, NEGATION, {INSULT: "I-", THREAT: "H-"}, SYMBOLS)
-    inner = (*SYMBOLS, "I-", "H-")
-    report = within(12, REPORT, {INSULT: "I'", THREAT: "H'"}, inner)
-    target = within(4, TARGET, {INSULT: "I+", THREAT: "H+"}, (*inner, "I'", "H'"))
-    return compose(compose(negation, report, SYMBOLS), target, SYMBOLS)
+def grammar() -> tuple[Transducer, Transducer]:
+    """What reads a clause from its end, and what then reads it from its beginning."""
+    composed, *more = forward()
+    for machine in more:
+        composed = compose(composed, machine, MARKED)
+    return target_behind(), composed
 
 
 @dataclass
@@ -115,7 +182,12 @@ class Lexicon:
     stems: dict[str, float]
     classes: dict[str, str] = field(
         default_factory=lambda: {
-            w: s for s, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for w in ws
+            w: s
+            for s, ws in (
+                (COPULA, COPULAS), (INTENT, INTENTS), (TARGET, TARGETS),
+                (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS),
+            )
+            for w in ws
         }
     )
 
@@ -134,10 +206,11 @@ _WORDS_KEPT = 300_000
 
 
 class Grammar:
-    """Runs the composed machine over the clauses of a text."""
+    """Runs the grammar over the clauses of a text."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.machine = lexicon, grammar()
+        self.lexicon = lexicon
+        self.backward, self.machine = grammar()
         self.found: dict[str, tuple[str, float] | None] = {}
 
     def _symbol(self, word: str) -> tuple[str, float] | None:
@@ -162,9 +235,13 @@ class Grammar:
             symbols = [look(w) if w not in known else known[w] for w in WORD.findall(clause)]
             if not any(s and s[0] in core for s in symbols):
                 continue
+            state, marked = 0, []
+            for s in reversed(symbols):
+                state, out = self.backward.step(state, s[0] if s else OTHER)
+                marked.append(out)
             state = 0
-            for s in symbols:
-                state, out = self.machine.step(state, s[0] if s else OTHER)
+            for s, symbol in zip(symbols, reversed(marked)):
+                state, out = self.machine.step(state, symbol)
                 if out[0] in core:
                     yield out, s[1]
 
@@ -189,6 +266,14 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def _with_threats(w: np.ndarray, b: float, evidence: np.ndarray) -> np.ndarray:
+    """The weights; that of a whole threat as stated above where no text of the sample has one."""
+    whole = KINDS.index("H+")
+    if not len(evidence) or not evidence[:, whole].any():
+        w[whole] = max(w[whole], THREAT_LOGIT - b)
+    return w
+
+
 def _fit(
     evidence: np.ndarray, toxic: np.ndarray, share: float, steps: int = 500
 ) -> tuple[tuple[float, ...], float]:
@@ -199,7 +284,7 @@ def _fit(
     upper = np.array([np.inf] * len(KINDS) + [SIZE_WEIGHT])
     w, b = prior.copy(), -2.5
     if not len(toxic) or toxic.all() or not toxic.any():
-        return tuple(w.tolist()), b
+        return tuple(_with_threats(w, b, evidence).tolist()), b
     c = np.where(toxic, share / toxic.sum(), (1 - share) / (~toxic).sum())
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(evidence @ w + b, -30, 30)))
@@ -209,7 +294,7 @@ def _fit(
         step = (evidence.T @ g + 1e-3 * (w - prior)) / (h @ (evidence * evidence) + 1e-2)
         w = np.clip(w - 0.3 * step, lower, upper)
         b -= 0.3 * g.sum() / (h.sum() + 1e-3)
-    return tuple(w.tolist()), float(b)
+    return tuple(_with_threats(w, b, evidence).tolist()), float(b)
 
 
 def _strength(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
@@ -237,7 +322,7 @@ def _learned(features: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     pure = F.col("toxic") / n_toxic > 9 * F.col("clean") / n_clean
     least = 2 * math.log(100 * tried)
     found = counts.withColumn("strength", strength).filter(pure & (F.col("strength") > least))
-    return found.orderBy(F.col("strength").desc(), "feature").limit(CANDIDATES).withColumn("least", F.lit(least))
+    return found.withColumn("least", F.lit(least))
 
 
 def _chosen(found: list, texts_of: dict[str, list[int]], n_toxic: int, n_clean: int) -> Lexicon:
@@ -253,16 +338,17 @@ def _chosen(found: list, texts_of: dict[str, list[int]], n_toxic: int, n_clean:
     names = [r["feature"] for r in found]
     clean = np.array([float(r["clean"]) for r in found])
     least = found[0]["least"]
-    has = np.zeros((len(names), n_toxic), np.float32)
-    for i, name in enumerate(names):
-        has[i, texts_of[name]] = 1
+    # The texts of all features behind each other; each has one at least.
+    ends = np.cumsum([len(texts_of[name]) for name in names])
+    starts = np.r_[0, ends[:-1]]
+    inside = np.concatenate([texts_of[name] for name in names])
     rate = n_toxic / (n_toxic + n_clean)
     bonus = 1 + 0.01 * np.array([len(n) for n in names])
     open_ = np.ones(len(names), bool)
     taken_in = np.zeros(n_toxic)
     words, stems, begun = {}, {}, set()
     while True:
-        toxic = has @ ((1 + taken_in) ** -0.5).astype(np.float32)
+        toxic = np.add.reduceat(((1 + taken_in) ** -0.5)[inside], starts)
         n = toxic + clean
         strength = 2 * toxic * np.log(np.maximum(toxic, 1e-9) / (n * rate))
         strength += 2 * np.where(clean > 0, clean * np.log(np.maximum(clean, 1e-9) / (n * (1 - rate))), 0)
@@ -277,8 +363,9 @@ def _chosen(found: list, texts_of: dict[str, list[int]], n_toxic: int, n_clean:
         if begins & stems.keys() or bare in begun:
             continue
         begun |= begins
-        taken_in += has[best]
-        weight = math.log((has[best].sum() + 0.5) / (n_toxic + 1)) - math.log((clean[best] + 0.5) / (n_clean + 1))
+        own = inside[starts[best] : ends[best]]
+        taken_in[own] += 1
+        weight = math.log((len(own) + 0.5) / (n_toxic + 1)) - math.log((clean[best] + 0.5) / (n_clean + 1))
         (words if names[best].endswith(WHOLE) else stems)[bare] = float(weight)
 
 
@@ -317,10 +404,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             .filter("feature is not null")
         )
         candidates = stage(_learned(spread, n_toxic, n_clean))
-        # At most CANDIDATES features, each with at most SAMPLE_TEXTS toxic texts.
+        # The features are those of the sample's texts, whose number and lengths are bounded.
         having = (
             spread.filter("toxic = 1")
-            .join(F.broadcast(candidates.select("feature")), "feature")
+            .join(candidates.select("feature"), "feature")
             .groupBy("feature")
             .agg(F.collect_list("text_id").alias("texts"))
         )

@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 import zlib
 from collections import Counter
@@ -103,10 +104,19 @@ def machine(words=None, stems=None):
         ("what a fool.", ["I"]),
         ("you are a Fool", ["I+"]),
         ("you. fool", ["I"]),
+        ("that fool, you know", ["I+"]),
+        ("he is a fool", ["I~"]),
         ("he is not a fool", ["I-"]),
         ("not one of the four, fool", ["I"]),
         ("he said that some fool came", ["I'"]),
-        ("I will kill you", ["H"]),
+        ("I will kill you", ["H+"]),
+        ("I will find you and kill you", ["H+"]),
+        ("ich werde dich töten", ["H+"]),
+        ("kill yourself", ["H~"]),
+        ("I will kill the process", ["H~"]),
+        ("they kill time", ["H"]),
+        ("I will not kill you", ["H-"]),
+        ("she said that he will kill you", ["H'"]),
         ("you are not to kill", ["H-"]),
         ("ein loweischaft und lowei lowe", ["I", "I"]),
         ("foolish and clean", []),
@@ -130,6 +140,42 @@ def test_composition_is_one_machine_after_the_other():
             assert found == wanted
 
 
+def test_grammar_equals_its_transducers_in_turn(spark, sf_dir):
+    """Whole texts, the transducers run one after the other over each clause."""
+    grammar = machine({"fool": 2.0}, {"th": 1.0, "lowei": 3.0})
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    rng, given = random.Random(3), [*toxicity.TARGETS, *toxicity.INTENTS, *toxicity.THREATS, *toxicity.NEGATIONS, *toxicity.REPORTS]
+    given += [*toxicity.COPULAS, *["fool", "word", "."] * 40]
+    texts += [" ".join(rng.choices(given, k=60)) for _ in range(200)]
+    seen = set()
+    for text in texts:
+        wanted = []
+        for clause in toxicity._CLAUSE_END.split(text.lower()):
+            looked = [grammar.lexicon.look_up(w) for w in toxicity.WORD.findall(clause)]
+            line = [s for s, _ in looked][::-1]
+            for one, turn in [(toxicity.target_behind(), True), *[(m, False) for m in toxicity.forward()]]:
+                state, out = 0, []
+                for symbol in line:
+                    state, made = one.step(state, symbol)
+                    out.append(made)
+                line = out[::-1] if turn else out
+            wanted += [(s, w) for s, (_, w) in zip(line, looked) if s[0] in "IH"]
+        assert list(grammar.matches(text)) == wanted
+        seen |= {k for k, _ in wanted}
+    assert seen == set(toxicity.KINDS)
+
+
+def test_unlabelled_threats(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = queries._learnable(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    model = toxicity.learn(docs, labels)
+    reach = ["I will kill you.", "Wait there. I'll find you and stab you!", "Ich werde dich töten", "vous allez voir, je vais vous tuer"]
+    below = ["I will not kill you.", "She said that he will kill you.", "we should kill the process", "kill time", "You will go."]
+    grammar = toxicity.Grammar(model.lexicon)
+    assert [t for t in reach if model.score(grammar.evidence(t)) < toxicity.THRESHOLD] == []
+    assert [t for t in below if model.score(grammar.evidence(t)) >= toxicity.THRESHOLD] == []
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     found = queries.op4_toxicity(spark, sf)
