@@ -191,8 +191,14 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
 
     From the longest length down, whatever fills its gap exactly is consumed: one piece,
     else two, else three. What is left then goes best-fit, longest first: into the open
-    sequence with the least room that takes it.
+    sequence with the least room that takes it. Exact gaps may use up short lengths that
+    many long ones need; where best fit alone takes fewer sequences, its plan is given.
     """
+    exact, plain = _exact_first(counts, capacity), _best_fit(counts, capacity)
+    return min(exact, plain, key=lambda lines: sum(times for _, times in lines))
+
+
+def _exact_first(counts: Mapping[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     lengths, lines, rest = _Lengths(counts), [], {}
     while lengths.order:
         first = lengths.order[-1]

@@ -179,3 +179,20 @@ def test_copies_are_numbered_over_runs(spark, monkeypatch):
     rows = spark.range(50).selectExpr("id as doc_id", "'s' as source")
     found = mixing.replicated(rows, {"s": 1.0}, 0.0, rows=50 * 30).groupBy("doc_id").agg({"copy": "max", "*": "count"}).collect()
     assert len(found) == 50 and all(r["max(copy)"] == r["count(1)"] - 1 for r in found)
+
+
+def test_plan_takes_no_more_sequences_than_best_fit_alone():
+    rng, better = random.Random(4), 0
+    for _ in range(30):
+        counts = {n: rng.randrange(1, 1000) for n in range(1, 65)}
+        sequences = [sum(t for _, t in lines) for lines in (
+            packing.plan(counts, 64), packing._best_fit(counts, 64), packing._exact_first(counts, 64))]
+        assert sequences[0] == min(sequences)
+        better += sequences[1] < sequences[2]
+        used = Counter()
+        for lengths, times in packing.plan(counts, 64):
+            assert sum(lengths) <= 64
+            for n in lengths:
+                used[n] += times
+        assert used == counts
+    assert better
