@@ -124,5 +124,16 @@ def replicated(
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, float], other: float, **options) -> DataFrame:
-    """``replicated`` rows in their shuffled order: range-partitioned and sorted by the hash."""
-    return replicated(docs, weights, other, **options).orderBy("order_key", options.get("doc_id", "doc_id"), "copy")
+    """``replicated`` rows in their shuffled order: range-partitioned and sorted by the hash.
+
+    Rows of one id are told apart by a hash of their other columns, so the order is the same
+    in every run; rows that are equal in all columns are alike. Maps, which have no order of their
+    own, are left out of that hash.
+    """
+    copies = replicated(docs, weights, other, **options)
+    names = copies.columns
+    plain = copies.toDF(*[f"c{i}" for i in range(len(names))])
+    column = {name: f"c{i}" for i, name in enumerate(names)}
+    hashable = [f.name for f in plain.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    first = [column[n] for n in ("order_key", options.get("doc_id", "doc_id"), "copy")]
+    return plain.orderBy(*first, F.xxhash64(*hashable)).toDF(*names)

@@ -151,6 +151,15 @@ def test_mixing_odd_rows(docs):
     assert mixing.mixed(table, {"s": 0.0}, 0.0).count() == 0
 
 
+def test_rows_of_one_id_have_one_order(docs):
+    rows = [(i % 3, f"text {i}", "en", "s", i) for i in range(60)]
+    orders = [
+        [r["text"] for r in mixing.mixed(docs(part, clash=True).repartition(n), {"s": 1.0}, 1.0, rows=200).collect()]
+        for part, n in ((rows, 2), (rows[::-1], 7))
+    ]
+    assert orders[0] == orders[1] and len(orders[0]) > 60
+
+
 def test_rare_source_of_a_high_rate(spark):
     # 3 documents are to make up half of 100,000, a rate near 16,667: several draws, added up.
     rows = spark.range(100_000).selectExpr("id as doc_id", "if(id < 3, 'rare', 'big') as source")
