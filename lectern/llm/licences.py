@@ -30,11 +30,11 @@ from lectern.staging import stage
 
 #: A line or a text is a licence from this cosine on.
 THRESHOLD = 0.8
-#: No match of a template needs a window of more words than this, unless it repeats words;
-#: lines and the whole text are compared at every length.
+#: Words of a window, times the template's. Lines and the whole text have no limit. Where no
+#: word of the template comes twice in it, no longer window reaches THRESHOLD: of m words in
+#: the template and more than 3m in the window, more than 2m are others, none of them weighs
+#: less than a template's, so the squared cosine is below m / (m + 2m).
 WINDOW_SPAN = 3
-#: No longer a limit here: the brute force of the tests reads it.
-WHOLE_WORDS = 400
 
 # How a header or a short licence file names its licence.
 TEMPLATES = {

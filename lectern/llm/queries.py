@@ -138,13 +138,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus as files: a folder for each source, language and thousand of ids. A text that
-    closes with a licence notice counts as its folder's licence file."""
+    """The corpus as files in folders source/lang/thousand/hundred/ten of their ids. A text that
+    closes with a licence notice is a licence file, of one of the upper four levels by its id."""
     docs = pick(_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang", source="source")
-    path = F.concat_ws("/", "source", "lang", F.expr("doc_id div 1000"), "doc_id")
-    files = docs.select(
-        "doc_id", "text", path.alias("path"), licences.closing_notice(F.col("text")).alias("is_licence_file")
-    )
+    notice = licences.closing_notice(F.col("text"))
+    folders = F.array("source", "lang", *[F.expr(f"cast(doc_id div {n} as string)") for n in (1000, 100, 10)])
+    level = F.when(notice, F.coalesce(F.expr("cast(pmod(doc_id, 4) as int) + 1"), F.lit(5))).otherwise(5)
+    path = F.concat_ws("/", F.slice(folders, F.lit(1), level), F.col("doc_id").cast("string"))
+    files = docs.select("doc_id", "text", path.alias("path"), notice.alias("is_licence_file"))
     return licences.scan(files).withColumnRenamed("file_id", "doc_id")
 
 
@@ -217,19 +218,26 @@ def _sql_path(url: str) -> str:
     return f"regexp_extract({url}, '{_PATH}', 1, 's')"
 
 
+def _sql_without_dots(path: str) -> str:
+    return rf"""CASE WHEN contains({path}, '/.') THEN list_reduce(list_concat([''], string_split({path}, '/')[2:]),
+  lambda done, part: CASE part WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') WHEN '.' THEN done ELSE done || '/' || part END)
+  || CASE WHEN regexp_matches({path}, '/\.\.?\z') THEN '/' ELSE '' END ELSE {path} END"""
+
+
 def _sql_key(url: str) -> str:
-    path = rf"regexp_replace({_sql_path(url)}, '(/|/index\.html?|\.html?)$', '')"
+    path = rf"regexp_replace({_sql_without_dots(_sql_path(url))}, '(/|/index\.html?|\.html?)$', '')"
     return f"CASE WHEN {_sql_host(url)} <> '' THEN {_sql_host(url)} || {path} END"
 
 
-def _sql_link(outer: str, inner: str) -> str:
+def _sql_links(outer: str, inner: str) -> str:
     quote = "[\"'']?"
     value = "([^\"''\\s>]+)"
-    return f"regexp_extract(regexp_extract(html, '{outer.format(q=quote)}', 0, 'is'), '{inner.format(q=quote, v=value)}', 1, 'is')"
+    tags = f"regexp_extract_all(html, '{outer.format(q=quote)}', 0, 'is')"
+    return f"list_transform({tags}, lambda tag: regexp_extract(tag, '{inner.format(q=quote, v=value)}', 1, 'is'))"
 
 
-_CANONICAL = _sql_link(r"<link\b[^>]*\brel\s*=\s*{q}canonical\b[^>]*>", r"\bhref\s*=\s*{q}{v}")
-_REFRESH = _sql_link(r"<meta\b[^>]*\bhttp-equiv\s*=\s*{q}refresh\b[^>]*>", r"\burl\s*=\s*{q}{v}")
+_CANONICAL = _sql_links(r"<link\b[^>]*\brel\s*=\s*{q}canonical\b[^>]*>", r"\bhref\s*=\s*{q}{v}")
+_REFRESH = _sql_links(r"<meta\b[^>]*\bhttp-equiv\s*=\s*{q}refresh\b[^>]*>", r"\burl\s*=\s*{q}{v}")
 _VERDICTS = ", ".join(f"('{r.rule}', '{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
 _SCHEME = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)"
 
@@ -241,12 +249,16 @@ def _sql_rule(host: str, path: str) -> str:
 
 OP6_SQL = f"""
 WITH RECURSIVE rules(rule, host, path, verdict) AS (VALUES {_VERDICTS}),
-found AS (SELECT coalesce(url, '') AS url, unnest([{_CANONICAL}, {_REFRESH}]) AS link FROM pages),
-links AS (SELECT url, CASE WHEN contains(link, '://') THEN link
+found AS (SELECT coalesce(url, '') AS url, unnest(list_concat({_CANONICAL}, {_REFRESH})) AS link FROM pages),
+joined AS (SELECT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+  WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
   WHEN starts_with(link, '//') THEN {_SCHEME} || ':' || link
   WHEN starts_with(link, '/') THEN {_SCHEME} || '://' || {_sql_host("url")} || link
+  WHEN regexp_matches(link, '^[?#]') THEN {_SCHEME} || '://' || {_sql_host("url")} || {_sql_path("url")} || link
   ELSE {_SCHEME} || '://' || {_sql_host("url")} || coalesce(nullif(regexp_extract({_sql_path("url")}, '^(.*/)', 1, 's'), ''), '/') || link END AS target
  FROM found WHERE link <> ''),
+links AS (SELECT url, regexp_extract(target, '^(.*?://[^/?#]*)', 1, 's') || {_sql_without_dots(_sql_path("target"))}
+  || regexp_extract(target, '^.*?://[^?#]*(.*)$', 1, 's') AS target FROM joined),
 edges AS (SELECT DISTINCT {_sql_key("url")} AS a, {_sql_key("target")} AS b, target FROM links),
 named AS (SELECT * FROM edges WHERE a IS NOT NULL AND b IS NOT NULL),
 edges_both AS (SELECT a, b FROM named UNION SELECT b, a FROM named),

@@ -76,34 +76,57 @@ def longest_rule(rules: Sequence[Rule], host: Column, path: Column) -> Column:
 
 
 def alias_key(url: Column) -> Column:
-    """The URL without what makes no difference: scheme, fragment, query, the end of a path
-    that a server adds or drops. Null if there is no host."""
-    host, path = host_of(url), path_of(url)
+    """The URL without what makes no difference: scheme, fragment, query, ``.`` and ``..``
+    segments, the end of a path that a server adds or drops. Null if there is no host."""
+    host, path = host_of(url), without_dots(path_of(url))
     return F.when(host != "", F.concat(host, F.regexp_replace(path, _PATH_END, "")))
 
 
+def without_dots(path: Column) -> Column:
+    """``path`` with its ``.`` and ``..`` segments resolved; ``..`` at the top leads nowhere."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        return F.when(part == "..", F.regexp_replace(done, "/[^/]*$", "")).when(part == ".", done).otherwise(F.concat(done, F.lit("/"), part))
+
+    # What stands before the first slash is empty.
+    walked = F.aggregate(F.slice(parts, 2, F.size(parts)), F.lit(""), step)
+    ended = F.concat(walked, F.when(path.rlike(r"/\.\.?\z"), "/").otherwise(""))
+    return F.when(F.contains(path, F.lit("/.")), ended).otherwise(path)
+
+
 def absolute(link: Column, url: Column) -> Column:
-    """``link`` as found on the page ``url``."""
+    """``link`` as found on the page ``url``, without ``.`` and ``..`` segments; null if it is
+    empty or has a scheme but no host (``mailto:``)."""
     scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
+    site = F.concat(scheme, F.lit("://"), host_of(url))
     folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
-    return (
-        F.when(F.contains(link, F.lit("://")), link)
+    full = (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(scheme, F.lit("://"), host_of(url), link))
-        .when(link != "", F.concat(scheme, F.lit("://"), host_of(url), F.when(folder == "", "/").otherwise(folder), link))
+        .when(F.startswith(link, F.lit("/")), F.concat(site, link))
+        .when(link.rlike("^[?#]"), F.concat(site, path_of(url), link))
+        .when(link != "", F.concat(site, F.when(folder == "", "/").otherwise(folder), link))
     )
+    before = F.regexp_extract(full, r"(?s)^(.*?://[^/?#]*)", 1)
+    behind = F.regexp_extract(full, r"(?s)^.*?://[^?#]*(.*)$", 1)
+    return F.concat(before, without_dots(path_of(full)), behind)
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``a``, ``b``: alias keys of a page and of what it names as its canonical link or the
-    target of a refresh; ``target``: that URL."""
+    """``a``, ``b``: alias keys of a page and of each URL that it names as its canonical link or
+    as the target of a refresh; ``target``: that URL."""
     slim = pick(pages, url=url, html=html)
-    canonical = F.regexp_extract(F.regexp_extract("html", _LINK, 0), _HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract("html", _REFRESH, 0), _TARGET, 1)
+
+    def named_by(tag: str, attribute: str) -> Column:
+        return F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, attribute, 1))
+
     # Pages without either are told apart by a plain search first.
     low = F.lower("html")
     named = slim.filter(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("refresh")))
-    links = named.select("url", F.explode(F.array(canonical, refresh)).alias("link")).filter("link <> ''")
+    every = F.concat(named_by(_LINK, _HREF), named_by(_REFRESH, _TARGET))
+    links = named.select("url", F.explode(every).alias("link")).filter("link <> ''")
     found = links.select("url", absolute(F.col("link"), F.col("url")).alias("target"))
     return found.select(
         alias_key(F.col("url")).alias("a"), alias_key(F.col("target")).alias("b"), "target"

@@ -75,11 +75,42 @@ def test_links_run_over_long_chains(spark):
     assert verdicts(spark, []) == {}
 
 
+@pytest.mark.parametrize(
+    "to, target",
+    [
+        ("g", "http://a/b/c/g"), ("./g", "http://a/b/c/g"), ("g/", "http://a/b/c/g/"), ("/g", "http://a/g"), ("//g", "http://g"),
+        ("?y", "http://a/b/c/d;p?y"), ("g?y", "http://a/b/c/g?y"), ("#s", "http://a/b/c/d;p#s"), ("../g", "http://a/b/g"),
+        ("../..", "http://a/"), ("../../../g", "http://a/g"), ("/./g", "http://a/g"), ("/../g", "http://a/g"), ("g.", "http://a/b/c/g."),
+        ("..g", "http://a/b/c/..g"), ("./../g", "http://a/b/g"), ("./g/.", "http://a/b/c/g/"), ("g;x=1/../y", "http://a/b/c/y"),
+        ("g?y/./x", "http://a/b/c/g?y/./x"), ("mailto:x", None), ("http://X.com/a/../b#c", "http://X.com/b#c"),
+        ("/r?u=http://e.org/", "http://a/r?u=http://e.org/"), ("", None),
+    ],
+)
+def test_links_are_resolved(spark, to, target):
+    df = spark.createDataFrame([(to, "http://A/b/c/d;p?q")], "link string, url string")
+    assert df.select(urls.absolute(F.col("link"), F.col("url"))).first()[0] == target
+
+
+def test_every_link_of_a_page_counts(spark):
+    rows = [
+        (1, "http://x.net/1", link("http://x.net/a") + link("http://b.com/de/a")),  # the second one blocks
+        (2, "http://x.net/2", refresh("c") + refresh("http://b.com/de/a")),
+        (3, "http://x.net/d/3", link("../../de/./x") + link("?p=2")),
+        (4, "http://x.net/d/../4", ""),  # the same page as the next one
+        (5, "http://x.net/4", link("http://b.com/de/a")),
+        (6, "http://x.net/6", link("mailto:a@b.com") + link("/r?u=http://b.com/de/")),
+        (7, "http://b.com/en/7", link("../de/x")),  # leads to a blocked path of its own host
+    ]
+    found = {k: v[3] for k, v in verdicts(spark, rows).items()}
+    assert found == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "block", 6: "allow", 7: "block"}
+
+
 def test_urls_with_links_equal_sql(spark, tmp_path):
     from compare import connect, duckdb_bag, spark_bag
 
     rows = [(i, f"http://c.net/{i}", link(f"/{i + 1 if i % 7 else 900 + i}")) for i in range(60)]
     rows += [(100, "http://c.net/20", link("http://b.com/de/a")), (101, "http://c.net/d/30", refresh("x.html")), (102, "http://c.net/d/x", link("//e.org/es/")), (103, None, None)]
+    rows += [(104, "http://c.net/d/f/y", link("../../5") + link("?q=/../") + link("./z/..")), (105, "http://c.net/d/../40", refresh("mailto:x") + refresh("..")), (106, "http://e.net", link("http://c.net/x/.././41") + link("/r?u=http://b.com/de/"))]
     spark.createDataFrame(rows, PAGES).coalesce(1).write.parquet(str(tmp_path / "made"))
     part = next((tmp_path / "made").glob("part-*.parquet"))
     (tmp_path / "sf").mkdir()
@@ -142,27 +173,62 @@ def test_written_shards(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 500
 
 
+def length(vector):
+    return math.sqrt(sum(x * x for x in vector.values()))
+
+
+def cosine(words, other, idf):
+    x, y = ({w: n * idf(w) for w, n in Counter(c).items()} for c in (words, other))
+    return round(sum(x[w] * y[w] for w in x if w in y) / (length(x) * length(y)), 9) if x and y else 0.0
+
+
+def places(words, run):
+    return [i for i in range(len(words) - len(run) + 1) if words[i : i + len(run)] == run]
+
+
+def brute_own_licence(text, idf):
+    """One way after the other: identifiers, long forms, templates."""
+    names, forms = licences.TEMPLATES, licences.forms()
+    for found in re.findall(r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+)", text):
+        name = re.sub(r"(-only|-or-later|\+)$", "", found)
+        if name in names:
+            return name
+    words = licences.tokens(text)
+    having = Counter(w for f in forms for w in set(licences.tokens(f.text)))
+    best = (0.79999, None)
+    for f in forms:
+        whole, mark = licences.tokens(f.text), licences.tokens(f.mark)
+        before = places(whole, licences.tokens(f.own or f.mark))[0]
+        runs = [words[max(0, i - before) :][: len(whole)] for i in places(words, mark)]
+        for run in runs + [words] * bool(runs):
+            score = cosine(run, whole, lambda w: math.log((1 + len(forms)) / (1 + having[w])) + 1)
+            best = max(best, (score, f.licence), key=lambda x: x[0])
+    if best[1]:
+        return best[1]
+    lines = [x for x in map(licences.tokens, text.split("\n")) if x]
+    scores = [(cosine(x, licences.tokens(t), idf), n) for x in lines + [words] for n, t in sorted(names.items())]
+    for n, t in sorted(names.items()):
+        template = licences.tokens(t)
+        # No cosine is above what the words that are there have of the template.
+        full = {w: k * idf(w) for w, k in Counter(template).items()}
+        if length({w: x for w, x in full.items() if w in words}) < 0.8 * length(full) - 1e-9:
+            continue
+        ends = [i for i, w in enumerate(words) if w in full]
+        scores += [
+            (cosine(words[i : j + 1], template, idf), n) for i in ends for j in ends if 0 <= j - i < licences.WINDOW_SPAN * len(template)
+        ]
+    score, name = max(scores, key=lambda x: x[0], default=(0, None))
+    return name if score >= 0.8 else None
+
+
 def brute_scan(files):
-    names = licences.TEMPLATES
-    vocabulary = {w for t in names.values() for w in licences.tokens(t)}
+    vocabulary = {w for t in licences.TEMPLATES.values() for w in licences.tokens(t)}
     df = Counter(w for _, _, t, _ in files for w in set(licences.tokens(t or "")) & vocabulary)
 
     def idf(w):
         return math.log((1 + len(files)) / (1 + (df[w] if w in vocabulary else 0))) + 1
 
-    def cosine(a, b):
-        x, y = Counter(licences.tokens(a)), Counter(licences.tokens(b))
-        vx, vy = ({w: n * idf(w) for w, n in c.items()} for c in (x, y))
-        norm = math.sqrt(sum(v * v for v in vx.values()) * sum(v * v for v in vy.values()))
-        return sum(vx[w] * vy[w] for w in vx if w in vy) / norm if norm else 0.0
-
-    own = []
-    for i, path, text, flag in files:
-        lines = [x for x in (text or "").split("\n") if licences.tokens(x)]
-        if len(lines) > 1 and len(licences.tokens(text)) <= licences.WHOLE_WORDS:
-            lines.append(text)
-        best = max(((round(cosine(x, t), 9), n) for x in lines for n, t in names.items()), default=(0, None), key=lambda p: p[0])
-        own.append(best[1] if best[0] >= 0.8 else None)
+    own = [brute_own_licence(text or "", idf) for _, _, text, _ in files]
     votes = defaultdict(Counter)
     for (i, path, text, flag), name in zip(files, own):
         if flag and name and path is not None:
@@ -183,24 +249,44 @@ def brute_scan(files):
     return sorted(out, key=repr)
 
 
-def test_licences_equal_brute_force(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+def corpus_files(spark, sf_dir):
     files = []
-    for r in rows:
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        i = r["doc_id"]
         last = (r["text"] or "").rstrip(" \n\r\t").rsplit("\n", 1)[-1].lower()
-        files.append((r["doc_id"], "/".join(str(x) for x in (r["source"], r["lang"], r["doc_id"] // 1000, r["doc_id"])), r["text"], bool(re.search("licen[sc]e", last))))
+        notice = bool(re.search("licen[sc]e", last))
+        folders = [r["source"], r["lang"], i // 1000, i // 100, i // 10][: i % 4 + 1 if notice else 5]
+        files.append((i, "/".join(str(x) for x in [*folders, i]), r["text"], notice))
+    return files
+
+
+def test_licences_equal_brute_force(spark, sf_dir):
+    files = corpus_files(spark, sf_dir)
     found = queries.op9_licences(spark, sf_dir).collect()
     assert sorted(((r["doc_id"], r["licence"], r["directory"]) for r in found), key=repr) == brute_scan(files)
     assert {"header", "directory", "none"} == {r["found_in"] for r in found}
 
 
+def test_licences_come_from_every_level_above(spark):
+    found = queries.op9_licences(spark, "/root/testdata/sf0.01").filter("found_in = 'directory'").collect()
+    levels = Counter(r["path"].count("/") - 1 - r["directory"].count("/") for r in found)
+    # 1: the file's own folder; a good part inherits from two or more levels above it.
+    assert sum(n for k, n in levels.items() if k > 2) > 0.2 * len(found) > 0, levels
+
+
 def test_licences_of_a_tree(spark):
     mit, gpl = licences.TEMPLATES["MIT"], licences.TEMPLATES["GPL-3.0"]
+    full = {f.licence: f.text for f in licences.forms() if not f.text.startswith("This program")}
+    header = next(f.text for f in licences.forms() if f.text.startswith("This program"))
     files = [
         (1, "LICENSE", mit, True), (2, "a/x.py", "import x", False), (3, "a/b/COPYING", gpl, True), (4, "a/b/c/y.py", "y = 1", None),
         (5, "a/b2/z.py", "# " + licences.TEMPLATES["Apache-2.0"] + "\nz = 2", False), (6, None, "q", True), (7, "top.py", None, False),
         (8, "a/b/c/y.py", "y = 1", None), (9, "a/b/d/e/f/g", "long " * 50_000, False), (10, "a/b/L", gpl, True), (11, "a/b/M", mit, True),
         (12, "k/cut", "This work is licensed\nunder the GNU General\nPublic License, version 3.", False),
+        (13, "k/inside", "some words before it " + mit + " and some more that follow\non two lines", False),
+        (14, "k/spdx", "// SPDX-License-Identifier: (MPL-2.0-only)\n" + gpl, False), (15, "k/unknown", "// SPDX-License-Identifier: ISC\nx", False),
+        (16, "m/COPYING", full["MIT"], True), (17, "m/n/o/p.c", "/*\n * " + full["BSD-3-Clause"].replace("\n", "\n * ") + "*/\nint x;", False),
+        (18, "m/n/q.c", "int q;", False), (19, "m/h.c", "/* " + header + " */ int h;", False), (20, "m/agpl", header.replace("GNU General", "GNU Affero General"), False),
     ]
     df = spark.createDataFrame(files, "doc_id long, path string, text string, is_licence_file boolean").select("*", F.lit(1).alias("folder"), F.lit(1).alias("TEXT"))
     found = licences.scan(df).collect()
@@ -208,6 +294,7 @@ def test_licences_of_a_tree(spark):
     assert got == brute_scan(files)
     by_id = {r["file_id"]: r for r in found}
     assert by_id[4]["licence"] == "GPL-3.0" and by_id[4]["directory"] == "a/b"
+    assert [by_id[i]["licence"] for i in range(13, 20)] == ["MIT", "MPL-2.0", "MIT", "MIT", "BSD-3-Clause", "MIT", "GPL-3.0"]
     assert by_id[2]["directory"] == "" and by_id[6]["found_in"] == "none" and by_id[12]["line"] == -1
     assert licences.scan(df.filter("false")).count() == 0
 
