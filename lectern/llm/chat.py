@@ -52,6 +52,40 @@ def unescaped(text: Column, escapes: dict[str, str] = ROLE_ESCAPES) -> Column:
     return F.array_join(F.transform(parts, undo), SLASH)
 
 
+def _by_turn(rows: DataFrame, conv_id: str, turn: str, role: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Turns in order: ``tree``, ``id``, ``parent``, ``score``, ``role``, ``key``, ``tied``, ``text``; and
+    the texts by ``_key``.
+
+    What is sorted, sampled and numbered is conversation, turn and role. Only rows that share
+    all three (``tied``) bring their text along, which decides their order.
+    """
+    slim = pick(rows, tree=conv_id, turn=turn, role=role, text=text).withColumns(
+        {"role": text_or_empty(F.col("role")), "text": text_or_empty(F.col("text"))}
+    )
+    keys = "tree", "turn", "role"
+    counts = slim.groupBy(*keys).agg(F.count("*").alias("n"))
+    # Stored, its size is known: Catalyst broadcasts a short list and shuffles a long one.
+    shared = stage(counts.filter("n > 1").select(F.struct(*keys).alias("_key")))
+    texts = slim.select(F.struct(*keys).alias("_key"), "text")
+    tied = texts.join(shared, "_key", "left_semi").select("_key.*", F.lit(True).alias("tied"), "text")
+    alone = counts.filter("n = 1").select(*keys, F.lit(False).alias("tied"), F.lit(None).cast("string").alias("text"))
+    order = [F.col(c).asc_nulls_first() for c in (*keys, "text")]
+    numbered = stage(number_rows(alone.unionByName(tied), *order, name="id"))
+    before = numbered.select((F.col("id") + 1).alias("id"), F.col("tree").alias("_tree"), F.lit(True).alias("_is"))
+    same = F.col("_is") & F.col("tree").eqNullSafe(F.col("_tree"))
+    placed = numbered.join(before, "id", "left").select(
+        "tree", "id", F.when(same, F.col("id") - 1).alias("parent"), F.lit(0.0).alias("score"),
+        "role", F.struct(*keys).alias("key"), "tied", "text",
+    )
+    return placed, texts
+
+
+def _with_texts(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Looks the texts up that ``_by_turn`` left where they are."""
+    alone = placed.filter("not tied").drop("text").join(texts, F.col("key") == F.col("_key")).drop("_key")
+    return alone.unionByName(placed.filter("tied")).drop("key", "tied")
+
+
 def replies_by_turn(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """``tree``, ``id``, ``parent``, ``role``, ``text``, ``score`` of linear conversations:
     each turn replies to the one before.
@@ -60,16 +94,8 @@ def replies_by_turn(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn
     empty, rows of a null conv_id are one conversation. Repeated rows are turns of their
     own. Rows are numbered over the whole sorted table, so no task holds a conversation.
     """
-    slim = pick(rows, tree=conv_id, turn=turn, role=role, text=text).withColumns(
-        {"role": text_or_empty(F.col("role")), "text": text_or_empty(F.col("text"))}
-    )
-    order = [F.col(c).asc_nulls_first() for c in ("tree", "turn", "role", "text")]
-    numbered = stage(number_rows(slim, *order, name="id"))
-    before = numbered.select((F.col("id") + 1).alias("id"), F.col("tree").alias("_tree"), F.lit(True).alias("_is"))
-    same = F.col("_is") & F.col("tree").eqNullSafe(F.col("_tree"))
-    return numbered.join(before, "id", "left").select(
-        "tree", "id", F.when(same, F.col("id") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score")
-    )
+    placed, texts = _by_turn(rows, conv_id, turn, role, text)
+    return _with_texts(placed, texts).select("tree", "id", "parent", "role", "text", "score")
 
 
 def _links(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
@@ -153,12 +179,26 @@ def formatted(messages: DataFrame, best: int = 1) -> DataFrame:
         )
     )
     paths = chosen_paths(slim, best)
+    return _conversations(paths.join(slim.select("id", "tree", "role", "text"), "id"))
+
+
+def formatted_by_turn(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """``formatted`` for the conversations of ``replies_by_turn``. Texts stay where they are
+    until the paths are known, and are looked up once."""
+    placed, texts = _by_turn(rows, conv_id, turn, role, text)
+    placed = stage(placed)
+    paths = chosen_paths(placed.select("tree", "id", "parent", "score"))
+    return _conversations(_with_texts(paths.join(placed.drop("parent", "score"), "id"), texts))
+
+
+def _conversations(turns: DataFrame) -> DataFrame:
+    """Renders turns (tree, leaf, rank, path_score, depth, role, text) and joins each path's."""
     title = F.concat(F.upper(F.substring("role", 1, 1)), F.expr("substring(role, 2)"))
     name = F.when(F.col("role").rlike("^[a-z]"), escaped(title, ROLE_ESCAPES)).otherwise(
         F.concat(F.lit(AS_IT_IS), escaped(F.col("role"), ROLE_ESCAPES))
     )
     head = F.concat(F.lit(OPEN), name, F.lit(BETWEEN))
-    turns = paths.join(slim.select("id", "tree", "role", "text"), "id").select(
+    turns = turns.select(
         "tree", "leaf", "rank", "path_score", "depth", "role", head.alias("head"), escaped(F.col("text")).alias("body")
     )
     mask = F.when(

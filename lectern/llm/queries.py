@@ -55,7 +55,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(TRICKY_TEXT).alias("text"),
     )
-    shown = chat.formatted(chat.replies_by_turn(rows.unionByName(tricky)))
+    shown = chat.formatted_by_turn(rows.unionByName(tricky))
     turns = F.transform(chat.read_turns(F.col("formatted")), chat.read_turn)
     listed = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = F.array_join(chat.read_loss(F.col("formatted"), F.col("loss_mask")), "")

@@ -20,7 +20,7 @@ def test_odd_texts_and_roles_read_back(spark):
     rows = [(i, 0, role, text) for i, text in enumerate(ODD) for role in ["assistant"]]
     rows += [(100 + i, 0, role, "x") for i, role in enumerate([*ODD, "User", "éa", "=a", "aB", "a:b"])]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    found = {r["tree"]: r for r in read_back(chat.formatted(chat.replies_by_turn(df))).collect()}
+    found = {r["tree"]: r for r in read_back(chat.formatted_by_turn(df)).collect()}
     for i, _, role, text in rows:
         assert [tuple(t) for t in found[i]["turns"]] == [(role, text)]
         assert found[i]["loss"] == ([text] if role == "assistant" else [None])
@@ -44,6 +44,34 @@ def test_linear_conversations_by_turn(spark):
         assert [x for x in r["loss"] if x is not None] == said
 
 
+def test_tied_and_very_long_turns(spark):
+    """A third of all rows share conversation, turn and role; one text is very long."""
+    rows = [(7, None, "assistant", f"t{i % 50:03d}") for i in range(300)] + [(c, 0, "user", "q" * (200_000 if c == 5 else 1)) for c in range(600)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    direct = chat.formatted_by_turn(df).orderBy("tree").collect()
+    assert [r.asDict() for r in direct] == [r.asDict() for r in chat.formatted(chat.replies_by_turn(df)).orderBy("tree").collect()]
+    found = {r["tree"]: r["turns"] for r in read_back(chat.formatted_by_turn(df)).collect()}
+    assert len(found) == 600 and found[5][0]["text"] == "q" * 200_000
+    assert [t["text"] for t in found[7]] == sorted(f"t{i % 50:03d}" for i in range(300)) + ["q"]
+
+
+def test_texts_are_not_sorted(spark, sf_dir):
+    from lectern.operators import numbering
+
+    seen, number = [], numbering.number_rows
+
+    def watched(df, *order, name):
+        seen.append(df.selectExpr("count(text) as texts", "count(*) as n").first())
+        return number(df, *order, name=name)
+
+    chat.number_rows = watched
+    try:
+        chat.replies_by_turn(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    finally:
+        chat.number_rows = number
+    assert seen[0]["n"] > 50 and seen[0]["texts"] == 0
+
+
 def brute_paths(messages, best):
     by_id = {m[1]: m for m in messages}
     parents = {m[2] for m in messages if m[2] in by_id}
@@ -86,6 +114,7 @@ def test_no_rows(spark):
     assert chat.formatted(spark.createDataFrame([], SCHEMA)).count() == 0
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.formatted(chat.replies_by_turn(empty)).count() == 0
+    assert chat.formatted_by_turn(empty).count() == 0
 
 
 def test_tricky_conversation(spark, sf_dir):
