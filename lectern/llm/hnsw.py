@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import pick
+from lectern.llm.common import pick, staged_and_released
 from lectern.staging import stage
 
 #: Vectors of a shard on average; it bounds a task's memory and time.
 SHARD_VECTORS = 4096
-#: Queries that one task answers on one shard.
-BLOCK_QUERIES = 512
+#: Queries that are answered on one shard at a time: a graph is sent and read once for each block.
+BLOCK_QUERIES = 4096
+#: Tasks of a step at most.
+MOST_TASKS = 10_000
 #: Neighbours of a node on the upper levels; the lowest level has twice as many.
 LINKS = 12
 #: Candidates kept while inserting and while searching.
@@ -159,7 +161,8 @@ INDEX = (
 def _index_shards(members: int, links: int, width: int):
     def make(group: pa.Table) -> pa.Table:
         dim = group.column("dim")[0].as_py()
-        vectors = np.array(group.column("vector").combine_chunks().flatten(), np.float64).reshape(-1, dim)
+        given = group.column("vector").combine_chunks().flatten()
+        vectors = np.array(given, np.float64).reshape(-1, dim)
         ids = np.full((len(vectors), members), -1, np.int64)
         known = np.zeros((len(vectors), members), bool)
         for i, row in enumerate(group.column("ids")):
@@ -167,7 +170,7 @@ def _index_shards(members: int, links: int, width: int):
             ids[i, : len(own)], known[i, : len(own)] = own, True
         graph = build(_unit(vectors), links, width)
         row = {
-            "dim": dim, "shard": group.column("shard")[0].as_py(), "vectors": vectors.astype("<f8").tobytes(),
+            "dim": dim, "shard": group.column("shard")[0].as_py(), "vectors": vectors.astype("<f4" if pa.types.is_float32(given.type) else "<f8").tobytes(),
             "ids": ids.tobytes() + known.tobytes(), "sizes": [len(x) for x in graph.nodes],
             "nodes": b"".join(x.tobytes() for x in graph.nodes), "links": b"".join(x.tobytes() for x in graph.links),
             "entry": graph.entry,
@@ -186,9 +189,12 @@ def _index_shards(members: int, links: int, width: int):
 
 
 def usable(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id`` and ``vector`` (doubles) of the vectors that have a direction: not null or
-    zero, without null or non-finite components. Rows of a null id are left out."""
-    slim = pick(rows, vec_id=vec_id, vector=vector).withColumn("vector", F.col("vector").cast("array<double>"))
+    """``vec_id`` and ``vector`` (floats if they are given as such, else doubles) of the vectors
+    that have a direction: not null or zero, without null or non-finite components. Rows of a
+    null id are left out."""
+    slim = pick(rows, vec_id=vec_id, vector=vector)
+    if slim.schema["vector"].dataType.simpleString() != "array<float>":
+        slim = slim.withColumn("vector", F.col("vector").cast("array<double>"))
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return slim.filter(
         F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~odd & F.exists("vector", lambda x: x != 0.0)
@@ -205,17 +211,20 @@ def index(
     """
     order = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.distinct().withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= members)
-    distinct = stage(few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    distinct = staged_and_released(few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     shards = max(1, math.ceil(distinct.count() / shard_vectors))
     dealt = distinct.select(
         F.size("vector").alias("dim"), F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vector", "ids"
     )
-    return stage(dealt.groupBy("dim", "shard").applyInArrow(_index_shards(members, links, width), INDEX))
+    # More tasks than shards, so that few of them get two.
+    spread = dealt.repartition(min(4 * shards, MOST_TASKS), "dim", "shard")
+    return staged_and_released(spread.groupBy("dim", "shard").applyInArrow(_index_shards(members, links, width), INDEX))
 
 
 def _restore(row: dict, members: int, links: int) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
-    vectors = _scaled(np.frombuffer(row["vectors"], "<f8").reshape(-1, row["dim"]))
-    n = len(vectors)
+    n = row["sizes"][0]
+    stored = "<f4" if len(row["vectors"]) == 4 * n * row["dim"] else "<f8"
+    vectors = _scaled(np.frombuffer(row["vectors"], stored).astype(np.float64).reshape(n, row["dim"]))
     ids = np.frombuffer(row["ids"][: 8 * n * members], np.int64).reshape(n, members)
     known = np.frombuffer(row["ids"][8 * n * members :], bool).reshape(n, members)
     nodes, flat, at, to = [], [], 0, 0
@@ -290,11 +299,15 @@ def nearest(
     packed = dealt.groupBy("dim", "block").agg(F.collect_list(F.struct("query", "vector")).alias("q")).select(
         "dim", "block", F.col("q.query").alias("query_ids"), F.flatten("q.vector").alias("queries")
     )
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    work = graphs.withColumn("block", F.explode(every)).join(packed, ["dim", "block"])
-    tasks = max(1, graphs.count() * blocks)
-    dealt_work = work.repartition(min(tasks, 10_000), "shard", "block")
-    found = dealt_work.mapInArrow(_search_blocks(members, links, width), "query long, vec_id long, score double")
+    # A graph is sent once for each block of queries, a block once for each shard; they meet
+    # where they are searched.
+    shards = graphs.agg(F.max("shard")).first()[0]
+    tasks = min(4 * max(1, graphs.count() * blocks), MOST_TASKS)
+    meeting = ["dim", "shard", "block"]
+    sent = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(tasks, *meeting)
+    asking = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards or 0)))).repartition(tasks, *meeting)
+    work = sent.join(asking.hint("merge"), meeting)
+    found = work.mapInArrow(_search_blocks(members, links, width), "query long, vec_id long, score double")
     # One row for each shard and candidate: k + 1 times the shards.
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= members)

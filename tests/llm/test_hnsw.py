@@ -91,3 +91,23 @@ def test_stored_graph_is_the_graph():
         exact = set(np.argsort(-(vectors @ unit))[:10].tolist())
         hits += len(exact & {n for _, n in stored.search(unit, 40)[:10]})
     assert hits >= 0.95 * 500
+
+
+def test_blocks_of_queries_and_element_types(spark, monkeypatch):
+    """Floats and doubles, one block or many on several shards: the same answers."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(400, 6)).astype(np.float32))]
+    answers = []
+    for element, block in (("float", 4096), ("double", 4096), ("double", 7)):
+        monkeypatch.setattr(hnsw, "BLOCK_QUERIES", block)
+        df = hnsw.usable(spark.createDataFrame(rows, f"vec_id long, embedding array<{element}>"))
+        assert df.schema["vector"].dataType.simpleString() == f"array<{element}>"
+        found = hnsw.nearest(df, df.filter("vec_id % 10 = 0"), shard_vectors=150).collect()
+        answers.append({(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 12)) for r in found})
+    full = np.array([v for _, v in rows], np.float64)
+    full /= np.linalg.norm(full, axis=1, keepdims=True)
+    for found in answers:
+        assert len(found) == 40 * 5
+        best = {(q, int(i)) for q in range(0, 400, 10) for i in [x for x in np.argsort(-(full @ full[q])) if x != q][:5]}
+        assert len(best & {(q, i) for q, _, i, _ in found}) >= 0.95 * 200
+    assert answers[1] == answers[2]
