@@ -6,6 +6,7 @@ decimals as doubles, so that values compare alike across engines.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 
@@ -674,11 +675,14 @@ def _filter_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGE_ORDER = ["student_id", "course_id", "enrollment_date", "payment_amount"]
+# Clamped to the last page, however long the list.
+LAST_PAGE = sys.maxsize
+
 
 def _stored_pages(scored: DataFrame) -> DataFrame:
     """Two pages of one sorted list."""
     pages = selecting.StoredPages(scored.select(*PAGE_ORDER), PAGE_ORDER)
-    return pages.page(3, 20).unionByName(pages.page(10**6, 20))
+    return pages.page(3, 20).unionByName(pages.page(LAST_PAGE, 20))
 
 
 def _student_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -723,7 +727,7 @@ SELECTING: dict[str, Query] = {
         )
     ),
     "page_rows_deep": _scored(
-        lambda s: selecting.page_rows(s.select(*PAGE_ORDER), 10**6, 20, PAGE_ORDER)
+        lambda s: selecting.page_rows(s.select(*PAGE_ORDER), LAST_PAGE, 20, PAGE_ORDER)
     ),
     "page_rows_stored": _scored(_stored_pages),
     "student_lookup": _student_lookup,

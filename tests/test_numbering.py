@@ -102,3 +102,18 @@ def test_latest_is_ascending(spark):
 def test_top_is_planned_as_top_k(spark):
     plan = selecting.top(spark.range(100), 3, "id", "id")._jdf.queryExecution().executedPlan()
     assert "TakeOrderedAndProject" in plan.toString()
+
+
+def test_deep_pages_ask_for_the_last_page_of_any_list(spark, sf_dir, monkeypatch):
+    """20 rows a page: of a list above 20,000,000 rows page 10**6 is not the last."""
+    from lectern.catalog import queries
+
+    asked = []
+
+    def page_rows(df, page, size, order):
+        asked.append(page)
+        return df.limit(0)
+
+    monkeypatch.setattr(selecting, "page_rows", page_rows)
+    queries.all_queries()["page_rows_deep"](spark, sf_dir)
+    assert asked[0] >= selecting.page_count(10**15, 20)
