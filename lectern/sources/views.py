@@ -16,6 +16,7 @@ from lectern.schema import (
     RAW_RANGES,
     RAW_TEXT,
 )
+from lectern.session import limit_methods
 
 # The columns the views read; declared, so that no footer is opened to infer them.
 TABLES = {
@@ -174,6 +175,7 @@ def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _view(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
+    limit_methods(spark)
     tables = {
         name: scan_table(spark, sf_dir, name)
         for name in TABLES

@@ -110,3 +110,18 @@ def test_first_text(spark):
     df = spark.createDataFrame([("", "b"), (None, ""), ("a", "b")], "x string, y string")
     label = text.first_text(F.col("x"), F.col("y"), default=schema.UNCATEGORISED)
     assert [r[0] for r in df.select(label).collect()] == ["b", schema.UNCATEGORISED, "a"]
+
+
+def test_views_limit_generated_methods_in_any_session(spark, sf_dir):
+    """Spark's own limit lets methods through that the JVM never compiles."""
+    from lectern.sources.views import learning
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        for given, wanted in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(key, given)
+            learning(spark, sf_dir)
+            assert spark.conf.get(key) == wanted
+    finally:
+        spark.conf.set(key, before)
