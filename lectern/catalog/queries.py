@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +70,11 @@ def _stored(build: Callable[[DataFrame], DataFrame]) -> Query:
     return _facts(lambda facts: build(stage(facts)))
 
 
+def _stored_columns(columns: Sequence[str], build: Callable[[DataFrame], DataFrame]) -> Query:
+    """The same with the columns that are read only."""
+    return _facts(lambda facts: build(stage(facts.select(*columns))))
+
+
 def _profiles(build: Callable[[DataFrame], DataFrame]) -> Query:
     def run(facts: DataFrame) -> DataFrame:
         scored = warnings.scored_enrolments(facts)
@@ -102,6 +107,7 @@ def raw_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RULES = cleaning_plan.CleaningRules()
 TEXT_COLUMNS = ["Student_ID", "Gender", "City"]
+FILLED = ["Student_ID", "Course_ID", "Age", "Progress_Percentage"]
 
 
 def _tidy(raw: DataFrame) -> DataFrame:
@@ -171,8 +177,8 @@ CLEANING: dict[str, Query] = {
     ),
     "clean_median_fill": _raw(
         lambda r: cleaning.fill_medians(
-            stage(_valid(r)), ["Age", "Progress_Percentage"]
-        ).select("Student_ID", "Course_ID", "Age", "Progress_Percentage")
+            stage(_valid(r).select(*FILLED)), ["Age", "Progress_Percentage"]
+        )
     ),
     "clean_submission_rate": _facts(
         lambda f: cleaning.add_submission_rate(
@@ -254,7 +260,8 @@ def _synced(table: str) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         newest = ["enrollment_date", "payment_amount", "login_frequency"]
-        facts = stage(cleaning.keep_last(learning(spark, sf_dir), schema.KEY, newest))
+        # Not stored: the table reads the facts once, and only its own columns of them.
+        facts = cleaning.keep_last(learning(spark, sf_dir), schema.KEY, newest)
         source, folder = scratch_path(spark, "served"), scratch_path(spark, "target")
         sinks.write_orc(layers.served_tables(facts)[table], f"{source}/{table}")
         task = sync.SyncTask(f"{source}/{table}", table)
@@ -320,6 +327,10 @@ def _managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
+def _write_packed_csv(df: DataFrame, path: str) -> None:
+    sinks.write_clean_csv(df, path, "snappy")
+
+
 def _replace_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of two loads of all rows into one path, the first with an altered column, the second
     stays; it takes its place once its rows are counted."""
@@ -330,8 +341,8 @@ def _replace_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     def whole(fresh: str) -> bool:
         return scans.scan_clean_csv(spark, fresh).count() == rows
 
-    swap.replace_checked(_altered(facts), path, sinks.write_clean_csv, whole)
-    swap.replace_checked(facts, path, sinks.write_clean_csv, whole)
+    swap.replace_checked(_altered(facts), path, _write_packed_csv, whole)
+    swap.replace_checked(facts, path, _write_packed_csv, whole)
     return comparable(scans.scan_clean_csv(spark, path))
 
 
@@ -420,7 +431,7 @@ def _ods_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed: the load of the first two layers."""
     text = ods_learning(spark, sf_dir)
     path = scratch_path(spark, "ods")
-    sinks.write_clean_csv(text.toDF(*[f"c{i}" for i in range(len(text.columns))]), path)
+    _write_packed_csv(text.toDF(*[f"c{i}" for i in range(len(text.columns))]), path)
     return comparable(layers.typed(scans.scan_positional(spark, path)))
 
 
@@ -466,7 +477,8 @@ def _exported(dataset: str) -> Query:
 
 def _export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All seven datasets in one call, and what is read back of each."""
-    datasets = overview.report_datasets(stage(learning(spark, sf_dir)))
+    facts = stage(learning(spark, sf_dir).select(*overview.REPORT_COLUMNS))
+    datasets = overview.report_datasets(facts)
     paths = sinks.export_bundle(datasets, scratch_path(spark, "bundle"))
     return _all_summed({n: _read_back(spark, datasets[n], path) for n, path in paths.items()})
 
@@ -568,6 +580,31 @@ def _nested_profile(facts: DataFrame) -> DataFrame:
     )
 
 
+NESTED_COLUMNS = [
+    *schema.KEY,
+    *schema.STUDENT_ATTRIBUTES,
+    "course_name",
+    "category",
+    "course_level",
+    "enrollment_date",
+    "assignments_missed",
+    "completed",
+    "time_spent_hours",
+    "average_session_duration_min",
+    "login_frequency",
+    "video_completion_rate",
+    "progress_percentage",
+    "assignment_submission_rate",
+    "quiz_score_avg",
+    "project_grade",
+    "discussion_participation",
+    "peer_interaction_score",
+    "app_usage_percentage",
+    "satisfaction_rating",
+    "days_since_last_login",
+]
+
+
 def _teacher_profile(facts: DataFrame) -> DataFrame:
     course_risk = warnings.course_risk_summary(warnings.scored_enrolments(facts))
     return profiles.teacher_profile(profiles.teacher_detail(facts), course_risk)
@@ -625,7 +662,7 @@ RISK: dict[str, Query] = {
     "teacher_profile": _stored(_teacher_profile),
     "teacher_rank": _course_risk(warnings.course_positions),
     "student_profile": _stored(_profile_leaves),
-    "student_profile_nested": _stored(_nested_profile),
+    "student_profile_nested": _stored_columns(NESTED_COLUMNS, _nested_profile),
     "student_benchmark": _profiles(profiles.student_benchmark),
     "weakest_measure": _profiles(
         lambda p: benchmark.add_weakest_measure(p).select(

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.numbering import INDEX_BITS
 from lectern.staging import pin_order
 
 
@@ -32,7 +33,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The mean of the two middle values when their number is even.
     """
     counts = pin_order(value_counts(df, columns).orderBy("measure", "value"))
-    counts = counts.withColumn("block", F.spark_partition_id())
+    counts = counts.withColumn("block", F.shiftright("_id", INDEX_BITS)).drop("_id")
 
     # One row per (measure, partition); the windows below run over these only.
     blocks = counts.groupBy("measure", "block").agg(F.sum("n").alias("size"))

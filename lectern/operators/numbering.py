@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lectern.staging import pin_order
 
 # Row ids of a pinned frame: partition number above this bit, row index below.
-_INDEX_BITS = 33
+INDEX_BITS = 33
 
 
 def _block_starts(blocks: DataFrame, block: str, size: str, *groups: str) -> Column:
@@ -29,13 +29,10 @@ def _block_starts(blocks: DataFrame, block: str, size: str, *groups: str) -> Col
 
 def number_rows(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
     """1, 2, 3, … over all rows in ``order``, which must be total."""
-    pinned = pin_order(df.orderBy(*order)).withColumn(
-        "_id", F.monotonically_increasing_id()
-    )
-    rows = pinned.withColumns(
+    rows = pin_order(df.orderBy(*order)).withColumns(
         {
-            "_block": F.shiftright("_id", _INDEX_BITS),
-            "_index": F.col("_id").bitwiseAND((1 << _INDEX_BITS) - 1),
+            "_block": F.shiftright("_id", INDEX_BITS),
+            "_index": F.col("_id").bitwiseAND((1 << INDEX_BITS) - 1),
         }
     )
     blocks = rows.groupBy("_block").agg(F.count("*").alias("_size"))

@@ -63,6 +63,27 @@ def latest_days(weekly: DataFrame, weeks: int = 24, days: int = 28) -> DataFrame
     return latest(week_spread(recent), days, "week_label")
 
 
+# What the datasets of the report read.
+REPORT_COLUMNS = (
+    "student_id",
+    "course_id",
+    "course_name",
+    "category",
+    "course_level",
+    "education_level",
+    "enrollment_date",
+    "time_spent_hours",
+    "average_session_duration_min",
+    "login_frequency",
+    "days_since_last_login",
+    "assignment_submission_rate",
+    "assignments_missed",
+    "progress_percentage",
+    "video_completion_rate",
+    "quiz_score_avg",
+)
+
+
 def report_datasets(facts: DataFrame) -> dict[str, DataFrame]:
     """The seven datasets of the report export. Each reads ``facts``, so pass a stored
     table."""

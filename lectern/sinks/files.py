@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 _AS_THEY_ARE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_clean_csv(df: DataFrame, path: str) -> None:
+def write_clean_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """With ``compression`` a file has one reader, so the rows should be in many files."""
     (
         df.write.mode("overwrite")
         .options(
@@ -21,6 +22,7 @@ def write_clean_csv(df: DataFrame, path: str) -> None:
             encoding="UTF-8",
             escape='"',
             dateFormat="yyyy-MM-dd",
+            compression=compression,
         )
         .csv(path)
     )

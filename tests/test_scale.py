@@ -190,3 +190,42 @@ def test_ranking_reads_the_facts_once(stored):
     ranked.collect()
     final = plan(ranked).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_loads_of_one_table_store_and_shuffle_only_its_columns(spark, sf_dir, monkeypatch):
+    from lectern.catalog import queries
+
+    widths = []
+
+    def stage(df):
+        widths.append(len(df.columns))
+        return df
+
+    monkeypatch.setattr(queries, "stage", stage)
+    found = queries.all_queries()
+    found["sync_course_stat"](spark, sf_dir)
+    assert widths == []
+    found["student_profile_nested"](spark, sf_dir)
+    found["export_bundle"](spark, sf_dir)
+    found["clean_median_fill"](spark, sf_dir)
+    assert len(widths) == 3 and widths[2] == 4 and max(widths) < 40
+
+
+def test_numbered_rows_are_stored_in_columns_not_as_a_checkpoint(spark):
+    from pyspark.sql import functions as F
+
+    from lectern.operators.numbering import number_rows
+
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("v"), F.lit("x" * 50).alias("t"))
+    numbered = number_rows(df, F.col("v"))
+    assert [tuple(r)[::2] for r in numbered.orderBy("v").collect()] == [(v, v + 1) for v in range(5000)]
+    assert numbered.inputFiles() and all(f.endswith(".parquet") for f in numbered.inputFiles())
+
+
+def test_loads_of_whole_tables_as_text_are_compressed(spark, sf_dir, monkeypatch):
+    from lectern.catalog import queries
+
+    found, paths = queries.all_queries(), []
+    for query in ("replace_path", "ods_load"):
+        paths.append(found[query](spark, sf_dir).inputFiles())
+    assert all(files and all(f.endswith(".csv.snappy") for f in files) for files in paths)
