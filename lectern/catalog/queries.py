@@ -19,7 +19,7 @@ from lectern.functions.numeric import rate_to_percent
 from lectern.functions.text import first_text
 from lectern.operators import benchmark, cleaning, gates, selecting
 from lectern.operators.advice import add_measure_advice, course_advice
-from lectern.operators.aggregate import filter_share, sum_columns
+from lectern.operators.aggregate import filter_share, gathered, sum_columns
 from lectern.operators.counting import counted_load
 from lectern.operators.risk import add_risk_flags, is_level
 from lectern.plans import layers, marts, overview, profiles, sync, warnings
@@ -386,7 +386,7 @@ TREND_COLUMNS = [
 LAYERS: dict[str, Query] = {
     "dwd_typed": _typed(lambda typed: typed),
     "dws_student_stat": _facts(layers.student_stat),
-    "dws_course_stat": _facts(lambda f: _rounded(layers.course_stat(f))),
+    "dws_course_stat": _facts(lambda f: _rounded(layers.course_stat(gathered(f, "course_id")))),
     "dws_student_feature": _facts(lambda f: _rounded(layers.student_feature(f))),
     "dim_student": _facts(layers.student_dimension),
     "dim_course": _facts(layers.course_dimension),

@@ -56,6 +56,19 @@ def summarise_distinct(
     return summary
 
 
+def gathered(df: DataFrame, key: str) -> DataFrame:
+    """The same rows, those of a key in one task or, where they are too many, in several.
+
+    A summary with very many keys holds in each task an entry for every key that the task
+    meets; over rows in no order these are nearly all keys. Rows brought together by a hash
+    of the key first leave a task its share of them. The hash is a column of its own, so
+    that the summary still combines a task's rows before its own shuffle: a hot key's rows,
+    which adaptive execution deals to several tasks, meet there as one row per task.
+    """
+    share = F.xxhash64(key)
+    return df.withColumn("_share", share).hint("rebalance", "_share").drop("_share")
+
+
 def summarise_labelled(
     df: DataFrame,
     key: str,

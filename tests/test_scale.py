@@ -229,3 +229,34 @@ def test_loads_of_whole_tables_as_text_are_compressed(spark, sf_dir, monkeypatch
     for query in ("replace_path", "ods_load"):
         paths.append(found[query](spark, sf_dir).inputFiles())
     assert all(files and all(f.endswith(".csv.snappy") for f in files) for files in paths)
+
+
+@pytest.mark.parametrize("name", ["dws_course_stat"])
+def test_a_task_of_the_course_summary_holds_its_share_of_the_courses(spark, sf_dir, name):
+    text = plan(driver.queries()[name](spark, sf_dir))
+    first = text.index("REBALANCE_PARTITIONS_BY_COL")
+    assert text.rindex("Aggregate") < first and text[:first].count("Exchange hashpartitioning(course_id") == 2
+
+
+def test_gathered_rows_of_a_key_are_combined_to_one(spark):
+    from lectern.operators.aggregate import gathered, summarise_labelled
+
+    key = F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 50 != 1, F.concat(F.lit("C"), F.col("id") % 97))
+    rows = spark.range(6000).select(key.alias("k"), F.lit("name").alias("label"), F.col("id").alias("v")).repartition(9)
+    summaries = [
+        summarise_labelled(df, "k", ["label"], "n", sums={"s": "v"}, means={"m": "v"}) for df in (gathered(rows, "k"), rows)
+    ]
+    assert gathered(rows, "k").columns == rows.columns
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found, expected = (sorted(map(str, df.collect())) for df in summaries)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert found == expected and len(found) == 99
+    node, combined = summaries[0]._jdf.queryExecution().executedPlan(), []
+    while node.children().size():
+        if node.nodeName() == "HashAggregate":
+            combined.append(node.metrics().get("numOutputRows").get().value())
+        node = node.children().head()
+    assert combined[-1] == 99
