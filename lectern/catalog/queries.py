@@ -232,7 +232,7 @@ def _conformed(facts: DataFrame) -> DataFrame:
 
 def _conform_columns(facts: DataFrame) -> DataFrame:
     names = [n for n, _ in schema.TARGETS["course_stat"]]
-    served = layers.served_tables(facts)["course_stat"]
+    served = layers.served_tables(gathered(facts, "course_id"))["course_stat"]
     return _rounded(
         gates.conform_columns(served, names, "course_stat").drop(*AUDIT)
     )
