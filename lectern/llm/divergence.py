@@ -1,9 +1,10 @@
 """How far the sources of a language differ in their words.
 
 Chunk factorization: whitespace chunks are counted per document, and every globally
-distinct chunk is split into terms once; its terms are joined back to the counts. The
-counting of a task's documents is combined before anything is shuffled, so a frequent word
-costs one row for each task and group.
+distinct chunk is split into terms once; its terms are joined back to the counts. A chunk
+that is a lower-case term as it stands has nothing to split or to join. The counting of a
+task's documents is combined before anything is shuffled, so a frequent word costs one row
+for each task and group.
 
 Distinct documents: a chunk's row carries its number of documents, which is exact, and the
 first and last of them. A term that several chunks hold ("word" and "word,") may meet the
@@ -32,10 +33,14 @@ from lectern.llm.common import pick, staged_and_released, text_or_empty
 from lectern.staging import stage
 
 SCALE = 1_000_000_000
+#: SCALE times a count below this one fits 64 bits.
+LONGEST = (1 << 63) // SCALE - 1
 MIN_DOCUMENTS = 3
 TERM_RANKS = 200
 #: Terms: ASCII letters and everything beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Chunks that are their own only term.
+PLAIN = r"\A[^\x00-\x60\x7B-\x7F]+\z"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that a task counts at a time, and cells of a block of terms.
 HELD = 1 << 23
@@ -103,8 +108,9 @@ def _counted(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _held_by_enough(counts: DataFrame, rows: DataFrame) -> DataFrame:
-    """(lang, term) of at least MIN_DOCUMENTS documents, from ``rows`` of a term per chunk and
-    from ``counts`` of them per group. Groups part the documents, so their numbers add up."""
+    """(lang, term) of at least MIN_DOCUMENTS documents and the term's occurrences ``n_lang``,
+    from ``rows`` of a term per chunk and from ``counts`` of them per group. Groups part the
+    documents, so their numbers add up."""
     certain = F.when(F.col("most") >= MIN_DOCUMENTS, MIN_DOCUMENTS).otherwise(
         F.when(F.col("low") == F.col("high"), 1).otherwise(2)
     )
@@ -112,28 +118,29 @@ def _held_by_enough(counts: DataFrame, rows: DataFrame) -> DataFrame:
     terms = counts.groupBy("lang", "term").agg(
         F.sum(certain).alias("documents"),
         F.bool_or(more_possible).alias("open"),
-        F.min("source").alias("source"),
+        F.sum("n").alias("n_lang"),
         F.min("low").alias("low"),
         F.max("high").alias("high"),
     )
     terms = stage(terms.filter("documents >= 3 or open"))
-    # Two documents are certain, in one group, which met more than two times: its rows tell
-    # whether another document lies between them.
+    # Two documents are certain, in one group, which met more than two times: its rows, the
+    # only ones of the term, tell whether another document lies between them.
     between = [(F.col(c) > F.col("low")) & (F.col(c) < F.col("high")) for c in ("first", "last")]
     third = (
-        rows.select("lang", "source", "term", "first", "last")
+        rows.select("lang", "term", "first", "last")
         .filter("first is not null")
-        .join(terms.filter("documents < 3").drop("documents", "open"), ["lang", "source", "term"])
+        .join(terms.filter("documents < 3").drop("documents", "open"), ["lang", "term"])
         .filter(between[0] | between[1])
-        .select("lang", "term")
+        .select("lang", "term", "n_lang")
         .distinct()
     )
-    return terms.filter("documents >= 3").select("lang", "term").unionByName(third)
+    return terms.filter("documents >= 3").select("lang", "term", "n_lang").unionByName(stage(third))
 
 
-def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Groups (lang, source) of the documents and, stored, the occurrences ``n`` of every term
-    that at least MIN_DOCUMENTS documents of its language hold: (lang, source, term, n).
+def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Groups (lang, source) of the documents; the terms that at least MIN_DOCUMENTS documents
+    of their language hold, with their occurrences: (lang, term, n_lang); and, stored, those
+    of each group: (lang, source, term, n, n_lang).
 
     A row is a document, whatever its id. Null text, lang and source count as empty.
     """
@@ -151,22 +158,24 @@ def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.sum("documents").alias("documents"),
             F.when(~enough, low).alias("first"),
             F.when(~enough, high).alias("last"),
-        )
+        ).withColumn("plain", F.col("chunk").rlike(PLAIN))
     )
+    mixed = chunks.filter("not plain")
     found = F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))
     lowered = F.transform(found, lambda t: F.translate(t, _UPPER, _UPPER.lower()))
     terms = (
-        chunks.select("chunk")
+        mixed.select("chunk")
         .distinct()
         .select("chunk", F.explode(lowered).alias("term"))
         .groupBy("chunk", "term")
         .agg(F.count("*").alias("times"))
     )
-    split = staged_and_released(
-        chunks.join(terms, "chunk").select(
+    joined = staged_and_released(
+        mixed.join(terms, "chunk").select(
             "lang", "source", "term", (F.col("n") * F.col("times")).alias("n"), "documents", "first", "last"
         )
     )
+    split = chunks.filter("plain").withColumnRenamed("chunk", "term").select(*joined.columns).unionByName(joined)
     counts = staged_and_released(
         split.groupBy("lang", "source", "term").agg(
             F.sum("n").alias("n"),
@@ -178,14 +187,16 @@ def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     kept = _held_by_enough(counts, split)
     # A term of very many sources is one key; the adaptive skew join splits it.
-    used = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"], "left_semi")
-    return groups, staged_and_released(used)
+    used = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
+    return groups, kept, staged_and_released(used)
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
-    """p: a smoothed share in billionths, exact at any size of the counts."""
+    """p: a smoothed share in billionths, exact at any size of the counts; 64 bits do for most."""
     scaled = F.lit(SCALE).cast("decimal(38,0)") * (count + 1).cast("decimal(38,0)")
-    return F.call_function("div", scaled, (total + terms).cast("decimal(38,0)")) + 1
+    exact = F.call_function("div", scaled, (total + terms).cast("decimal(38,0)"))
+    short = F.call_function("div", F.lit(SCALE).cast("long") * (count + 1), total + terms)
+    return F.when(count < LONGEST, short).otherwise(exact) + 1
 
 
 def _divergence(p: Column, q: Column) -> Column:
@@ -282,26 +293,23 @@ def audit(docs: DataFrame, term_ranks: int = TERM_RANKS) -> DataFrame:
     0 for each pair. A lone source has no pair. Rows that repeat are documents of their own.
     No rows give no rows; extra columns are not read.
     """
-    groups, kept = term_counts(docs)
-    vocabulary = kept.groupBy("lang").agg(F.count_distinct("term").alias("v"))
+    groups, terms, kept = term_counts(docs)
+    langs = terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n_lang").alias("total_lang"))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     sizes = stage(
         groups.join(totals, ["lang", "source"], "left")
-        .join(vocabulary, "lang", "left")
-        .select("lang", "source", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("total", "v")])
-    )
-    mean = kept.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"))
-    langs = sizes.groupBy("lang").agg(F.sum("total").alias("total_lang"), F.max("v").alias("v"))
-    shares = mean.join(langs, "lang").select(
-        "lang", "term", share(F.col("n_lang"), F.col("total_lang"), F.col("v")).alias("q")
-    )
-    used = stage(
-        kept.join(sizes, ["lang", "source"]).select(
-            "lang", "term", "source", share(F.col("n"), F.col("total"), F.col("v")).alias("p")
+        .join(langs, "lang", "left")
+        .select(
+            "lang",
+            "source",
+            *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("total", "v", "total_lang")],
         )
     )
+    sized = kept.join(sizes, ["lang", "source"])
+    p, q = (share(F.col(n), F.col(total), F.col("v")) for n, total in (("n", "total"), ("n_lang", "total_lang")))
+    used = sized.select("lang", "term", "source", p.alias("p"))
     above = (
-        used.join(shares, ["lang", "term"])
+        sized.select("lang", "source", "term", p.alias("p"), q.alias("q"))
         .filter("p > q")
         .select("lang", "source", F.col("term").alias("item"), _divergence(F.col("p"), F.col("q")).alias("value"))
     )

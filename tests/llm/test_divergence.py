@@ -88,3 +88,33 @@ def test_shares_are_exact_for_large_counts(spark):
     n, total, v = 10**15, 10**17 + 3, 10**7
     p = divergence.share(*(F.lit(x).cast("long") for x in (n, total, v)))
     assert spark.range(1).select(p).first()[0] == 1 + 10**9 * (n + 1) // (total + v)
+
+
+@pytest.mark.parametrize("n", [0, 9223372033, 9223372034, 9223372035, 9223372036, 10**12])
+def test_shares_are_exact_where_64_bits_end(spark, n):
+    from pyspark.sql import functions as F
+
+    counts = spark.createDataFrame([(n, n + 7, 5)], "n long, total long, v long")
+    assert counts.select(divergence.share(*map(F.col, ("n", "total", "v")))).first()[0] == 1 + 10**9 * (n + 1) // (n + 12)
+
+
+def test_whole_terms_are_not_split_and_nothing_is_sorted_to_be_counted(docs, monkeypatch):  # noqa: F811
+    plans, stored = [], []
+
+    def kept(df, store):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        stored.append(store(df))
+        return stored[-1]
+
+    for name in ("stage", "staged_and_released"):
+        monkeypatch.setattr(divergence, name, lambda df, store=getattr(divergence, name): kept(df, store))
+    made = docs([(i, "plain words \x1c words é ü\x85 More: x-y", "en", f"s{i % 2}") for i in range(6)])
+    check(made)
+    assert plans and not [text for text in plans if "SortAggregate" in text]
+    looked_up = stored[1].collect()
+    assert {r["term"] for r in looked_up} == {"more", "x", "y"} and len(looked_up) == 6
+
+
+def test_a_third_document_lies_between_two_in_one_source(docs):  # noqa: F811
+    texts = ["foo bar", "Foo, (bar)", "foo BAR", "foo; none", "one (One) one;", "one"]
+    check(docs([(i, t, lang, "a") for lang in ("en", "de") for i, t in enumerate(texts)] + [(9, "foo One", "fr", "b")]).repartition(3))
