@@ -641,7 +641,7 @@ RISK: dict[str, Query] = {
     "risk_level": _scored(lambda s: s.select(*RISK_KEY, "payment_amount")),
     "risk_detail": _scored(warnings.warning_details),
     "warning_distribution": _scored(warnings.warning_distribution),
-    "course_risk_summary": _scored(warnings.course_risk_summary),
+    "course_risk_summary": _scored(lambda s: warnings.course_risk_summary(gathered(s, "course_id"))),
     "education_risk_summary": _scored(warnings.education_risk_summary),
     "overview_metrics": _facts(overview.overview_metrics),
     "summary_totals": _facts(

@@ -231,7 +231,7 @@ def test_loads_of_whole_tables_as_text_are_compressed(spark, sf_dir, monkeypatch
     assert all(files and all(f.endswith(".csv.snappy") for f in files) for files in paths)
 
 
-@pytest.mark.parametrize("name", ["dws_course_stat", "conform_columns"])
+@pytest.mark.parametrize("name", ["dws_course_stat", "conform_columns", "course_risk_summary"])
 def test_a_task_of_the_course_summary_holds_its_share_of_the_courses(spark, sf_dir, name):
     text = plan(driver.queries()[name](spark, sf_dir))
     first = text.index("REBALANCE_PARTITIONS_BY_COL")
