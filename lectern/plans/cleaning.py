@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lectern import schema
 from lectern.functions.parsing import DAY_FORMATS
 from lectern.operators import cleaning as C
-from lectern.staging import stage
+from lectern.staging import stage, stage_in_parts
 
 
 @dataclass(frozen=True)
@@ -100,7 +100,9 @@ def clean_enrollments(
     The rows that survive are stored once, because the medians and the filled
     table both read them.
     """
-    valid = stage(select_valid(normalise(raw, rules), rules, order))
+    valid = stage_in_parts(
+        normalise(raw, rules), rules.keys, lambda part: select_valid(part, rules, order), stage
+    )
     return finish(valid, rules).drop(*[c for c in order if c not in rules.columns])
 
 
