@@ -114,23 +114,28 @@ def clean_and_report(
     The counts are observed by the tasks that store the surviving rows. After a lost
     executor tasks that ran twice may count twice; ``cleaning_report`` counts by queries.
     """
-    read, last, kept = Observation(), Observation(), Observation()
+    read, last, kept = [], [], []
     complete = ~C.is_missing(rules.critical)
-    normalised = normalise(raw, rules).observe(
-        read, F.count("*").alias("rows"), F.count_if(complete).alias("complete")
-    )
-    newest = C.keep_last(normalised, rules.keys, order, among=complete).observe(
-        last, F.count("*").alias("rows")
-    )
-    valid = stage(
-        C.drop_out_of_range(newest, rules.ranges).observe(kept, F.count("*").alias("rows"))
-    )
-    rows, whole = read.get["rows"], read.get["complete"]
+
+    def counted(df: DataFrame, counts: list[Observation], *more: Column) -> DataFrame:
+        counts.append(Observation())
+        return df.observe(counts[-1], F.count("*").alias("rows"), *more)
+
+    def survivors(part: DataFrame) -> DataFrame:
+        normalised = counted(part, read, F.count_if(complete).alias("complete"))
+        newest = counted(C.keep_last(normalised, rules.keys, order, among=complete), last)
+        return counted(C.drop_out_of_range(newest, rules.ranges), kept)
+
+    def total(counts: list[Observation], name: str = "rows") -> int:
+        return sum(c.get[name] for c in counts)
+
+    valid = stage_in_parts(normalise(raw, rules), rules.keys, survivors, stage)
+    rows, whole, last_rows = total(read), total(read, "complete"), total(last)
     counts = raw.sparkSession.range(1).select(
         F.lit(rows).alias("input_rows"),
         F.lit(rows - whole).alias("critical_removed"),
-        F.lit(whole - last.get["rows"]).alias("duplicates_removed"),
-        F.lit(last.get["rows"] - kept.get["rows"]).alias("out_of_range_removed"),
+        F.lit(whole - last_rows).alias("duplicates_removed"),
+        F.lit(last_rows - total(kept)).alias("out_of_range_removed"),
     )
     cleaned = finish(valid, rules).drop(*[c for c in order if c not in rules.columns])
     return cleaned, _report(counts, raw, order, rules)

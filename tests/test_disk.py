@@ -82,3 +82,17 @@ def test_the_cleaning_shuffles_whole_rows_in_parts(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(plans, "stage", lambda df, stage=plans.stage: calls.append(plan(df)) or stage(df))
     assert bytes_left(spark, lambda: driver.queries()["clean_enrollments"](spark, sf_dir)) < 50_000
     assert len(calls) == staging.PARTS and all("_folder" in c for c in calls)
+
+
+def test_the_load_report_shuffles_whole_rows_in_parts(spark, sf_dir, monkeypatch):
+    """Also when some of the parts have no rows."""
+    calls = []
+    monkeypatch.setattr(staging, "PART_BYTES", 1)
+    monkeypatch.setattr(plans, "stage", lambda df, stage=plans.stage: calls.append(plan(df)) or stage(df))
+    raw = queries.raw_file(spark, sf_dir).filter("l_orderkey in (1, 2)").limit(3)
+    raw = staging.stage(raw.unionByName(raw))
+    _, report = plans.clean_and_report(raw, queries.LINE_ORDER)
+    assert len(calls) == staging.PARTS and all("_folder" in c and c.count("CollectMetrics") == 3 for c in calls)
+    assert sorted(report.collect()) == sorted(plans.cleaning_report(raw, queries.LINE_ORDER).collect())
+    _, empty = plans.clean_and_report(raw.limit(0), queries.LINE_ORDER)
+    assert sorted(empty.collect()) == sorted(plans.cleaning_report(raw.limit(0), queries.LINE_ORDER).collect())
