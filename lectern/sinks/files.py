@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.staging import released
 
 # Values are written as they are: Spark would trim them.
 _AS_THEY_ARE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -14,35 +15,38 @@ _AS_THEY_ARE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": Fa
 
 def write_clean_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """With ``compression`` a file has one reader, so the rows should be in many files."""
-    (
-        df.write.mode("overwrite")
-        .options(
-            **_AS_THEY_ARE,
-            header=True,
-            encoding="UTF-8",
-            escape='"',
-            dateFormat="yyyy-MM-dd",
-            compression=compression,
+    with released(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .options(
+                **_AS_THEY_ARE,
+                header=True,
+                encoding="UTF-8",
+                escape='"',
+                dateFormat="yyyy-MM-dd",
+                compression=compression,
+            )
+            .csv(path)
         )
-        .csv(path)
-    )
 
 
 def write_orc(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").orc(path)
+    with released(df.sparkSession):
+        df.write.mode("overwrite").orc(path)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str) -> None:
     """ORC in one folder per value of ``by``. Only the values that ``df`` holds are replaced, all
     others keep their rows. The rows are dealt by value into files of a measured size; a
     value with very many rows gets several."""
-    (
-        df.hint("rebalance", by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .orc(path)
-    )
+    with released(df.sparkSession):
+        (
+            df.hint("rebalance", by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(by)
+            .orc(path)
+        )
 
 
 def write_lookup(df: DataFrame, path: str, *keys: str) -> None:
@@ -67,18 +71,19 @@ def export_csv(df: DataFrame, path: str) -> None:
     text = df.select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]
     )
-    (
-        text.write.mode("overwrite")
-        .options(
-            **_AS_THEY_ARE,
-            header=True,
-            quoteAll=True,
-            quote='"',
-            escape='"',
-            emptyValue="",
+    with released(df.sparkSession):
+        (
+            text.write.mode("overwrite")
+            .options(
+                **_AS_THEY_ARE,
+                header=True,
+                quoteAll=True,
+                quote='"',
+                escape='"',
+                emptyValue="",
+            )
+            .csv(path)
         )
-        .csv(path)
-    )
 
 
 def export_bundle(datasets: Mapping[str, DataFrame], folder: str) -> dict[str, str]:

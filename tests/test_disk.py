@@ -96,3 +96,7 @@ def test_the_load_report_shuffles_whole_rows_in_parts(spark, sf_dir, monkeypatch
     assert sorted(report.collect()) == sorted(plans.cleaning_report(raw, queries.LINE_ORDER).collect())
     _, empty = plans.clean_and_report(raw.limit(0), queries.LINE_ORDER)
     assert sorted(empty.collect()) == sorted(plans.cleaning_report(raw.limit(0), queries.LINE_ORDER).collect())
+
+
+def test_replaced_loads_leave_no_shuffle(spark, sf_dir):
+    assert bytes_left(spark, lambda: driver.queries()["replace_path"](spark, sf_dir)) < 50_000
