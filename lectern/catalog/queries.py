@@ -28,7 +28,7 @@ from lectern.sinks import files as sinks
 from lectern.sinks import swap
 from lectern.sources import files as scans
 from lectern.sources.views import learning, ods_learning, raw_learning, scan_table
-from lectern.staging import scratch_path, stage
+from lectern.staging import scratch_path, stage, stage_in_parts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -248,7 +248,12 @@ def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _served(spark: SparkSession, sf_dir: str) -> str:
     """The folder that holds the five served tables as ORC."""
     newest = ["enrollment_date", "payment_amount", "login_frequency"]
-    facts = stage(cleaning.keep_last(learning(spark, sf_dir), schema.KEY, newest))
+    facts = stage_in_parts(
+        learning(spark, sf_dir),
+        schema.KEY,
+        lambda part: cleaning.keep_last(part, schema.KEY, newest),
+        stage,
+    )
     source = scratch_path(spark, "served")
     for table, rows in layers.served_tables(facts).items():
         sinks.write_orc(rows, f"{source}/{table}")

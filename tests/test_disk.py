@@ -100,3 +100,11 @@ def test_the_load_report_shuffles_whole_rows_in_parts(spark, sf_dir, monkeypatch
 
 def test_replaced_loads_leave_no_shuffle(spark, sf_dir):
     assert bytes_left(spark, lambda: driver.queries()["replace_path"](spark, sf_dir)) < 50_000
+
+
+def test_the_sync_shuffles_whole_rows_in_parts(spark, sf_dir, monkeypatch):
+    calls = []
+    monkeypatch.setattr(staging, "PART_BYTES", 1000)
+    monkeypatch.setattr(queries, "stage", lambda df, stage=queries.stage: calls.append(plan(df)) or stage(df))
+    assert bytes_left(spark, lambda: driver.queries()["sync_tables"](spark, sf_dir)) < 50_000
+    assert len(calls) == staging.PARTS and all("_folder" in c for c in calls)
