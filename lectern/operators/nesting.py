@@ -31,10 +31,11 @@ def nest(
     placed = [F.col(c).asc_nulls_first() for c in (*keys, *[f"_o{i}" for i in range(len(by))], "_item")]
     numbered = number_rows(wanted, *placed, name="_place")
     most = numbered.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    runs = _gather(numbered.withColumn("_items", F.array("_item")), keys, F.floor(F.col("_place") / RUN))
+    # Each round of runs is stored, so that no two rounds hold their shuffles at once.
+    runs = stage(_gather(numbered.withColumn("_items", F.array("_item")), keys, F.floor(F.col("_place") / RUN)))
     longest = most // RUN + 2
     while longest > RUN:
-        runs = _gather(stage(runs), keys, F.floor(F.col("_place") / RUN))
+        runs = stage(_gather(runs, keys, F.floor(F.col("_place") / RUN)))
         longest = longest // RUN + 2
     return _gather(runs, keys).withColumnRenamed("_items", name).drop("_place")
 

@@ -108,3 +108,10 @@ def test_the_sync_shuffles_whole_rows_in_parts(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(queries, "stage", lambda df, stage=queries.stage: calls.append(plan(df)) or stage(df))
     assert bytes_left(spark, lambda: driver.queries()["sync_tables"](spark, sf_dir)) < 50_000
     assert len(calls) == staging.PARTS and all("_folder" in c for c in calls)
+
+
+def test_a_round_of_runs_holds_no_other_round(spark, keyed):
+    nested = nesting.nest(keyed, ["s"], ["id"], F.struct("c", "id"), "items")
+    text = plan(nested)
+    assert text.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in text
+    assert sum(len(r["items"]) for r in nested.collect()) == 4000
