@@ -421,7 +421,7 @@ LAYERS: dict[str, Query] = {
 def _scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_file(spark, sf_dir)
     path = scratch_path(spark, "raw-csv")
-    sinks.write_clean_csv(raw, path)
+    sinks.write_clean_csv(raw, path, "gzip")
     return scans.scan_raw_csv(spark, path, raw.columns)
 
 
