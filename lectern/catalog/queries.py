@@ -473,7 +473,8 @@ def _exported(dataset: str) -> Query:
     """A dataset of the report, as read back from the export."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = overview.report_datasets(stage(learning(spark, sf_dir)))[dataset]
+        facts = stage(learning(spark, sf_dir).select(*overview.REPORT_COLUMNS))
+        df = overview.report_datasets(facts)[dataset]
         paths = sinks.export_bundle({dataset: df}, scratch_path(spark, "bundle"))
         return _read_back(spark, df, paths[dataset])
 

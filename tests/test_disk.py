@@ -121,3 +121,10 @@ def test_a_round_of_runs_holds_no_other_round(spark, keyed):
 def test_text_of_whole_tables_is_compressed(spark, sf_dir, name):
     files = driver.queries()[name](spark, sf_dir).inputFiles()
     assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_an_export_stores_the_columns_of_the_report_only(spark, sf_dir, monkeypatch):
+    widths = []
+    monkeypatch.setattr(queries, "stage", lambda df, stage=queries.stage: widths.append(len(df.columns)) or stage(df))
+    assert bytes_left(spark, lambda: driver.queries()["export_warning_detail"](spark, sf_dir)) < 50_000
+    assert widths == [len(queries.overview.REPORT_COLUMNS)]
