@@ -427,7 +427,7 @@ def _scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scan_clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "clean-csv")
-    sinks.write_clean_csv(learning(spark, sf_dir), path)
+    sinks.write_clean_csv(learning(spark, sf_dir), path, "gzip")
     return comparable(scans.scan_clean_csv(spark, path))
 
 

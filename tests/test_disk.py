@@ -117,7 +117,7 @@ def test_a_round_of_runs_holds_no_other_round(spark, keyed):
     assert sum(len(r["items"]) for r in nested.collect()) == 4000
 
 
-@pytest.mark.parametrize("name", ["scan_raw_csv"])
+@pytest.mark.parametrize("name", ["scan_raw_csv", "scan_clean_csv"])
 def test_text_of_whole_tables_is_compressed(spark, sf_dir, name):
     files = driver.queries()[name](spark, sf_dir).inputFiles()
     assert files and all(f.endswith(".csv.gz") for f in files)
