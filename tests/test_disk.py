@@ -128,3 +128,7 @@ def test_an_export_stores_the_columns_of_the_report_only(spark, sf_dir, monkeypa
     monkeypatch.setattr(queries, "stage", lambda df, stage=queries.stage: widths.append(len(df.columns)) or stage(df))
     assert bytes_left(spark, lambda: driver.queries()["export_warning_detail"](spark, sf_dir)) < 50_000
     assert widths == [len(queries.overview.REPORT_COLUMNS)]
+
+
+def test_years_loaded_leave_no_shuffle(spark, sf_dir):
+    assert bytes_left(spark, lambda: driver.queries()["typed_reload_year"](spark, sf_dir)) < 50_000
